@@ -8,7 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import SPACE, WORD, collapse, strip
-from pressmill.schema import UNDATED_TOKENS
 
 # Month names.
 MONTHS_ES = {
@@ -29,18 +28,27 @@ MONTHS_MIXED = {
     "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6, "jul": 7, "aug": 8,
     "sep": 9, "oct": 10, "nov": 11, "dec": 12, "ene": 1, "abr": 4, "ago": 8,
 }
-# Relative dates ("hace 3 días"); months count 30 days, years 365.
+# Relative dates ("hace 3 días") in hours; months count 30 days, years 365.
+RELATIVE_UNITS = {
+    "hora": 1, "horas": 1, "día": 24, "días": 24, "dias": 24, "semana": 168, "semanas": 168,
+    "mes": 720, "meses": 720, "año": 8760, "años": 8760,
+}
 RELATIVE = (r"(?i)hace" + SPACE + r"+(\d+)" + SPACE
             + r"+(horas?|días?|dias|semanas?|mes(?:es)?|años?)")
-# The numeric forms tried in order, as (pattern, positions of y m d H M S).
-_NUM = r"(\d{1,2})"
+# The whole-text forms tried in order, each with its storage-form rewriting.
+_CLOCK = SPACE + r"+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
+STORED = r"^(\d{4})-(\d{1,2})-(\d{1,2})" + _CLOCK
 NUMERIC_FORMS = [
-    (rf"^(\d{{4}})-{_NUM}-{_NUM}{SPACE}+{_NUM}:{_NUM}:{_NUM}$", (1, 2, 3, 4, 5, 6)),
-    (rf"^(\d{{4}})-{_NUM}-{_NUM}{SPACE}+{_NUM}:{_NUM}$", (1, 2, 3, 4, 5, 0)),
-    (rf"^(\d{{4}})-{_NUM}-{_NUM}$", (1, 2, 3, 0, 0, 0)),
-    (rf"^{_NUM}/{_NUM}/(\d{{4}}){SPACE}+{_NUM}:{_NUM}:{_NUM}$", (3, 2, 1, 4, 5, 6)),
-    (rf"^{_NUM}/{_NUM}/(\d{{4}})$", (3, 2, 1, 0, 0, 0)),
-    (rf"^{_NUM}-{_NUM}-(\d{{4}})$", (3, 2, 1, 0, 0, 0)),
+    (STORED, "$1-$2-$3 $4:$5:$6"),
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})" + SPACE + r"+(\d{1,2}):(\d{1,2})$", "$1-$2-$3 $4:$5:0"),
+    (r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "$1-$2-$3 0:0:0"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})" + _CLOCK, "$3-$2-$1 $4:$5:$6"),
+    (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "$3-$2-$1 0:0:0"),
+    (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "$3-$2-$1 0:0:0"),
+]
+SPANISH_FORMS = [
+    (rf"^({WORD}+){SPACE}+(\d{{1,2}}),?{SPACE}+(\d{{4}})$", "$3-#-$2", 1),
+    (rf"^(\d{{1,2}}){SPACE}+de{SPACE}+({WORD}+){SPACE}+de{SPACE}+(\d{{4}})$", "$3-#-$1", 2),
 ]
 LOCAL_OFFSET_MINUTES = -360
 
@@ -51,118 +59,102 @@ def group(c, pattern, i) -> Column:
 
 
 def number(c, pattern, i) -> Column:
-    return group(c, pattern, i).cast("int")
+    return F.regexp_extract(c, pattern, i).try_cast("int")
 
 
-def month_number(name, months) -> Column:
-    table = F.create_map(*[F.lit(x) for kv in months.items() for x in kv])
+def month_text(name, months) -> Column:
+    """Two-digit month of a name; null for unknown names."""
+    table = F.create_map(*[F.lit(x) for k, v in months.items() for x in (k, f"{v:02d}")])
     return F.try_element_at(table, name)
 
 
-def moment(y, m, d, hh=None, mm=None, ss=None) -> Column:
-    zero = F.lit(0)
-    hh, mm, ss = (zero if x is None else x for x in (hh, mm, ss))
-    # second 60 would roll over instead of failing
-    return F.when(ss < 60, F.try_make_timestamp_ntz(y, m, d, hh, mm, ss.cast("decimal(16,6)")))
+def moment(text) -> Column:
+    """Wall-clock value of ``y-m-d H:M:S`` text; impossible moments are null."""
+    return text.try_cast("timestamp_ntz")
 
 
 def show(ts) -> Column:
     return F.substring(ts.cast("string"), 1, 19)
 
 
+def day_text(ts) -> Column:
+    return F.substring(ts.cast("string"), 1, 10)
+
+
 def padded(y, m, d) -> Column:
-    """``y-mm-dd`` text without range checks."""
+    """``yyyy-mm-dd`` text without range checks."""
     return F.concat(F.lpad(y.cast("string"), 4, "0"), F.lit("-"), F.lpad(m.cast("string"), 2, "0"),
                     F.lit("-"), F.lpad(d.cast("string"), 2, "0"))
 
 
-def _by_form(c, pattern, at) -> Column:
-    part = [number(c, pattern, i) if i else F.lit(0) for i in at]
-    return moment(*part)
-
-
 def exact_moment(c) -> Column:
     """Moment of a text in the storage form; parts need not be padded, no blanks around."""
-    return _by_form(c, *NUMERIC_FORMS[0])
+    return moment(F.when(c.rlike(STORED), c))
 
 
-def numeric_moment(c) -> Column:
-    return F.coalesce(*[_by_form(c, p, at) for p, at in NUMERIC_FORMS])
+def _rewritten(c) -> Column:
+    """Text in storage form if it has one of the numeric or Spanish whole-text forms.
 
-
-def spanish_moment(c) -> Column:
-    """``mayo 30, 2026`` or ``30 de mayo de 2026`` as the whole text."""
+    The forms exclude each other, so one chain of tests is enough."""
     low = F.lower(c)
-    a = rf"^({WORD}+){SPACE}+(\d{{1,2}}),?{SPACE}+(\d{{4}})$"
-    b = rf"^(\d{{1,2}}){SPACE}+de{SPACE}+({WORD}+){SPACE}+de{SPACE}+(\d{{4}})$"
-    return F.coalesce(
-        moment(number(low, a, 3), month_number(group(low, a, 1), MONTHS_ES), number(low, a, 2)),
-        moment(number(low, b, 3), month_number(group(low, b, 2), MONTHS_ES), number(low, b, 1)),
-    )
+    out = None
+    for pattern, form in NUMERIC_FORMS:
+        text = F.regexp_replace(c, pattern, form)
+        out = F.when(c.rlike(pattern), text) if out is None else out.when(c.rlike(pattern), text)
+    for pattern, form, name in SPANISH_FORMS:
+        month = month_text(F.regexp_extract(low, pattern, name), MONTHS_ES)
+        out = out.when(low.rlike(pattern), F.replace(F.regexp_replace(low, pattern, form), F.lit("#"), month))
+    return out
 
 
 def relative_moment(c, reference) -> Column:
-    n = group(c, RELATIVE, 1).try_cast("bigint")
-    unit = F.lower(group(c, RELATIVE, 2))
-    hours = (
-        F.when(unit.startswith("hora"), F.lit(1))
-        .when(unit.startswith("d"), F.lit(24))
-        .when(unit.startswith("semana"), F.lit(24 * 7))
-        .when(unit.startswith("mes"), F.lit(24 * 30))
-        .otherwise(F.lit(24 * 365))
-    )
-    # beyond 17 million hours the result would leave the calendar
-    total = F.when(n <= 17_000_000, n * hours)
-    return reference - F.make_dt_interval(F.lit(0), F.when(total <= 17_000_000, total.cast("int")))
+    units = F.create_map(*[F.lit(x) for kv in RELATIVE_UNITS.items() for x in kv])
+    unit = F.try_element_at(units, F.lower(F.regexp_extract(c, RELATIVE, 2)))
+    # 17 million hours or more would leave the calendar
+    hours = F.try_multiply(F.regexp_extract(c, RELATIVE, 1).try_cast("bigint"), unit.cast("bigint")).try_cast("int")
+    return reference - F.make_dt_interval(F.lit(0), F.when(hours < 17_000_000, hours))
 
 
 def normalize(c, reference) -> Column:
     """Storage form of a date text, or null. ``reference`` anchors relative dates."""
     text = strip(c)
-    ts = F.coalesce(numeric_moment(text), spanish_moment(text), relative_moment(text, reference))
-    return F.when(~text.isin(UNDATED_TOKENS), show(ts))
+    return show(F.coalesce(moment(_rewritten(text)), relative_moment(text, reference)))
 
 
 # --- ISO texts -------------------------------------------------------------------------
 
-_ISO = (r"^(\d{4})-(\d{2})-(\d{2})(?:[T ](\d{2}):(\d{2})(?::(\d{2})(?:[.,]\d{1,9})?)?)?"
-        r"(Z|[+-]\d{2}:?\d{2})?$")
+_ZONE = r"(Z|[+-]\d{2}:?\d{2})$"
+_ISO = (r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)?(?:Z|[+-]\d{2}:?\d{2})?$")
 
 
-def _iso_parts(text):
-    zero = F.lit("0")
-    n = lambda i: F.coalesce(group(text, _ISO, i), zero).cast("int")
-    ts = F.when(text.rlike(_ISO), moment(n(1), n(2), n(3), n(4), n(5), n(6)))
-    zone = group(text, _ISO, 7)
-    sign = F.when(F.substring(zone, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    digits = F.regexp_replace(zone, "[^0-9]", "")
-    minutes = F.when(zone == "Z", F.lit(0)).otherwise(
-        sign * (F.substring(digits, 1, 2).try_cast("int") * 60 + F.substring(digits, 3, 2).try_cast("int")))
-    return ts, minutes
+def _iso_moment(text) -> Column:
+    return moment(F.when(text.rlike(_ISO), F.replace(F.regexp_replace(text, _ZONE, ""), F.lit(","), F.lit("."))))
 
 
-def _shift(ts, minutes) -> Column:
-    return ts + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+def _iso_shifted(text, target_minutes) -> Column:
+    """Moment moved from the text's own offset (local time without one) to the target's."""
+    zone = F.translate(F.replace(F.regexp_extract(text, _ZONE, 1), F.lit("Z"), F.lit("0")), ":", "")
+    n = zone.try_cast("int")
+    own = F.coalesce(F.expr("0") + F.when(n < 0, -(F.floor(-n / 100) * 60 + (-n) % 100))
+                     .otherwise(F.floor(n / 100) * 60 + n % 100), F.lit(LOCAL_OFFSET_MINUTES))
+    shift = F.make_dt_interval(F.lit(0), F.lit(0), (F.lit(target_minutes) - own).cast("int"))
+    return _iso_moment(text) + shift
 
 
 def iso_local(c) -> Column:
     """ISO text in the newsroom's zone (UTC-6); unreadable texts give their first ten
     characters. A text without offset already is local time."""
-    ts, minutes = _iso_parts(strip(c))
-    local = _shift(ts, F.lit(LOCAL_OFFSET_MINUTES) - F.coalesce(minutes, F.lit(LOCAL_OFFSET_MINUTES)))
-    return F.coalesce(show(local), F.substring(c, 1, 10))
+    return F.coalesce(show(_iso_shifted(strip(c), LOCAL_OFFSET_MINUTES)), F.substring(c, 1, 10))
 
 
 def iso_utc(c) -> Column:
     """ISO text in UTC, inner blanks ignored; unreadable texts give an empty text."""
-    ts, minutes = _iso_parts(F.replace(strip(c), F.lit(" "), F.lit("")))
-    return F.coalesce(show(_shift(ts, -F.coalesce(minutes, F.lit(LOCAL_OFFSET_MINUTES)))), F.lit(""))
+    return F.coalesce(show(_iso_shifted(F.replace(strip(c), F.lit(" "), F.lit("")), 0)), F.lit(""))
 
 
 def iso_wall_clock(c) -> Column:
     """ISO text with its own wall clock, whatever the offset; null if unreadable."""
-    ts, _ = _iso_parts(strip(c))
-    return show(ts)
+    return show(_iso_moment(strip(c)))
 
 
 # --- Spanish forms of single outlets ----------------------------------------------------
@@ -172,8 +164,8 @@ _DE = rf"(\d{{1,2}}){SPACE}+de{SPACE}+{_W}{SPACE}+de{SPACE}+(\d{{4}})"
 
 
 def _named(c, pattern, at, months=MONTHS_ES) -> Column:
-    y, m, d = at
-    return padded(number(c, pattern, y), month_number(group(c, pattern, m), months), number(c, pattern, d))
+    y, m, d = (F.regexp_extract(c, pattern, i) for i in at)
+    return F.concat(y, F.lit("-"), month_text(m, months), F.lit("-"), F.lpad(d, 2, "0"))
 
 
 def _low(c) -> Column:
@@ -189,7 +181,8 @@ def es_long_time(c) -> Column:
     """``25 de mayo de 2026, 18:50`` with the time kept, else the date alone."""
     low = collapse(F.lower(c))
     p = _DE + rf",?{SPACE}+(\d{{1,2}}):(\d{{2}})"
-    clock = F.concat(F.lit(" "), F.lpad(group(low, p, 4), 2, "0"), F.lit(":"), group(low, p, 5), F.lit(":00"))
+    clock = F.concat(F.lit(" "), F.lpad(F.regexp_extract(low, p, 4), 2, "0"), F.lit(":"),
+                     F.regexp_extract(low, p, 5), F.lit(":00"))
     return F.coalesce(F.concat(_named(low, p, (3, 2, 1)), clock), _named(low, _DE, (3, 2, 1)))
 
 
@@ -197,10 +190,9 @@ def es_dash_time(c) -> Column:
     """``22 de Mayo de 2026 - 15:18``, impossible moments are null."""
     low = _low(c)
     p = _DE + rf"{SPACE}*-{SPACE}*(\d{{1,2}}):(\d{{2}})"
-    full = moment(number(low, p, 3), month_number(group(low, p, 2), MONTHS_ES), number(low, p, 1),
-                  number(low, p, 4), number(low, p, 5))
-    day = moment(number(low, _DE, 3), month_number(group(low, _DE, 2), MONTHS_ES), number(low, _DE, 1))
-    return F.coalesce(show(full), F.substring(show(day), 1, 10))
+    clock = F.concat(F.lit(" "), F.regexp_extract(low, p, 4), F.lit(":"), F.regexp_extract(low, p, 5), F.lit(":00"))
+    return F.coalesce(show(moment(F.concat(_named(low, p, (3, 2, 1)), clock))),
+                      day_text(moment(_named(low, _DE, (3, 2, 1)))))
 
 
 def es_plain(c) -> Column:
@@ -231,7 +223,7 @@ def es_short_month(c) -> Column:
     """``6 de Abr. 2026 | 1:35 am`` or an ISO start; an unknown month counts as January."""
     text = strip(c)
     p = rf"(?i)(\d{{1,2}}){SPACE}+de{SPACE}+{_W}\.?{SPACE}+(\d{{4}})"
-    month = F.coalesce(month_number(F.substring(F.lower(group(text, p, 2)), 1, 3), MONTHS_ES_SHORT), F.lit(1))
+    month = F.coalesce(month_text(F.substring(F.lower(F.regexp_extract(text, p, 2)), 1, 3), MONTHS_ES_SHORT), F.lit("01"))
     found = padded(number(text, p, 3), month, number(text, p, 1))
     iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10))
     return F.coalesce(iso, found, F.lit("Sin fecha"))
@@ -241,11 +233,10 @@ def es_tokens(c) -> Column:
     """``5 julio, 2023`` by position of its words; unknown month January, else unchanged."""
     parts = F.split(collapse(F.replace(c, F.lit(","), F.lit(""))), " ")
     get = lambda i: F.try_element_at(parts, F.lit(i))
-    month = F.coalesce(month_number(F.lower(get(2)), MONTHS_ES), F.lit(1))
-    day = get(1).try_cast("int").cast("string")
-    out = F.concat(get(3), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
-                   F.when(F.length(day) < 2, F.lpad(day, 2, "0")).otherwise(day))
-    return F.coalesce(out, c)
+    month = F.coalesce(month_text(F.lower(get(2)), MONTHS_ES), F.lit("01"))
+    day = F.format_string("%02d", get(1).try_cast("int"))
+    return F.coalesce(F.when(get(1).try_cast("int").isNotNull(),
+                             F.concat(get(3), F.lit("-"), month, F.lit("-"), day)), c)
 
 
 # --- mixed and numeric forms -------------------------------------------------------------
@@ -273,18 +264,18 @@ def mixed_day_first(c) -> Column:
     """``22 May, 2026`` or ``22 mayo 2026``, the long Spanish form, ISO, else empty."""
     low = collapse(F.lower(c))
     p = rf"(\d{{1,2}}){SPACE}+{_W},?{SPACE}+(\d{{4}})"
-    name = group(low, p, 2)
-    month = F.coalesce(month_number(F.substring(name, 1, 3), MONTHS_MIXED), month_number(name, MONTHS_ES))
+    name = F.regexp_extract(low, p, 2)
+    month = F.coalesce(month_text(F.substring(name, 1, 3), MONTHS_MIXED), month_text(name, MONTHS_ES))
     return F.coalesce(padded(number(low, p, 3), month, number(low, p, 1)),
                       _named(low, _DE, (3, 2, 1)), _iso_anywhere(low), F.lit(""))
 
 
 def english_short(c) -> Column:
     """``MAR 21, 2026``; anything else, impossible dates too, stays as it is."""
-    p = rf"^([A-Za-z]{{3}}){SPACE}+(\d{{1,2}}),{SPACE}+(\d{{4}})$"
+    p = rf"^([a-z]{{3}}){SPACE}+(\d{{1,2}}),{SPACE}+(\d{{4}})$"
     short = {k: v for k, v in MONTHS_EN.items() if len(k) == 3}
-    ts = moment(number(c, p, 3), month_number(F.lower(group(c, p, 1)), short), number(c, p, 2))
-    return F.coalesce(F.substring(show(ts), 1, 10), c)
+    low = F.lower(c)
+    return F.coalesce(day_text(moment(_named(low, p, (3, 1, 2), short))), c)
 
 
 _SLASHED = r"(\d{1,2})/(\d{1,2})/(\d{2,4})"
@@ -335,4 +326,5 @@ def any_numeric(c) -> Column:
 
 def slashed_strict(c) -> Column:
     """``22/03/2026`` as a real date; anything else stays."""
-    return F.coalesce(F.substring(show(_by_form(c, *NUMERIC_FORMS[4])), 1, 10), c)
+    pattern, form = NUMERIC_FORMS[4]
+    return F.coalesce(day_text(moment(F.when(c.rlike(pattern), F.regexp_replace(c, pattern, form)))), c)

@@ -23,6 +23,13 @@ STRICT_LIMIT = 30000
 STRICT_SUFFIX = "... [truncado]"
 
 
+def bind(c, fn) -> Column:
+    """``fn(c)`` with ``c`` computed once per row, however often ``fn`` uses it.
+
+    Without it an expensive ``c`` is repeated inside the generated code for every use."""
+    return F.element_at(F.transform(F.array(c), fn), 1)
+
+
 def strip(c) -> Column:
     return F.btrim(c, F.lit(SPACE_CHARS))
 

@@ -85,16 +85,11 @@ def sentinel_filter(df: DataFrame, sentinels, minimum=MIN_TEXT_LENGTH) -> DataFr
 
 def on_or_after(df: DataFrame, cutoff: str, column="publication_date") -> DataFrame:
     """Dated rows from ``cutoff`` on, plus all undated ones."""
-    day = F.substring(F.col(column), 1, 10)
-    return df.where(day.isNull() | (day == "") | (day >= cutoff))
+    return in_range(df, cutoff, None, column)
 
 
 def in_range(df: DataFrame, first=None, last=None, column="publication_date") -> DataFrame:
     """Dated rows within the inclusive range (either end open), plus all undated ones."""
-    day = F.substring(F.col(column), 1, 10)
-    inside = F.lit(True)
-    if first is not None:
-        inside = inside & (day >= first)
-    if last is not None:
-        inside = inside & (day <= last)
-    return df.where(day.isNull() | (day == "") | inside)
+    day = F.nullif(F.substring(F.col(column), 1, 10), F.lit(""))
+    inside = day.between(F.lit(first or "0000-00-00"), F.lit(last or "9999-99-99"))
+    return df.where(F.coalesce(inside, F.lit(True)))

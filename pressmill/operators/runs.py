@@ -12,7 +12,9 @@ ZERO_RUNS = 2
 HISTORY = 10
 AVERAGE_OVER = 7
 
-NEWEST = [F.desc("run_ts"), F.desc("id")]
+def _newest():
+    return [F.desc("run_ts"), F.desc("id")]
+
 
 # Ordered error rules, as (any of these texts, and any of these, type, description).
 ERROR_RULES = [
@@ -53,17 +55,17 @@ def error_class(message, trace=None):
 
 
 def last_run(runs: DataFrame) -> DataFrame:
-    return top_n(runs, ["source"], NEWEST, 1).drop("_rn")
+    return top_n(runs, ["source"], _newest(), 1).drop("_rn")
 
 
 def history(runs: DataFrame, n: int = HISTORY) -> DataFrame:
     """The newest ``n`` runs per source with their rank, newest first."""
-    return top_n(runs, ["source"], NEWEST, n, rank="rank")
+    return top_n(runs, ["source"], _newest(), n, rank="rank")
 
 
 def average_valid(runs: DataFrame, n: int = AVERAGE_OVER) -> DataFrame:
     """Mean of valid articles over the newest ``n`` successful runs per source."""
-    newest = top_n(runs.where("status = 'OK'"), ["source"], NEWEST, n)
+    newest = top_n(runs.where("status = 'OK'"), ["source"], _newest(), n)
     return newest.groupBy("source").agg(
         (F.sum("total_valid") / F.count("total_valid")).alias("avg_valid"))
 
