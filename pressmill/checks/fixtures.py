@@ -52,7 +52,7 @@ select concat('e', cast(event_id as string)) as source,
   case when event_id % 11 = 0 then null else concat('https://s', cast(user_id as string), '.example.org/') end as url,
   case when event_type = 'error' then null when event_id % 9 = 4 then 503 when event_id % 13 = 5 then 404
        else 200 end as status_code,
-  round(value / 20, 2) as duration_s,
+  value / 16 as duration_s,
   case when event_type <> 'error' then null
        else case event_id % 3 when 0 then 'ConnectionError' when 1 then 'Timeout' else 'TooManyRedirects' end
        end as exception

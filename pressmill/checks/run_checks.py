@@ -154,7 +154,7 @@ def error_classify(spark, sf_dir):
 HEALTH = """verdicts as (select source,
    url is null or url = '' or (exception is null and not coalesce(status_code >= 400, false)) as ok,
    case when url is not null and exception is null then status_code end as status_code,
-   case when url is null then 0.0 when exception = 'Timeout' then 10.0 else duration_s end as duration_s,
+   case when url is null then 0.0 when exception = 'Timeout' then 10.0 else cast(round(cast(duration_s as decimal(20,6)), 2) as double) end as duration_s,
    case when url is null then 'sin URL registrada — se permite pasar' when exception = 'ConnectionError'
      then 'no se pudo conectar — sitio caído o DNS no resuelve' when exception = 'Timeout' then 'sin respuesta después de 10s'
      when exception is not null then exception when status_code >= 400 then concat('servidor devolvió error HTTP ', status_code)

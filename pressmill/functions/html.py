@@ -26,6 +26,8 @@ ENTITIES = {
 }
 # Elements whose content never counts as text.
 SILENT_TAGS = ["script", "style", "noscript", "template"]
+INLINE_TAG = (r"(?i)</?(?:a|abbr|b|big|cite|code|em|font|i|ins|mark|q|s|small|span|strong|sub|sup|time|u)"
+              r"(?:\s[^>]*)?/?>")
 
 
 def _code_point(name: Column) -> Column:
@@ -76,7 +78,8 @@ def markup_to_text(c: Column) -> Column:
 
 
 def element_text(c: Column) -> Column:
-    return X.collapse(markup_to_text(c))
+    """Text as a reader sees it: inline tags vanish, other tags separate words."""
+    return X.collapse(markup_to_text(F.regexp_replace(c, INLINE_TAG, "")))
 
 
 def first_element(c: Column, tag: str) -> Column:

@@ -29,7 +29,7 @@ def classify(probes: DataFrame) -> DataFrame:
         .otherwise(F.lit(REASONS["ok"]))
     )
     duration = F.when(no_url, F.lit(0.0)).when(late, F.lit(float(TIMEOUT_S))) \
-        .otherwise(F.round("duration_s", 2))
+        .otherwise(F.round(F.col("duration_s").cast("decimal(20,6)"), 2).cast("double"))
     slow = ~no_url & F.coalesce(late | (exc.isNull() & (F.col("duration_s") > SLOW_S)), F.lit(False))
     return probes.select(
         "source", ok.alias("ok"),
