@@ -42,16 +42,19 @@ def decode_entities(c: Column) -> Column:
     """Character references to characters; unknown names stay. Ampersands are put back
     last, so that one pass never decodes its own output."""
     table = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
-    names = F.array_distinct(F.regexp_extract_all(c, F.lit("&(#?[0-9A-Za-z]+);"), F.lit(1)))
     ampersand = ["amp", "#38", "#x26", "#X26"]
-    ordered = F.concat(
-        F.filter(names, lambda n: ~n.isin(ampersand)), F.filter(names, lambda n: n.isin(ampersand)))
 
     def put(acc, n):
         ref = F.concat(F.lit("&"), n, F.lit(";"))
         return F.replace(acc, ref, F.coalesce(F.try_element_at(table, n), _code_point(n), ref))
 
-    return F.when(F.instr(c, "&") > 0, F.aggregate(ordered, c, put)).otherwise(c)
+    def decode(text):
+        names = F.array_distinct(F.regexp_extract_all(text, F.lit("&(#?[0-9A-Za-z]+);"), F.lit(1)))
+        ordered = F.sort_array(F.transform(names, lambda n: F.struct(n.isin(ampersand).alias("late"), n.alias("n"))))
+        return F.aggregate(ordered, text, lambda acc, x: put(acc, x["n"]))
+
+    # most texts have no reference at all, so they skip the fold
+    return X.bind(c, lambda text: F.when(F.instr(text, "&") > 0, decode(text)).otherwise(text))
 
 
 def drop_comments(c: Column) -> Column:

@@ -72,9 +72,8 @@ def clean_strict(c) -> Column:
     text = F.regexp_replace(text, STRICT_KEEP, "")
     text = F.regexp_replace(text, r"\?{2,}" + SPACE + "*", " ")
     text = F.translate(text, "\r\n\t\"“”|", "   '''-")
-    text = collapse(text)
-    cut = F.concat(F.substring(text, 1, STRICT_LIMIT), F.lit(STRICT_SUFFIX))
-    return F.coalesce(F.when(F.length(text) > STRICT_LIMIT, cut).otherwise(text), F.lit(""))
+    text = F.regexp_replace(collapse(text), rf"(?s)^(.{{{STRICT_LIMIT}}}).+$", "$1" + STRICT_SUFFIX)
+    return F.coalesce(text, F.lit(""))
 
 
 def section_slug(c, drop_plus=False) -> Column:
