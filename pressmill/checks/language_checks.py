@@ -8,8 +8,9 @@ from pressmill.checks.registry import check
 from pressmill.functions import language as L
 from pressmill.operators import gate as G
 
-GRAMS = """grams as (select doc_id, lang, substring(t, i, 3) as gram from
-   (select doc_id, lang, lower(text) as t, unnest(generate_series(1, length(text) - 2)) as i from documents)),
+GRAMS = """grams as (select doc_id, lang, concat(a, b, c) as gram from (select doc_id, lang,
+   unnest(k) as a, unnest(k[2:]) as b, unnest(k[3:]) as c from (select doc_id, lang, string_split(lower(text), '') as k from documents))
+   where c is not null),
  counts as (select lang, gram, count(*) as n from grams where lang is not null group by 1, 2),
  profiles as (select lang, gram, row_number() over (partition by lang order by n desc, gram) as rank, n from counts
    qualify rank <= 300)"""

@@ -10,36 +10,29 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.functions.text import bind
 from pressmill.operators.dedupe import top_n
 
 DEFAULT = "es"
 RANKS = 300
 
 
-def trigrams(text):
-    """All overlapping three-character pieces of the lower-cased text."""
-
-    def pieces(chars):
-        heads = F.slice(chars, F.lit(1), F.greatest(F.size(chars) - 2, F.lit(0)))
-        return F.transform(heads, lambda c, i: F.concat(c, F.get(chars, i + 1), F.get(chars, i + 2)))
-
-    # bound once: inside the lambda the split would run again for every character
-    return bind(F.split(F.lower(text), ""), pieces)
-
-
 def learn(labelled: DataFrame, text="text", label="lang", ranks=RANKS) -> DataFrame:
     """Profile rows (lang, gram, rank): the commonest trigrams of every language.
 
     Counts are combined inside each task before the shuffle; the ranking keeps ``ranks``
     rows per language per task, so a language holding most of the text does not pile up."""
-    grams = labelled.where(F.col(label).isNotNull()).select(F.col(label).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+    chars = labelled.where(F.col(label).isNotNull()).select(
+        F.col(label).alias("lang"), F.split(F.lower(F.col(text)), "").alias("a"))
+    # the character list against itself shifted by one and by two
+    shifted = chars.withColumns({"b": F.slice("a", F.lit(2), F.size("a")), "c": F.slice("a", F.lit(3), F.size("a"))})
+    grams = shifted.select("lang", F.inline(F.arrays_zip("a", "b", "c")).alias("a", "b", "c")) \
+        .where("c is not null").select("lang", F.concat("a", "b", "c").alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count("*").alias("n"))
     return top_n(counts, ["lang"], [F.desc("n"), "gram"], ranks, rank="rank").select("lang", "gram", "rank", "n")
 
 
 def _distances(text, ranks_by_lang, limit):
-    counts = Counter(text[i:i + 3] for i in range(len(text) - 2))
+    counts = Counter(map("".join, zip(text, text[1:], text[2:])))
     top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:limit]
     return {lang: sum(abs(r - ranks[g]) if g in ranks else limit for r, (g, _) in enumerate(top, 1))
             for lang, ranks in ranks_by_lang.items()} if top else {}
