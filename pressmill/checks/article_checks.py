@@ -38,7 +38,7 @@ def _judged(spark, sf_dir):
 
 @check("gate_articles", JUDGED + f"select {COLS} from judged where _discard_reason is null", ["articles"])
 def gate_articles(spark, sf_dir):
-    return G.valid(_judged(spark, sf_dir)).select(*ARTICLE_COLUMNS)
+    return G.accepted(G.enrich(articles(spark, sf_dir), AS_OF)).select(*ARTICLE_COLUMNS)
 
 
 @check("gate_discards", JUDGED + f"select {COLS}, _discard_reason from judged where _discard_reason is not null", ["articles"])

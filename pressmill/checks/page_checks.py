@@ -13,7 +13,6 @@ from pressmill.operators import extract as E
 from pressmill.operators import gate as G
 from pressmill.operators import links as L
 from pressmill.operators import stats as ST
-from pressmill.plans import corpus as C
 from pressmill.plans.profiles import NOISE_WORDS, PROFILES, profiles_frame
 
 # --- oracle pieces -------------------------------------------------------------------------
@@ -306,6 +305,6 @@ def page_articles(pages, as_of):
   v as (select * from a where length(full_text) >= 300 qualify row_number() over (partition by url order by page_id) = 1)
   select source, count(*) as articles, count(*) filter (regexp_matches(full_text, '<[^>]+>')) as with_markup from v group by source""")
 def pages_to_corpus(spark, sf_dir):
-    gated = G.valid(G.judge(G.enrich(page_articles(_pages(spark, sf_dir), AS_OF), AS_OF)))
-    return C.build(gated).groupBy("source").agg(
+    gated = G.accepted(G.enrich(page_articles(_pages(spark, sf_dir), AS_OF), AS_OF))
+    return gated.groupBy("source").agg(
         F.count("*").alias("articles"), F.count_if(has_markup(F.col("full_text"))).alias("with_markup"))

@@ -26,6 +26,7 @@ ENTITIES = {
 }
 # Elements whose content never counts as text.
 SILENT_TAGS = ["script", "style", "noscript", "template"]
+TAG = r"<[/!?A-Za-z][^>]*>"
 INLINE_TAG = (r"(?i)</?(?:a|abbr|b|big|cite|code|em|font|i|ins|mark|q|s|small|span|strong|sub|sup|time|u)"
               r"(?:\s[^>]*)?/?>")
 
@@ -62,10 +63,14 @@ def drop_comments(c: Column) -> Column:
 
 
 def drop_elements(c: Column, tags) -> Column:
-    """Remove whole elements of the given (non-nesting) tag names."""
-    for tag in tags:
-        c = F.regexp_replace(c, rf"(?is)<{tag}(?:\s[^>]*)?>.*?</{tag}\s*>", "")
-    return c
+    """Remove whole elements of the given (non-nesting) tag names, in one pass."""
+    return F.regexp_replace(c, rf"(?is)<({'|'.join(tags)})(?:\s[^>]*)?>.*?</\1\s*>", "")
+
+
+def drop_silent(c: Column) -> Column:
+    """Remove comments and elements whose content is never text, in one pass."""
+    return F.regexp_replace(
+        c, rf"(?is)<(?:!--.*?--|({'|'.join(SILENT_TAGS)})(?:\s[^>]*)?>.*?</\1\s*)>", "")
 
 
 def drop_class(c: Column, tag: str, part: str) -> Column:
@@ -76,25 +81,28 @@ def drop_class(c: Column, tag: str, part: str) -> Column:
 
 def markup_to_text(c: Column) -> Column:
     """Text of a markup fragment, one blank in place of each tag."""
-    body = drop_elements(drop_comments(c), SILENT_TAGS)
-    return decode_entities(F.regexp_replace(body, r"<[/!?A-Za-z][^>]*>", " "))
+    return decode_entities(F.regexp_replace(drop_silent(c), TAG, " "))
+
+
+def inline_text(c: Column) -> Column:
+    """Text as a reader sees it: inline tags vanish, other tags separate words. For markup
+    without comments and scripts."""
+    return X.collapse(decode_entities(F.regexp_replace(F.regexp_replace(c, INLINE_TAG, ""), TAG, " ")))
 
 
 def element_text(c: Column) -> Column:
-    """Text as a reader sees it: inline tags vanish, other tags separate words."""
-    return X.collapse(markup_to_text(F.regexp_replace(c, INLINE_TAG, "")))
+    return inline_text(drop_silent(c))
 
 
 def first_element(c: Column, tag: str) -> Column:
-    """Inner markup of the first ``tag`` element; null if there is none."""
-    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+    """Inner markup of the first ``tag`` element; null if there is none or it is empty."""
+    return F.nullif(F.regexp_extract(c, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>", 1), F.lit(""))
 
 
 def first_with_class(c: Column, tag: str, part: str) -> Column:
     """Inner markup of the first flat ``tag`` element whose class contains ``part``."""
     pattern = rf'(?is)<{tag}\s[^>]*class="[^"]*{part}[^"]*"[^>]*>(.*?)</{tag}\s*>'
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, 1))
+    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
 
 
 def attribute(c: Column, tag: str, marker: str, name: str) -> Column:
@@ -105,8 +113,9 @@ def attribute(c: Column, tag: str, marker: str, name: str) -> Column:
 
 
 def block_texts(c: Column, tag: str = "p") -> Column:
-    """Texts of all ``tag`` blocks in order; a start tag closes an open block of its kind."""
+    """Texts of all ``tag`` blocks in order; a start tag closes an open block of its kind.
+    Comments and scripts must be gone already."""
     pieces = F.split(c, rf"(?i)<{tag}(?:\s[^>]*)?>")
     pieces = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
-    return F.transform(pieces, lambda p: element_text(
-        F.element_at(F.split(p, rf"(?i)</{tag}\s*>"), 1)))
+    return F.transform(pieces, lambda p: inline_text(
+        F.regexp_replace(p, rf"(?is)</{tag}\s*>.*", "")))

@@ -4,8 +4,7 @@ Profiles are learned from labelled text with a plain aggregation. Detection scor
 text inside its task against all profiles, so texts are never exploded or shuffled.
 """
 
-from collections import Counter
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,11 +30,23 @@ def learn(labelled: DataFrame, text="text", label="lang", ranks=RANKS) -> DataFr
     return top_n(counts, ["lang"], [F.desc("n"), "gram"], ranks, rank="rank").select("lang", "gram", "rank", "n")
 
 
-def _distances(text, ranks_by_lang, limit):
-    counts = Counter(map("".join, zip(text, text[1:], text[2:])))
-    top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:limit]
-    return {lang: sum(abs(r - ranks[g]) if g in ranks else limit for r, (g, _) in enumerate(top, 1))
-            for lang, ranks in ranks_by_lang.items()} if top else {}
+def _codes(text):
+    """One number per trigram, ordered like the trigrams themselves."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32).astype(np.int64)
+    return (points[:-2] << 42) | (points[1:-1] << 21) | points[2:]
+
+
+def _nearest(text, langs, codes, ranks, limit):
+    """First language with the smallest sum of rank differences, or None without trigrams."""
+    grams = _codes(text)
+    if not len(grams):
+        return None
+    found, n = np.unique(grams, return_counts=True)
+    top = found[np.argsort(-n, kind="stable")[:limit]]
+    at = np.minimum(np.searchsorted(codes, top), len(codes) - 1)
+    theirs = np.where(codes[at] == top, ranks[:, at], 0)
+    distance = np.where(theirs > 0, np.abs(theirs - np.arange(1, len(top) + 1)), limit).sum(axis=1)
+    return langs[int(distance.argmin())]
 
 
 def detector(profiles: DataFrame, default=DEFAULT, ranks=RANKS):
@@ -43,20 +54,17 @@ def detector(profiles: DataFrame, default=DEFAULT, ranks=RANKS):
 
     The profiles are at most ``ranks`` rows per language; they travel as a broadcast value.
     Ties go to the first language by name; texts without any trigram get ``default``."""
-    spark = profiles.sparkSession
-    by_lang = {}
-    for r in profiles.select("lang", "gram", "rank").where(F.col("rank") <= ranks).collect():
-        by_lang.setdefault(r["lang"], {})[r["gram"]] = r["rank"]
-    shared = spark.sparkContext.broadcast(dict(sorted(by_lang.items())))
+    rows = profiles.select("lang", "gram", "rank").where(F.col("rank") <= ranks).collect()
+    langs = sorted({r["lang"] for r in rows})
+    codes = np.unique([int(_codes(r["gram"])[0]) for r in rows])
+    table = np.zeros((len(langs), len(codes)), dtype=np.int64)
+    for r in rows:
+        table[langs.index(r["lang"]), np.searchsorted(codes, _codes(r["gram"])[0])] = r["rank"]
+    shared = profiles.sparkSession.sparkContext.broadcast((langs, codes, table))
 
     @F.pandas_udf("string")
     def nearest(texts: pd.Series) -> pd.Series:
-        known = shared.value
-
-        def one(text):
-            found = _distances(text or "", known, ranks)
-            return min(found, key=lambda k: (found[k], k)) if found else default
-
-        return texts.map(one)
+        langs, codes, table = shared.value
+        return texts.map(lambda t: (_nearest(t or "", langs, codes, table, ranks) if langs else None) or default)
 
     return lambda c: nearest(F.lower(c))

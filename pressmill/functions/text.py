@@ -13,12 +13,15 @@ SPACE_CHARS = (
     + "".join(chr(c) for c in range(0x2000, 0x200b))
     + "    　"
 )
+# The same characters as the engine's own class, which it tests much faster.
+RUN = r"(?U)[\s\x1c-\x1f]"
 TAG = r"<[^>]+>"
 WORD = r"[\p{L}\p{M}\p{N}_]"
 
 # Fixed values of the strict cleaner.
 STRICT_KEEP = (r"[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
                r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}.,;:!?\-()" + "\"'/¿¡]")
+_STRICT_FAST = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f.,;:!?\-()" + "\"'/¿¡]"
 STRICT_LIMIT = 30000
 STRICT_SUFFIX = "... [truncado]"
 
@@ -39,7 +42,7 @@ def is_blank(c) -> Column:
 
 
 def collapse(c) -> Column:
-    return strip(F.regexp_replace(c, SPACE + "+", " "))
+    return strip(F.regexp_replace(c, RUN + "+", " "))
 
 
 def clean_block(c) -> Column:
@@ -59,7 +62,7 @@ def has_markup(c) -> Column:
 
 def strip_markup(c) -> Column:
     """Tags out, runs of white space to one blank; null-like texts stay as they are."""
-    cleaned = strip(F.regexp_replace(F.regexp_replace(c, TAG, " "), SPACE + "{2,}", " "))
+    cleaned = strip(F.regexp_replace(F.regexp_replace(c, TAG, " "), RUN + "{2,}", " "))
     keep = c.isNull() | (c == "") | strip(c).isin(STRIP_EXEMPT_TOKENS)
     return F.when(keep, c).otherwise(cleaned)
 
@@ -69,9 +72,10 @@ def clean_strict(c) -> Column:
     from pressmill.functions.html import markup_to_text
 
     text = F.when(c.contains("<") & c.contains(">"), markup_to_text(c)).otherwise(c)
-    text = F.regexp_replace(text, STRICT_KEEP, "")
+    text = F.regexp_replace(text, _STRICT_FAST, "")
     text = F.regexp_replace(text, r"\?{2,}" + SPACE + "*", " ")
-    text = F.translate(text, "\r\n\t\"“”|", "   '''-")
+    # curly quotes and pipes went with the rare symbols; line ends go with the white space
+    text = F.replace(text, F.lit('"'), F.lit("'"))
     text = F.regexp_replace(collapse(text), rf"(?s)^(.{{{STRICT_LIMIT}}}).+$", "$1" + STRICT_SUFFIX)
     return F.coalesce(text, F.lit(""))
 

@@ -20,7 +20,7 @@ def drop_teasers(texts):
 
 def paragraphs(page, least=15, distinct=True, container="article"):
     """Paragraph texts of the first container, without Python: for flat page layouts."""
-    body = M.drop_elements(M.drop_comments(page), M.SILENT_TAGS)
+    body = M.drop_silent(page)
     texts = M.block_texts(F.coalesce(M.first_element(body, container), F.lit("")))
     texts = F.filter(texts, lambda t: F.length(t) >= least)
     return F.array_distinct(texts) if distinct else texts

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.operators.dedupe import mark_first
+from pressmill.operators.dedupe import keep_first, mark_first
 from pressmill.schema import ARTICLE_COLUMNS, MIN_TEXT_LENGTH, NULL_TEXT
 
 # Reason texts of the discard log.
@@ -54,6 +54,12 @@ def judge(df: DataFrame, order=("file", "seq"), null_dates=()) -> DataFrame:
     return marked.withColumn("_discard_reason", reason).drop("_first")
 
 
+def accepted(df: DataFrame, order=("file", "seq"), null_dates=()) -> DataFrame:
+    """Only the records that pass, first of every URL: one shuffle and a single look at
+    ``df`` where the discards are not wanted."""
+    return keep_first(df.where(reject_reason(null_dates).isNull()), ["url"], list(order))
+
+
 def valid(judged: DataFrame) -> DataFrame:
     return judged.where("_discard_reason is null").drop("_discard_reason")
 

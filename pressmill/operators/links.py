@@ -13,7 +13,7 @@ ANCHOR = r'(?is)(<a\s[^>]*href="[^"]*"[^>]*>.*?</a\s*>)'
 
 def anchors(pages: DataFrame, *keep) -> DataFrame:
     """One row per anchor with its place on the page, address, text and inner markup."""
-    page = M.drop_elements(M.drop_comments(F.col("html")), M.SILENT_TAGS)
+    page = M.drop_silent(F.col("html"))
     found = F.regexp_extract_all(page, F.lit(ANCHOR), F.lit(1))
     exploded = pages.select(*keep, F.posexplode(found).alias("seq", "anchor"))
     inner = F.regexp_extract("anchor", r"(?is)^<a\s[^>]*>(.*)</a\s*>$", 1)

@@ -51,18 +51,18 @@ def to_articles(posts: DataFrame, categories: DataFrame, source, scraping_date:
     names = categories.select(F.col("id").alias("_cid"), F.col("name").alias("_name"))
     first = posts.withColumn("_first", F.try_element_at("categories", F.lit(1)))
     joined = first.join(names, F.col("_first") == F.col("_cid"), "left")
-    out = joined.withColumns({
-        "source": source, "url": F.coalesce("link", F.lit("")),
-        "_title": clean_strict(F.col("title.rendered")), "full_text": clean_strict(F.col("content.rendered")),
-    }).where((F.col("_title") != "") | (F.col("full_text") != ""))
     given = F.nullif(F.col("date"), F.lit(""))
-    return out.select(
-        "id", "source", "url", F.col("_title").alias("title"),
+    texts = F.struct(clean_strict(F.col("title.rendered")).alias("title"),
+                     clean_strict(F.col("content.rendered")).alias("full_text"))
+    # a generator keeps the non-empty ones: a filter would be pushed down and clean twice
+    kept = F.filter(F.array(texts), lambda t: (t["title"] != "") | (t["full_text"] != ""))
+    return joined.select(
+        "id", source.alias("source"), F.coalesce("link", F.lit("")).alias("url"),
         # an unreadable date is null; the missing-date text is used only where none was given
         F.when(given.isNull(), F.lit(UNDATED)).otherwise(iso_wall_clock(given)).alias("publication_date"),
         F.lit(scraping_date).alias("scraping_date"),
-        clean_strict(F.coalesce("_name", F.lit(DEFAULT_SECTION))).alias("section"), "full_text",
-        F.lit("es").alias("language"))
+        clean_strict(F.coalesce("_name", F.lit(DEFAULT_SECTION))).alias("section"),
+        F.lit("es").alias("language"), F.inline(kept))
 
 
 def to_sectioned_articles(posts: DataFrame, site: str, section, source: str, scraping_date: str) -> DataFrame:
