@@ -7,6 +7,7 @@ from pressmill.checks.date_checks import AS_OF
 from pressmill.checks.fixtures import articles, executions, table
 from pressmill.checks.registry import check
 from pressmill.operators import gate as G
+from pressmill.operators import quality as Q
 from pressmill.operators.dedupe import keep_first
 from pressmill.plans import intake as I
 from pressmill.schema import ARTICLE_AUTHOR, ARTICLE_COLUMNS, AUTHOR_COLUMNS, TOLERANT_NULLS
@@ -113,6 +114,20 @@ def scan_headers(spark, sf_dir):
     return found.select("file", "sep", F.array_join("columns", "+").alias("header"), "readable")
 
 
+@check("quality_file_level", f"""select distinct file, case when source < 'src15' then 'missing_columns' else 'missing_file' end as type,
+  case when source < 'src15' then 'source, url' else file end as value, case when source < 'src15' then 2 else 1 end as count,
+  case when source < 'src15' then 'Columnas obligatorias ausentes: [''source'', ''url'']' else 'El archivo no existe' end as details
+  from articles""", ["articles"])
+def quality_file_level(spark, sf_dir):
+    """Files without some columns, and files that were expected but are not there."""
+    df = articles(spark, sf_dir)
+    folder = shared_folder(spark)
+    W.write_delimited(df.where("source < 'src15'").repartition("file"), folder, columns=ARTICLE_COLUMNS[2:], by=["file"])
+    found = D.headers(spark, _paths(folder)).select("file", "columns", F.lit(True).alias("present"))
+    expected = df.select("file").distinct().join(found, "file", "left")
+    return Q.file_level_issues(expected.withColumn("present", F.coalesce("present", F.lit(False))))
+
+
 _READ = ", ".join(f"coalesce(case when {c} in ({TOKENS}) then null else {c} end, 'NULL') as {c}" for c in ARTICLE_COLUMNS)
 
 

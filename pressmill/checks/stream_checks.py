@@ -42,11 +42,14 @@ def stream_dedupe(spark, sf_dir):
   select source, strftime(date_trunc('day', run_ts), '%Y-%m-%d') as day, count(*) as articles from e, w
   where date_trunc('day', run_ts) + interval 1 day <= mark group by 1, 2""", ["executions"])
 def stream_daily_counts(spark, sf_dir):
-    df = executions(spark, sf_dir).select("source", F.col("run_ts").cast("timestamp").alias("scraping_ts"))
+    # a watermark needs an instant: the wall clock is read as UTC, whatever the session zone
+    instant = F.to_timestamp(F.concat(F.col("run_ts").cast("string"), F.lit(" UTC")))
+    df = executions(spark, sf_dir).select("source", instant.alias("scraping_ts"))
     root, stream = _landed(spark, df)
     ST.write_parquet(ST.daily_counts(stream), root + "/out", root + "/state").awaitTermination()
     return spark.read.parquet(root + "/out").select(
-        "source", F.date_format("window.start", "yyyy-MM-dd").alias("day"), "articles")
+        "source", F.expr("cast(date_from_unix_date(cast(unix_seconds(window.start) div 86400 as int)) as string)").alias("day"),
+        "articles")
 
 
 @check("stream_anomaly", f"with {VERDICTS} select id, source, total_valid, level, reason from judged", ["executions"])
