@@ -100,20 +100,23 @@ def body_texts(pages: DataFrame) -> DataFrame:
     long_enough = lambda p: F.length(p["text"]) > F.col("need")
     whole = F.size("blocks_of") == 0
     per_k = F.filter("_candidates", lambda c: ~F.exists("_candidates", lambda o: (o["k"] == c["k"]) & (o["node"] < c["node"])))
-    first = F.filter(per_k, lambda c: whole | F.exists("_wanted", lambda b: _inside(b, c) & (b["text"] != "")))
+    has_blocks = lambda c: F.exists("_wanted", lambda b: _inside(b, c) & (F.length(b["text"]) >= F.col("least")))
+    filled = F.filter("_candidates", has_blocks)
+    filled = F.filter(filled, lambda c: ~F.exists(filled, lambda o: o["k"] < c["k"]))
     scan = F.filter(per_k, lambda c: count(c, long_enough) > 0)
     ranked = F.array_sort(F.transform("_candidates", lambda c: F.struct(
         (-count(c, anything)).alias("n"), c["node"].alias("node"), c.alias("c"))))
     most = F.transform(F.filter(ranked, lambda r: -r["n"] >= F.greatest(F.col("need"), F.lit(1))), lambda r: r["c"])
     one = lambda a: F.slice(a, 1, 1)
     chosen = F.when(F.col("choose") == "most", one(most)).when(F.col("choose") == "scan", one(scan)) \
-        .when(F.col("choose") == "all", F.col("_candidates")).otherwise(one(first))
+        .when(F.col("choose") == "all", F.col("_candidates")).when(F.col("choose") == "filled", filled) \
+        .otherwise(one(per_k))
     step4 = step3.withColumn("_chosen", chosen)
     inner = F.filter("_wanted", lambda b: F.exists("_chosen", lambda c: _inside(b, c)))
     blocks = F.filter(F.transform(inner, lambda b: b["text"]), lambda t: (F.length(t) >= F.col("least")) & (t != ""))
     fallback = F.filter(F.transform("_pars", lambda p: p["text"]), lambda t: F.length(t) > F.col("fallback"))
     # a chosen container without qualifying blocks gives its own text where the profile says so
-    bare = F.filter("_chosen", lambda c: ~F.exists("_wanted", lambda b: _inside(b, c) & (F.length(b["text"]) >= F.col("least"))))
+    bare = F.filter("_chosen", lambda c: ~has_blocks(c))
     own = F.filter(F.transform(bare, lambda c: F.substring(read(c), F.lit(1), F.col("else_text"))), lambda t: t != "")
     found = F.when((F.col("choose") == "scan") & (F.size("_chosen") == 0), fallback) \
         .when(whole, F.transform("_chosen", read)) \

@@ -5,7 +5,8 @@
 #
 # Containers: ``tag.class`` asks for that class, ``tag*part`` for a part of the class text,
 # ``tag#part`` for a part of the id, a leading ``outer `` for an enclosing element.
-# choose: first (first container with blocks), most (most paragraphs), all (every container),
+# choose: first (first container there is), filled (all of the first kind with blocks),
+#         most (most paragraphs), all (every container),
 #         scan (first container with a paragraph over ``need`` characters, else all page
 #         paragraphs over ``fallback`` characters).
 # else_text: characters of the container's text taken when no block qualifies (0 for none).
@@ -42,7 +43,7 @@ def _row(source, containers, blocks=PARAGRAPHS, least=15, distinct=False, choose
 
 
 PROFILES = [
-    _row("elperiodicocr", ["div.td-post-content", "div.tdb-block-inner"], least=10, distinct=True),
+    _row("elperiodicocr", ["div.td-post-content", "div.tdb-block-inner"], least=10, distinct=True, choose="filled"),
     _row("lareaccioncr", ["article"], ["p", "li", "blockquote"], 11),
     _row("larevistacr", ["article*page-content-single", "article*single", "article"], least=16),
     _row("latejacr", ["article*ArticleBody", "article*article-body", "div*ArticleBody", "div*article-body", "article"],
