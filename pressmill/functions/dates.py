@@ -7,7 +7,7 @@ on the session time zone. "Now" never appears: a reference time is always an arg
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressmill.functions.text import SPACE, WORD, collapse, strip
+from pressmill.functions.text import SPACE, WORD, collapse, literal_map, strip
 
 # Month names.
 MONTHS_ES = {
@@ -64,8 +64,7 @@ def number(c, pattern, i) -> Column:
 
 def month_text(name, months) -> Column:
     """Two-digit month of a name; null for unknown names."""
-    table = F.create_map(*[F.lit(x) for k, v in months.items() for x in (k, f"{v:02d}")])
-    return F.try_element_at(table, name)
+    return F.try_element_at(literal_map({k: f"{v:02d}" for k, v in months.items()}), name)
 
 
 def moment(text) -> Column:
@@ -108,7 +107,7 @@ def _rewritten(c) -> Column:
 
 
 def relative_moment(c, reference) -> Column:
-    units = F.create_map(*[F.lit(x) for kv in RELATIVE_UNITS.items() for x in kv])
+    units = literal_map({k: str(v) for k, v in RELATIVE_UNITS.items()})
     unit = F.try_element_at(units, F.lower(F.regexp_extract(c, RELATIVE, 2)))
     # 17 million hours or more would leave the calendar
     hours = F.try_multiply(F.regexp_extract(c, RELATIVE, 1).try_cast("bigint"), unit.cast("bigint")).try_cast("int")

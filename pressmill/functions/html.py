@@ -42,7 +42,7 @@ def _code_point(name: Column) -> Column:
 def decode_entities(c: Column) -> Column:
     """Character references to characters; unknown names stay. Ampersands are put back
     last, so that one pass never decodes its own output."""
-    table = F.create_map(*[F.lit(x) for kv in ENTITIES.items() for x in kv])
+    table = X.literal_map(ENTITIES)
     ampersand = ["amp", "#38", "#x26", "#X26"]
 
     def put(acc, n):

@@ -26,6 +26,12 @@ STRICT_LIMIT = 30000
 STRICT_SUFFIX = "... [truncado]"
 
 
+def literal_map(table) -> Column:
+    """Constant map of texts, built in one call."""
+    quote = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.expr("map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in table.items()) + ")")
+
+
 def bind(c, fn) -> Column:
     """``fn(c)`` with ``c`` computed once per row, however often ``fn`` uses it.
 
