@@ -7,7 +7,7 @@ from pressmill.checks.date_checks import AS_OF
 from pressmill.checks.fixtures import table
 from pressmill.checks.registry import check
 from pressmill.functions import html as M
-from pressmill.functions.text import has_markup
+from pressmill.functions.text import has_markup, once
 from pressmill.functions.urls import canonical, host_of, section_by_path
 from pressmill.operators import extract as E
 from pressmill.operators import gate as G
@@ -293,11 +293,11 @@ def page_articles(pages, as_of):
     Pages carry no date of their own, so the scraping date stands in for it."""
     page = F.col("html")
     return pages.select(
-        host_of(F.col("url")).alias("source"), canonical(F.col("url")).alias("url"), E.title(page).alias("title"),
+        host_of(F.col("url")).alias("source"), canonical(F.col("url")).alias("url"),
         F.lit(as_of).alias("publication_date"), section_by_path(F.col("url")).alias("section"),
-        F.array_join(E.paragraphs(page), "\n\n").alias("full_text"),
         F.regexp_extract(page, r'(?i)<html[^>]*\slang="([A-Za-z]{2})', 1).alias("language"),
-        F.lit("pages").alias("file"), F.col("page_id").alias("seq"))
+        F.lit("pages").alias("file"), F.col("page_id").alias("seq"),
+        once(title=E.title(page), full_text=F.array_join(E.paragraphs(page), "\n\n")))
 
 
 @check("pages_to_corpus", f"""with a as (select regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) as source, regexp_replace(url, '[?#].*', '') as url,

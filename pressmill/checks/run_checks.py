@@ -121,19 +121,7 @@ def _class_sql(x):
   union all select 'anomaly', source, status, total_valid, null, null, null, level, reason
     from results where status = 'OK' and level <> 'ok'""", ["executions"])
 def runs_rollup_detail(spark, sf_dir):
-    results = _results(spark, sf_dir)
-    null = F.lit(None).cast("string")
-    number = F.lit(None).cast("int")
-    ok = R.successes(results).join(results.select("source", "level", "reason"), "source").select(
-        F.lit("ok").alias("part"), "source", F.lit("OK").alias("status"), "total_valid", "total_discarded",
-        null.alias("error_type"), null.alias("error_desc"), "level", "reason")
-    failed = R.failures(results).select(
-        F.lit("failed").alias("part"), "source", "status", number.alias("total_valid"), number.alias("total_discarded"),
-        "error_type", "error_desc", null.alias("level"), null.alias("reason"))
-    odd = R.flagged(results).join(results.select("source", "total_valid"), "source").select(
-        F.lit("anomaly").alias("part"), "source", F.lit("OK").alias("status"), "total_valid", number.alias("total_discarded"),
-        null.alias("error_type"), null.alias("error_desc"), "level", "reason")
-    return ok.unionByName(failed).unionByName(odd)
+    return R.detail(_results(spark, sf_dir))
 
 
 ERRORS = """case event_id % 17 when 0 then 'Page.goto: Timeout 30000ms exceeded' when 1 then 'requests.ConnectionError: refused'

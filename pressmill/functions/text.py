@@ -39,6 +39,14 @@ def bind(c, fn) -> Column:
     return F.element_at(F.transform(F.array(c), fn), 1)
 
 
+def once(**columns) -> Column:
+    """The given columns behind a generator, for use in ``select``.
+
+    Filters are pushed below ordinary projections and then repeat the expressions they
+    test; they are not pushed below a generator, so costly columns are computed once."""
+    return F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+
+
 def strip(c) -> Column:
     return F.btrim(c, F.lit(SPACE_CHARS))
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pressmill.functions import html as M
 from pressmill.functions.dates import iso_local
 from pressmill.functions.outline import outline
-from pressmill.functions.text import collapse
+from pressmill.functions.text import collapse, once
 from pressmill.functions.urls import section_by_path
 
 # Paragraph texts that are advertising or teasers.
@@ -258,5 +258,5 @@ def articles(pages: DataFrame, profiles: DataFrame, scraping_date: str) -> DataF
         "language": F.nullif(F.lower(F.regexp_extract(page, r'(?i)<html[^>]*\slang="([A-Za-z]{2})', 1)), F.lit("")),
     })
     return body_texts(fields).select(
-        "page_id", "source", "url", "title", "author", "publication_date",
-        F.lit(scraping_date).alias("scraping_date"), "section", "full_text", "language")
+        "page_id", "source", "url", "title", "author", F.lit(scraping_date).alias("scraping_date"), "section",
+        "language", once(publication_date=F.col("publication_date"), full_text=F.col("full_text")))

@@ -174,23 +174,36 @@ def rollup(results: DataFrame) -> DataFrame:
         total(inc, "total_valid").alias("valid_incremental"))
 
 
+def detail(results: DataFrame) -> DataFrame:
+    """The tables of a run summary as one long table (``part`` ok, failed or anomaly), from
+    a single look at ``results``: successes, failures with their class, flagged successes."""
+    ok, down = F.col("status") == "OK", F.col("status") == "SKIPPED"
+    cls = error_class(F.col("error_msg"))
+    text, number = F.lit(None).cast("string"), F.lit(None).cast("int")
+
+    def row(part, valid=number, gone=number, kind=text, desc=text, level=text, reason=text):
+        return F.struct(F.lit(part).alias("part"), valid.alias("total_valid"), gone.alias("total_discarded"),
+                        kind.alias("error_type"), desc.alias("error_desc"), level.alias("level"), reason.alias("reason"))
+
+    good = row("ok", F.col("total_valid"), F.col("total_discarded"), level=F.col("level"), reason=F.col("reason"))
+    odd = row("anomaly", F.col("total_valid"), level=F.col("level"), reason=F.col("reason"))
+    failed = row("failed", kind=F.when(down, F.lit("SITIO CAÍDO")).otherwise(cls["type"]),
+                 desc=F.when(down, F.col("error_msg")).otherwise(cls["description"]))
+    rows = F.when(ok & (F.coalesce(F.col("level"), F.lit("ok")) != "ok"), F.array(good, odd)) \
+        .when(ok, F.array(good)).when(down | (F.col("status") == "ERROR"), F.array(failed))
+    return results.select("source", "status", F.inline(rows))
+
+
 def successes(results: DataFrame) -> DataFrame:
-    return results.where("status = 'OK'").select(
-        "source", "total_valid", "total_discarded", "duration_s",
-        (F.coalesce(F.col("level"), F.lit("ok")) != "ok").alias("flagged")).orderBy(F.desc("total_valid"), "source")
+    return detail(results).where("part = 'ok'").orderBy(F.desc("total_valid"), "source")
 
 
 def failures(results: DataFrame) -> DataFrame:
-    """Errors with their class, and sources left out for bad health."""
-    cls = error_class(F.col("error_msg"))
-    kind = F.when(F.col("status") == "SKIPPED", F.lit("SITIO CAÍDO")).otherwise(cls["type"])
-    text = F.when(F.col("status") == "SKIPPED", F.col("error_msg")).otherwise(cls["description"])
-    return results.where("status in ('ERROR', 'SKIPPED')").select(
-        "source", "status", kind.alias("error_type"), text.alias("error_desc"))
+    return detail(results).where("part = 'failed'").select("source", "status", "error_type", "error_desc")
 
 
 def flagged(results: DataFrame) -> DataFrame:
-    return results.where("status = 'OK' and level <> 'ok'").select("source", "level", "reason")
+    return detail(results).where("part = 'anomaly'").select("source", "level", "reason")
 
 
 def run_record(results: DataFrame, at: str) -> DataFrame:
