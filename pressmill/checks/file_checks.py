@@ -161,8 +161,8 @@ def corpus_latest(spark, sf_dir):
     W.write_version(df.select("url", "source", "seq"), root, "20240601", 10)
     whole = df.where("url is not null")
     W.write_version(keep_first(whole, ["url"], ["file", "seq"]).select("url", "source", "seq"), root, "20240602", 1)
-    top = W.latest_version(W.versions(spark, root))
-    return W.read_latest(spark, root).join(F.broadcast(top), F.lit(True)).select("dt", "v", "url", "source", "seq")
+    dt, v = W.latest_version(W.versions(spark, root)).first()
+    return W.read_latest(spark, root).select(F.lit(dt).alias("dt"), F.lit(v).alias("v"), "url", "source", "seq")
 
 
 @check("corpus_next_version", """select strftime(run_date, '%Y%m%d') as dt, max(id % 17) + 1 as next_v from executions group by 1""", ["executions"])

@@ -39,18 +39,20 @@ def mark_first(df: DataFrame, keys, order, flag="is_first", among=None) -> DataF
     for k, n in zip(keys, names):
         match = match & F.col(k).eqNullSafe(F.col(n))
     for i, c in enumerate(order):
-        match = match & (F.col(c) == F.col(f"_o{i}"))
+        match = match & F.col(c).eqNullSafe(F.col(f"_o{i}"))
     joined = df.join(firsts, match, "left")
     return joined.select(*df.columns, F.coalesce(F.col("_hit"), F.lit(False)).alias(flag))
 
 
-def unseen(new: DataFrame, known: DataFrame, key: str, known_key: str = None) -> DataFrame:
-    """Rows of ``new`` whose ``key`` is not in ``known``; null keys always count as new.
+def unseen_keyed(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Rows of ``new`` with a ``key`` that ``known`` does not hold; rows without key are left
+    out. Only the key column of ``known`` is read."""
+    known_keys = known.select(F.col(key).alias("_seen")).where("_seen is not null")
+    return new.where(F.col(key).isNotNull()).join(known_keys, F.col(key) == F.col("_seen"), "left_anti")
 
-    Null keys never enter the join: they would all land in one partition. Only the key
-    column of ``known`` is read.
-    """
-    known_keys = known.select(F.col(known_key or key).alias("_seen")).where("_seen is not null")
-    keyed = new.where(F.col(key).isNotNull())
-    fresh = keyed.join(known_keys, F.col(key) == F.col("_seen"), "left_anti")
-    return fresh.unionByName(new.where(F.col(key).isNull()))
+
+def unseen(new: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """As ``unseen_keyed``, with the rows without key added: they always count as new.
+
+    Null keys never enter the join: they would all land in one partition."""
+    return unseen_keyed(new, known, key).unionByName(new.where(F.col(key).isNull()))

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import is_blank, strip
-from pressmill.operators.dedupe import keep_first, unseen
+from pressmill.operators.dedupe import keep_first, unseen, unseen_keyed
 from pressmill.schema import NULL_TEXT
 
 
@@ -77,23 +77,27 @@ def overview(corpus: DataFrame) -> DataFrame:
         F.min("publication_date").alias("oldest"))
 
 
+def _look_up(corpus: DataFrame, batch: DataFrame, rule) -> DataFrame:
+    known = corpus.select(strip(F.col("url")).alias("_url"))
+    return rule(batch.withColumn("_url", strip(F.col("url"))), known, "_url").drop("_url")
+
+
 def arrivals(corpus: DataFrame, batch: DataFrame) -> DataFrame:
     """Rows of ``batch`` whose trimmed URL the corpus does not hold (null URLs included)."""
-    known = corpus.select(strip(F.col("url")).alias("_url"))
-    keyed = batch.withColumn("_url", strip(F.col("url")))
-    return unseen(keyed, known, "_url").drop("_url")
+    return _look_up(corpus, batch, unseen)
 
 
 def additions(corpus: DataFrame, batch: DataFrame, order=("file", "seq")) -> DataFrame:
     """The rows an update appends: first of every unseen URL.
 
     Trimming applies to the look-up only. A row without URL is added once, and only if the
-    corpus has none.
+    corpus has none; such rows go their own way, as one group of any size cut per task.
     """
-    fresh = keep_first(arrivals(corpus, batch), ["url"], list(order))
+    order = list(order)
+    fresh = keep_first(_look_up(corpus, batch, unseen_keyed), ["url"], order)
     held = corpus.where("url is null").select(F.lit(1).alias("_held")).limit(1)
-    nameless = fresh.where("url is null").join(held, F.lit(1) == F.col("_held"), "left_anti")
-    return fresh.where("url is not null").unionByName(nameless)
+    nameless = keep_first(batch.where("url is null"), ["url"], order)
+    return fresh.unionByName(nameless.join(held, F.lit(1) == F.col("_held"), "left_anti"))
 
 
 def update(corpus: DataFrame, batch: DataFrame, order=("file", "seq"), unique=True) -> DataFrame:
