@@ -111,8 +111,7 @@ def corpus_build(spark, sf_dir):
 
 @check("corpus_by_source", f"with {BUILT} select source, count(*) as articles from built where source is not null group by source", ["articles"])
 def corpus_by_source(spark, sf_dir):
-    df = articles(spark, sf_dir).select("source", "url", "file", "seq", "full_text")
-    return C.by_source(C.build(df))
+    return C.by_source(C.build(C.counted(articles(spark, sf_dir))))
 
 
 @check("corpus_build_stats", f"""with {BUILT} select (select count(*) from articles) as total_raw,
@@ -128,7 +127,7 @@ def corpus_build_stats(spark, sf_dir):
 @check("corpus_overview", f"""with {BUILT} select count(*) as articles, count(distinct source) as sources,
   max(publication_date) as newest, min(publication_date) as oldest from built""", ["articles"])
 def corpus_overview(spark, sf_dir):
-    return C.overview(C.build(articles(spark, sf_dir)))
+    return C.overview(C.build(C.counted(articles(spark, sf_dir), "publication_date")))
 
 
 # the corpus holds some outlets already; the batch brings the articles of all of them

@@ -45,6 +45,12 @@ def build(df: DataFrame, order=("file", "seq"), filter_first=False) -> DataFrame
     return keep_first(df, ["url"], list(order)).where(has_value("full_text") & has_value("url"))
 
 
+def counted(df: DataFrame, *keep) -> DataFrame:
+    """Records for counting: the text shrinks to a mark before anything is shuffled."""
+    mark = F.when(has_value("full_text"), F.lit("x")).alias("full_text")
+    return df.select("source", "url", "file", "seq", mark, *keep)
+
+
 def by_source(corpus: DataFrame) -> DataFrame:
     return corpus.where("source is not null").groupBy("source").agg(F.count("*").alias("articles")) \
         .orderBy(F.desc("articles"), "source")
