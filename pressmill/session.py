@@ -27,6 +27,9 @@ def build_session(app="pressmill", master=None, **conf):
     return builder.getOrCreate()
 
 
+_LOCAL = {}
+
+
 def shared_folder(spark):
     """A new folder below the cluster's shared checkpoint folder.
 
@@ -34,8 +37,9 @@ def shared_folder(spark):
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        context = spark.sparkContext
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="pressmill-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _LOCAL.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="pressmill-")
+        _LOCAL[context.applicationId] = base
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
