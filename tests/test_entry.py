@@ -11,7 +11,7 @@ def test_every_query_has_sql_and_names_match():
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     assert set(oracles) <= set(queries)
     assert len(queries) >= 100
-    assert not [n for n in queries if n.startswith("op") and n[2:3].isdigit()]
+    assert set(entry_module.LLM_QUERIES) <= set(queries)
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables not present")
