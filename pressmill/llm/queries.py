@@ -1,9 +1,29 @@
 """Queries over the given tables, one per operator."""
 
-from pressmill.llm import simhash
+from pyspark.sql import functions as F
+
+from pressmill.llm import decontaminate, linededup, mixing, simhash
+from pressmill.llm.oracles import OP3, OP6
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
 @query()
 def op1_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+@query(OP3)
+def op3_decontamination(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query(OP6)
+def op6_lines(spark, sf_dir):
+    return linededup.line_report(table(spark, sf_dir, "documents"))
