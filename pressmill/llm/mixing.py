@@ -98,7 +98,7 @@ def _joined(rows, limits):
     return rows.join(limits.select(*names), rows["source"].eqNullSafe(F.col("_limit_source")), "left")
 
 
-COPIES = F.expr("_limit_full + if(exists(_limit_takes, x -> h >= x.start and h < x.bound and size <= x.most), 1, 0)")
+COPIES = "cast(_limit_full + if(exists(_limit_takes, x -> h >= x.start and h < x.bound and size <= x.most), 1, 0) as int)"
 
 
 def mixture(docs, weights=WEIGHTS, cap=CAP, doc_id="doc_id", text="text", source="source"):
@@ -109,7 +109,7 @@ def mixture(docs, weights=WEIGHTS, cap=CAP, doc_id="doc_id", text="text", source
     so reruns agree and equal rows are taken alike. An empty table gives no rows.
     """
     sized = keep(docs.select(F.col(doc_id).alias("doc_id"), *_sized(docs, doc_id, text, source)))
-    out = _joined(sized, thresholds(sized, weights, cap)).withColumn("copies", COPIES)
+    out = _joined(sized, thresholds(sized, weights, cap)).withColumn("copies", F.expr(COPIES))
     return out.select("doc_id", "size", F.col("_limit_source_size").alias("source_size"), F.col("_limit_target").alias("target"),
                       "copies", (F.col("size") * F.col("copies")).alias("taken"))
 
@@ -121,5 +121,5 @@ def mix(docs, weights=WEIGHTS, cap=CAP, doc_id="doc_id", text="text", source="so
     limits = thresholds(sized, weights, cap)
     all_columns, name = free(docs, "_row", "copies")
     rows = docs.select(F.struct("*").alias(all_columns), *_sized(docs, doc_id, text, source))
-    taken = _joined(rows, limits).withColumn("_copies", COPIES).where("_copies > 0")
+    taken = _joined(rows, limits).withColumn("_copies", F.expr(COPIES)).where("_copies > 0")
     return taken.select(f"{all_columns}.*", F.col("_copies").alias(name))
