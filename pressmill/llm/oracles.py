@@ -39,3 +39,23 @@ select doc_id, cast(coalesce(len(l), 0) as bigint) as n_lines, cast(coalesce(n,
   cast(coalesce(length(t), 0) as bigint) as kept_chars, sha256(coalesce(t, '')) as kept_sha256
 from d left join kept using (r) left join n using (r)
 """
+
+OP10 = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as text,
+             coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as w from documents),
+win as (select r, i, list_slice(w, i, i + 2) as g from (select r, w, unnest(range(1, len(w) - 1)) as i from d where len(w) >= 3)),
+rep as (select r, i from (select r, i, count(*) over (partition by r, g) as n from win) where n > 1),
+words as (select r, count(distinct p) as n from (select r, unnest(range(i, i + 3)) as p from rep) group by r),
+lines as (select r, line from (select r, unnest(string_split(text, chr(10))) as line from d where text <> '')),
+dup as (select r, count(*) as n_lines, count(*) filter (regexp_matches(line, '[^\x20\x09-\x0D]'))
+          - count(distinct line) filter (regexp_matches(line, '[^\x20\x09-\x0D]')) as n from lines group by r),
+m as (select doc_id, cast(len(w) as bigint) as n_words, cast(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as bigint) as word_chars,
+        cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, coalesce(n_lines, 0) as n_lines,
+        coalesce(dup.n, 0) as n_dup_lines, coalesce(words.n, 0) as n_repeat_words,
+        cast(len(list_filter(w, lambda x: regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) as bigint) as n_letter_words
+      from d left join words using (r) left join dup using (r)),
+f as (select *, (n_words < 50)::bigint + 2 * (100 * n_repeat_words > 50 * n_words)::bigint + 4 * (n_words > 100000)::bigint
+        + 8 * (word_chars < 2 * n_words)::bigint + 16 * (word_chars > 20 * n_words)::bigint + 32 * (10 * n_symbols > n_words)::bigint
+        + 64 * (10 * n_dup_lines > 5 * n_lines)::bigint + 128 * (10 * n_letter_words < 6 * n_words)::bigint as failed from m)
+select *, (failed & 3) <> 0 as base_failed, failed = 0 as kept from f
+"""

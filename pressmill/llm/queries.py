@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, mixing, simhash
-from pressmill.llm.oracles import OP3, OP6
+from pressmill.llm import decontaminate, linededup, mixing, quality, simhash
+from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 
@@ -27,3 +27,8 @@ def op3_decontamination(spark, sf_dir):
 @query(OP6)
 def op6_lines(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
+
+
+@query(OP10)
+def op10_quality(spark, sf_dir):
+    return quality.verdict(quality.ledger(table(spark, sf_dir, "documents")))
