@@ -80,7 +80,7 @@ def measured(docs, doc_id="doc_id", text="text"):
 
 def mask(names, rules=RULES):
     order = list(rules)
-    return sum(1 << order.index(n) for n in names)
+    return sum(1 << order.index(n) for n in set(names))
 
 
 def ledger(docs, doc_id="doc_id", text="text", rules=RULES):
