@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, mixing, quality, simhash
+from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, toxicity
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -24,6 +24,15 @@ def op3_decontamination(spark, sf_dir):
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+@query()
+def op4_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    index = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=lambda c: ~toxicity.held_out(c))
+    return toxicity.scored(docs, index).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence", "cosines")
+
+
 @query(OP6)
 def op6_lines(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
