@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, toxicity
+from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, tokencount, toxicity
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -33,6 +33,11 @@ def op4_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence", "cosines")
 
 
+@query()
+def op5_tokens(spark, sf_dir):
+    return tokencount.counted(table(spark, sf_dir, "documents"))
+
+
 @query(OP6)
 def op6_lines(spark, sf_dir):
     return linededup.line_report(table(spark, sf_dir, "documents"))
