@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, tokencount, toxicity
+from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, suffixdedup, tokencount, toxicity
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -46,3 +46,9 @@ def op6_lines(spark, sf_dir):
 @query(OP10)
 def op10_quality(spark, sf_dir):
     return quality.verdict(quality.ledger(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op7_suffixes(spark, sf_dir):
+    rows = suffixdedup.without_repeats(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
