@@ -3,7 +3,7 @@
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import cut
+from pressmill.llm.common import cut, keep
 
 
 def _forests(batches):
@@ -34,8 +34,8 @@ def components(edges):
     """(node, root) for every node of ``edges`` (columns u, v: long, no nulls needed); root is
     the smallest node that can be reached.
 
-    A node's smallest neighbour comes from a partial aggregate and is joined back, so the
-    neighbours of a hub stay spread over tasks. Each round ends in a checkpoint; the number of
+    A node's smallest neighbour comes from a partial aggregate, is written and joined back, so that
+    adaptive execution can split the neighbours of a hub. Each round ends in a checkpoint; the number of
     rounds grows with the logarithm of the longest path. No edges: an empty result.
     """
     now = cut(edges.where("u <> v").mapInArrow(_forests, "u long, v long").distinct())
@@ -43,10 +43,10 @@ def components(edges):
     while (mark := _marks(now)) != before:
         before = mark
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        low = keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = keep(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = cut(small.unionAll(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
     roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("node"), "root")

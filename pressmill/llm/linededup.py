@@ -11,7 +11,7 @@ earlier (by doc_id, then position) is deleted. Overlapping windows join into the
 
 from pyspark.sql import functions as F
 
-from pressmill.llm.common import free
+from pressmill.llm.common import free, keep
 
 WEIGHT, LEAST = 64, 8
 
@@ -38,7 +38,8 @@ def repeated_lines(docs, weight=WEIGHT, least=LEAST, doc_id="doc_id", text="text
     lines in it. Earlier means a smaller doc_id (null last), or a smaller position in the same text.
 
     Hot lines: fingerprints and windows are counted by partial aggregates and joined back by
-    equality, so the places of one line stay spread over tasks and no pairs are made. Repeated rows
+    equality (from a written table, which lets adaptive execution split a hot key), so the places of one line
+    stay spread over tasks and no pairs are made. Repeated rows
     (same id and text) are one document. Null and empty texts have no passages.
     """
     read = docs.select(F.col(doc_id).isNull().alias("last"), F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("t"))
@@ -48,9 +49,9 @@ def repeated_lines(docs, weight=WEIGHT, least=LEAST, doc_id="doc_id", text="text
     rows = read.select("last", "doc_id", "text_hash", F.explode(_windows(weight, least)).alias("x"))
     rows = rows.select(F.struct("last", "doc_id", "text_hash", F.col("x.i").alias("i")).alias("at"), F.col("x.k").alias("k"),
                        F.col("x.f").alias("f"), F.struct("last", "doc_id", "text_hash", F.col("x.p").alias("p")).alias("place"), F.col("x.w").alias("w"))
-    shared = rows.groupBy("f").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b").select("f")
-    near = rows.join(shared, "f").select("at", "k", "w")
-    first = near.groupBy("w").agg(F.min("at").alias("first"), F.max("at").alias("b")).where("first < b").select("w", "first")
+    shared = keep(rows.groupBy("f").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a < b").select("f"))
+    near = keep(rows.join(shared, "f").select("at", "k", "w"))
+    first = keep(near.groupBy("w").agg(F.min("at").alias("first"), F.max("at").alias("b")).where("first < b").select("w", "first"))
     later = near.join(first, "w").where("at > first")
     return later.groupBy("at.doc_id", "at.text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(
         F.expr("sequence(at.i, at.i + k - 1)"))))).alias("lines"))

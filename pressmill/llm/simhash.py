@@ -176,8 +176,8 @@ def near_duplicates(docs, shingle=3, doc_id="doc_id", text="text"):
     prints = keep(fingerprints(docs, shingle, doc_id, text))
     firsts = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(prints)).select(F.col("node").alias("fp"), "root")
-    named = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lows = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = keep(firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    lows = keep(named.groupBy("root").agg(F.min("first").alias("component_id")))
     classes = named.join(lows, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -206,7 +206,7 @@ def _long_groups(contexts, length):
     """Reaches for grams with more contexts than a task takes: each string around the anchor is a row, and
     strings are counted, so rows grow with the contexts and no group meets."""
     rows = contexts.mapInArrow(_string_rows(length), "g long, c long, o int, s long")
-    twice = rows.groupBy("g", "o", "s").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("g", "o", "s")
+    twice = keep(rows.groupBy("g", "o", "s").agg(F.min("c").alias("a"), F.max("c").alias("b")).where("a <> b").select("g", "o", "s"))
     return rows.join(twice, ["g", "o", "s"]).groupBy("g", "c").agg(F.max("o").alias("left"), (F.lit(length) - F.min("o")).alias("right"))
 
 
@@ -216,11 +216,12 @@ def repeats(docs, length=LENGTH, text="text"):
     read = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).select(text_id("t").alias("text_id"), "t")
     found = keep(read.mapInArrow(_anchor_rows(length), "text_id binary, at long, g long, c long").withColumn("place", F.xxhash64("text_id", "at")))
     # Equal texts have equal places, so copies alone do not make a gram or a context repeated here.
-    shared = found.groupBy("g").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a <> b").select("g")
+    # What is counted is written before it is joined back: adaptive execution can then split hot keys.
+    shared = keep(found.groupBy("g").agg(F.min("place").alias("a"), F.max("place").alias("b")).where("a <> b").select("g"))
     found = keep(found.join(shared, "g"))
     contexts = keep(found.groupBy("g", "c").agg(F.min("place").alias("place"), F.max("place").alias("b"), F.min(F.struct("text_id", "at")).alias("at")))
-    grams = contexts.groupBy("g").agg(F.count("*").alias("n")).where("n > 1")
-    wanted = contexts.join(grams, "g").groupBy("at.text_id").agg(F.collect_list(F.struct("at.at", "g", "c", "n")).alias("places"))
+    grams = keep(contexts.groupBy("g").agg(F.count("*").alias("n")).where("n > 1"))
+    wanted = keep(contexts.join(grams, "g").groupBy("at.text_id").agg(F.collect_list(F.struct("at.at", "g", "c")).alias("places")))
     # One row of each text is enough; copies are told apart by nothing but their place in the table.
     texts = read.join(wanted, "text_id")
     parts = keep(texts.select("t", "places").mapInArrow(_context_rows(length), "g long, c long, before binary, after binary").dropDuplicates(["g", "c"]))
@@ -231,7 +232,7 @@ def repeats(docs, length=LENGTH, text="text"):
     if not grams.where(F.col("n") > GROUP).isEmpty():
         reached = reached.unionAll(_long_groups(many, length))
     same = contexts.where("place <> b").select("g", "c", F.lit(length - GRAM).alias("left"), F.lit(length).alias("right"))
-    reached = reached.unionAll(same).groupBy("g", "c").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    reached = keep(reached.unionAll(same).groupBy("g", "c").agg(F.max("left").alias("left"), F.max("right").alias("right")))
     covered = found.join(reached, ["g", "c"])
     return covered.groupBy("text_id").agg(F.collect_set(F.struct("at", "left", "right")).alias("places"))
 
@@ -265,7 +266,7 @@ def _with_places(docs, length, doc_id, text):
     found = repeats(docs, length, text)
     read = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("t")).withColumn("text_id", text_id("t"))
     copies = read.groupBy("text_id").agg(F.count("*").alias("copies"))
-    extra = copies.where("copies > 1").join(found, "text_id", "full").select("text_id", F.coalesce("copies", F.lit(1)).alias("copies"), "places")
+    extra = keep(copies.where("copies > 1").join(found, "text_id", "full").select("text_id", F.coalesce("copies", F.lit(1)).alias("copies"), "places"))
     return read.join(extra, "text_id", "left").select("doc_id", "t", F.coalesce("copies", F.lit(1)).cast("int").alias("copies"), "places")
 
 
