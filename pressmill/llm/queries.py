@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, mixing, quality, simhash, suffixdedup, tokencount, toxicity
+from pressmill.llm import decontaminate, linededup, lm, mixing, quality, simhash, suffixdedup, tokencount, toxicity
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -52,3 +52,8 @@ def op10_quality(spark, sf_dir):
 def op7_suffixes(spark, sf_dir):
     rows = suffixdedup.without_repeats(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query()
+def op8_lm(spark, sf_dir):
+    return lm.scores(table(spark, sf_dir, "documents"), lm.held_out)
