@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, lm, mixing, quality, simhash, suffixdedup, tokencount, toxicity
+from pressmill.llm import decontaminate, linededup, lm, mixing, pii, quality, simhash, suffixdedup, tokencount, toxicity
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -57,3 +57,8 @@ def op7_suffixes(spark, sf_dir):
 @query()
 def op8_lm(spark, sf_dir):
     return lm.scores(table(spark, sf_dir, "documents"), lm.held_out)
+
+
+@query()
+def op9_pii(spark, sf_dir):
+    return pii.pseudonymised(table(spark, sf_dir, "documents"), b"a key of the caller's")
