@@ -7,7 +7,7 @@ skipped, which changes no result. The K best (ties by example number) vote with
 and the vote is calibrated on the examples themselves, each left out of its own vote.
 
 Fitting reads at most TRAINING labelled rows, so their ids can be broadcast and no text moves.
-Terms are words and word beginnings whose share of toxic training texts differs clearly from the base
+Terms are words and word beginnings whose share of toxic training texts is clearly above the base
 rate; document frequencies are counted over all texts. The examples are at most EXAMPLES distinct training
 texts that hold such a term, half of each label where there are enough; they travel to the tasks.
 """
@@ -27,7 +27,7 @@ EXAMPLES = 8192
 TRAINING = 40_000  # labelled rows that are learnt from at most, by hash of their id
 K = 32
 BLOCK = 64
-LEAST_CHI2, LIFT = 30.0, 3.0  # a term's chi-square, and how far its toxic share must be from the base rate
+LEAST_CHI2, LIFT = 30.0, 3.0  # a term's chi-square, and how many times the base rate its toxic share must be
 PRIOR = 0.5  # weight of the base rate beside the neighbours' cosines
 STEMS = range(3, 9)  # characters of the word beginnings that are terms
 REST = ""  # the term of all other words, which tells one insult in a long text from many in a short one
@@ -50,24 +50,32 @@ def candidates(text):
 class Terms:
     """The terms in use: none begins another, so a word holds one at most."""
 
+    MEMO = 200_000  # words remembered by a task; a full memo is emptied
+
     def __init__(self, terms):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.heads = {t.rstrip("$")[: STEMS[0]] for t in terms}
+        self.memo = {}
+
+    def __getstate__(self):
+        return {"number": self.number, "memo": {}}
+
+    def find(self, word):
+        """The term of a word, or -1."""
+        return next((self.number[t] for t in (*(word[:n] for n in STEMS if n <= len(word)), word + "$") if t in self.number), -1)
 
     def count(self, text):
         """Occurrences by term number, and the number of other words."""
-        counts, rest = Counter(), 0
-        heads, number, first = self.heads, self.number, STEMS[0]
-        for w in words(text):
-            if w[:first] in heads:
-                for t in (*(w[:n] for n in STEMS if n <= len(w)), w + "$"):
-                    if (i := number.get(t)) is not None:
-                        counts[i] += 1
-                        break
-                else:
-                    rest += 1
+        counts, rest, memo = Counter(), 0, self.memo
+        if len(memo) > self.MEMO:
+            memo.clear()
+        for w, times in Counter(words(text)).items():
+            i = memo.get(w)
+            if i is None:
+                i = memo[w] = self.find(w)
+            if i < 0:
+                rest += times
             else:
-                rest += 1
+                counts[i] += times
         return counts, rest
 
 
@@ -227,7 +235,7 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", train=None, t
         chi2 = F.expr(f"pow(toxic * {n}D - n * {t}D, 2) * {n}D / (n * ({n}D - n) * {t}D * {n - t}D)")
         rate = F.expr(f"toxic / n * {n}D / {t}D")
         strong = counts.where((F.length("term") > 0) & (F.col("n") < n)).withColumn("chi2", chi2).where(
-            (F.col("chi2") >= LEAST_CHI2) & ((rate >= LIFT) | (rate <= 1 / LIFT)))
+            (F.col("chi2") >= LEAST_CHI2) & (rate >= LIFT))
         stems = set()
         for r in strong.orderBy(F.desc("chi2"), F.desc(F.length("term")), "term").limit(8 * terms).select("term").collect():
             stem = r["term"].rstrip("$")
