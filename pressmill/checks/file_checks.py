@@ -146,8 +146,12 @@ def adapter_intake(spark, sf_dir):
 @check("export_discards", JUDGED + f"select {COLS}, _discard_reason from judged where _discard_reason is not null", ["articles"])
 def export_discards(spark, sf_dir):
     folder = shared_folder(spark)
-    W.write_discards(G.judge(G.enrich(articles(spark, sf_dir), AS_OF)), folder, "20240615")
-    return spark.read.parquet(f"{folder}/dt=20240615")
+    judged = G.judge(G.enrich(articles(spark, sf_dir), AS_OF))
+    # sources arrive one after the other and one of them twice: none may erase another
+    W.write_discards(judged.where("source < 'src15'"), folder, "20240615")
+    W.write_discards(judged.where("source >= 'src15'"), folder, "20240615")
+    W.write_discards(judged.where("source = 'src2'"), folder, "20240615")
+    return spark.read.parquet(f"{folder}/dt=20240615").drop("of_source")
 
 
 # --- versions -------------------------------------------------------------------------------

@@ -64,14 +64,8 @@ VIEWS = {"articles": (ARTICLES, "documents"), "executions": (EXECUTIONS, "events
 
 
 def table(spark, sf_dir, name):
-    """A given table. The small ones are one file with one row group, which a single task
-    would read; text tables of that kind are dealt out to all cores first. A table of many
-    files is left as it is."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """A given table, as it is."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark, sf_dir, name):

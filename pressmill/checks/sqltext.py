@@ -46,8 +46,7 @@ def clean_strict(x):
     t = f"case when contains({x}, '<') and contains({x}, '>') then {markup_text(x)} else {x} end"
     t = sub(sub(t, STRICT_KEEP, ""), r"\?{2,}" + SPACE + "*", " ")
     t = collapse(f"translate({t}, concat(chr(13), chr(10), chr(9), '\"“”|'), '   ''''''-')")
-    return (f"(select case when length(strict_) > 30000 then concat(substring(strict_, 1, 30000), '... [truncado]') "
-            f"else strict_ end from (select {t} as strict_))")
+    return t
 
 
 def grp(x, pattern, i=1):

@@ -1,5 +1,6 @@
 """Streams run to their end over files written from the given tables."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressmill.checks.article_checks import COLS, _value
@@ -12,42 +13,46 @@ from pressmill.session import shared_folder
 from pressmill.streaming import feeds as ST
 
 
-def _landed(spark, df, files=None):
-    """The rows as landed files in a shared folder, and the stream over them."""
+BATCHES = 4
+
+
+def _landed(spark, df, order):
+    """The rows landed in order as several files, and the stream that takes one file at a time."""
     root = shared_folder(spark)
-    (df if files is None else df.repartition(files)).write.parquet(root + "/landing")
-    return root, ST.read_landing(spark, root + "/landing", df.schema)
+    slices = df.withColumn("_slice", F.ntile(BATCHES).over(Window.orderBy(*order))).cache()
+    for i in range(1, BATCHES + 1):
+        slices.where(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(root + "/landing")
+    slices.unpersist()
+    return root, ST.read_landing(spark, root + "/landing", df.schema, files_per_batch=1)
 
 
 @check("stream_ingest", f"""with whole as (select * from articles where {_value('full_text')} and {_value('url')})
   select {COLS} from whole qualify row_number() over (partition by url order by file, seq) = 1""", ["articles"])
 def stream_ingest(spark, sf_dir):
-    root, stream = _landed(spark, articles(spark, sf_dir), 4)
+    root, stream = _landed(spark, articles(spark, sf_dir), ["file", "seq"])
     gate = lambda b: b.where(has_value("full_text") & has_value("url"))
     ST.ingest(stream, root + "/corpus", root + "/state", gate).awaitTermination()
     return spark.read.parquet(root + "/corpus").select(*ARTICLE_COLUMNS)
 
 
-@check("stream_dedupe", "select distinct url from articles", ["articles"])
+@check("stream_dedupe", """select url, source, seq from articles
+  qualify row_number() over (partition by url order by seq) = 1""", ["articles"])
 def stream_dedupe(spark, sf_dir):
-    df = articles(spark, sf_dir).select("url", "source", F.expr(
-        "timestamp_seconds(1717228800 + seq % 86400)").alias("scraping_ts"))
-    root, stream = _landed(spark, df)
-    ST.write_parquet(ST.dedupe(stream), root + "/out", root + "/state").awaitTermination()
-    return spark.read.parquet(root + "/out").select("url")
+    df = articles(spark, sf_dir).select("url", "source", "seq", F.expr("timestamp_seconds(1717228800 + seq)").alias("scraping_ts"))
+    root, stream = _landed(spark, df, ["seq"])
+    ST.dedupe(stream, root + "/out", root + "/state", delay="3650 days").awaitTermination()
+    return spark.read.parquet(root + "/out").select("url", "source", "seq")
 
 
-# days still open behind the watermark (newest row less one day) are not given out yet
-@check("stream_daily_counts", """with e as (select source, run_ts from executions), w as (select max(run_ts) - interval 1 day as mark from e)
-  select source, strftime(date_trunc('day', run_ts), '%Y-%m-%d') as day, count(*) as articles from e, w
-  where date_trunc('day', run_ts) + interval 1 day <= mark group by 1, 2""", ["executions"])
+@check("stream_daily_counts", """select source, strftime(date_trunc('day', run_ts), '%Y-%m-%d') as day, count(*) as articles
+  from executions group by 1, 2""", ["executions"])
 def stream_daily_counts(spark, sf_dir):
     # a watermark needs an instant: the wall clock is read as UTC, whatever the session zone
     instant = F.to_timestamp(F.concat(F.col("run_ts").cast("string"), F.lit(" UTC")))
-    df = executions(spark, sf_dir).select("source", instant.alias("scraping_ts"))
-    root, stream = _landed(spark, df)
-    ST.write_parquet(ST.daily_counts(stream), root + "/out", root + "/state").awaitTermination()
-    return spark.read.parquet(root + "/out").select(
+    df = executions(spark, sf_dir).select("source", instant.alias("scraping_ts"), "id")
+    root, stream = _landed(spark, df, ["scraping_ts", "id"])
+    ST.write_daily(ST.daily_counts(stream), root + "/out", root + "/state").awaitTermination()
+    return ST.read_daily(spark, root + "/out").select(
         "source", F.expr("cast(date_from_unix_date(cast(unix_seconds(window.start) div 86400 as int)) as string)").alias("day"),
         "articles")
 
@@ -55,6 +60,6 @@ def stream_daily_counts(spark, sf_dir):
 @check("stream_anomaly", f"with {VERDICTS} select id, source, total_valid, level, reason from judged", ["executions"])
 def stream_anomaly(spark, sf_dir):
     df = executions(spark, sf_dir).select("id", "source", "run_ts", "status", "total_valid")
-    root, stream = _landed(spark, df)
+    root, stream = _landed(spark, df, ["run_ts", "id"])
     ST.anomaly_alerts(stream, root + "/history", root + "/alerts", root + "/state").awaitTermination()
     return spark.read.parquet(root + "/alerts").select("id", "source", "total_valid", "level", "reason")

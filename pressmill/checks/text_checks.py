@@ -11,7 +11,7 @@ from pressmill.functions import urls as U
 SPACED = "replace(text, '. ', concat('.', chr(9), '  ', chr(10), chr(10), chr(10), chr(160), chr(10)))"
 MARKED = ("concat('<p class=\"x\">', replace(text, ' la ', ' <b>la|</b> &eacute;&#233;&amp;quot; ?? “x” \" '), "
           "'</p><script>var a = 1;</script><!-- n -->')")
-HEADING = "concat('+ ', substring(text, 1, 24), ' Política  Única ')"
+HEADING = "concat('+ ', text, ' Política  Única ')"
 
 
 def _docs(spark, sf_dir, raw):

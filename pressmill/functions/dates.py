@@ -33,7 +33,7 @@ RELATIVE_UNITS = {
     "hora": 1, "horas": 1, "día": 24, "días": 24, "dias": 24, "semana": 168, "semanas": 168,
     "mes": 720, "meses": 720, "año": 8760, "años": 8760,
 }
-RELATIVE = (r"(?i)hace" + SPACE + r"+(\d+)" + SPACE
+RELATIVE = (r"hace" + SPACE + r"+(\d+)" + SPACE
             + r"+(horas?|días?|dias|semanas?|mes(?:es)?|años?)")
 # The whole-text forms tried in order, each with its storage-form rewriting.
 _CLOCK = SPACE + r"+(\d{1,2}):(\d{1,2}):(\d{1,2})$"
@@ -108,7 +108,8 @@ def _rewritten(c) -> Column:
 
 def relative_moment(c, reference) -> Column:
     units = literal_map({k: str(v) for k, v in RELATIVE_UNITS.items()})
-    unit = F.try_element_at(units, F.lower(F.regexp_extract(c, RELATIVE, 2)))
+    c = F.lower(c)  # accented capitals included, which a case-insensitive pattern leaves out
+    unit = F.try_element_at(units, F.regexp_extract(c, RELATIVE, 2))
     # 17 million hours or more would leave the calendar
     hours = F.try_multiply(F.regexp_extract(c, RELATIVE, 1).try_cast("bigint"), unit.cast("bigint")).try_cast("int")
     return reference - F.make_dt_interval(F.lit(0), F.when(hours < 17_000_000, hours))

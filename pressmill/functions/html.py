@@ -1,29 +1,16 @@
 """Markup handling as column expressions (no Python in the row path)."""
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pressmill.functions import text as X
 
-# Named entities met in news markup. Numeric ones are computed.
-ENTITIES = {
-    "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\xa0",
-    "iexcl": "¡", "iquest": "¿", "copy": "©", "reg": "®", "middot": "·",
-    "laquo": "«", "raquo": "»", "deg": "°", "ordm": "º", "ordf": "ª", "sect": "§", "para": "¶",
-    "aacute": "á", "eacute": "é", "iacute": "í", "oacute": "ó", "uacute": "ú",
-    "Aacute": "Á", "Eacute": "É", "Iacute": "Í", "Oacute": "Ó", "Uacute": "Ú",
-    "agrave": "à", "egrave": "è", "igrave": "ì", "ograve": "ò", "ugrave": "ù",
-    "acirc": "â", "ecirc": "ê", "icirc": "î", "ocirc": "ô", "ucirc": "û",
-    "auml": "ä", "euml": "ë", "iuml": "ï", "ouml": "ö", "uuml": "ü",
-    "Auml": "Ä", "Ouml": "Ö", "Uuml": "Ü", "szlig": "ß", "ccedil": "ç", "Ccedil": "Ç",
-    "ntilde": "ñ", "Ntilde": "Ñ", "atilde": "ã", "otilde": "õ", "aring": "å", "oslash": "ø", "aelig": "æ",
-    "cent": "¢", "pound": "£", "yen": "¥", "euro": "€", "times": "×", "divide": "÷", "plusmn": "±",
-    "frac12": "½", "frac14": "¼", "frac34": "¾", "sup2": "²", "sup3": "³", "micro": "µ", "not": "¬", "shy": "\xad",
-    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "sbquo": "‚",
-    "ldquo": "“", "rdquo": "”", "bdquo": "„", "hellip": "…", "bull": "•", "trade": "™",
-    "ensp": " ", "emsp": " ", "thinsp": " ", "zwnj": "‌", "zwj": "‍",
-    "amp": "&",
-}
+# All named references of HTML 5, from the standard library's table.
+ENTITIES = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+# Numbers 128 to 159 mean the characters that Windows has there.
+WINDOWS = {str(n): bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)}
 # Elements whose content never counts as text.
 SILENT_TAGS = ["script", "style", "noscript", "template"]
 TAG = r"<[/!?A-Za-z][^>]*>"
@@ -36,7 +23,8 @@ def _code_point(name: Column) -> Column:
               .when(name.rlike("^#[0-9]{1,7}$"), F.substring(name, 2, 8))
     n = digits.cast("int")
     ok = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
-    return F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32"))
+    return F.when(n.between(128, 159), F.try_element_at(X.literal_map(WINDOWS), n.cast("string"))).otherwise(
+        F.when(ok, F.decode(F.unhex(F.lpad(F.hex(n.cast("long")), 8, "0")), "UTF-32")))
 
 
 def decode_entities(c: Column) -> Column:

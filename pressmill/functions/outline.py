@@ -18,7 +18,12 @@ SILENT = {"script", "style", "noscript", "template", "head", "title"}
 CLOSES_P = {"address", "article", "aside", "blockquote", "div", "dl", "fieldset", "figure", "footer", "form",
             "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "main", "nav", "ol", "p", "pre", "section",
             "table", "ul"}
-SIBLING = {"li": {"ul", "ol"}, "td": {"tr"}, "tr": {"table", "tbody"}, "option": {"select"}}
+SIBLING = {"li": {"ul", "ol"}, "td": {"tr"}, "tr": {"table", "tbody"}, "option": {"select"}, "dt": {"dl"}, "dd": {"dl"},
+           "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}}
+# An open element of the first kind also ends at these start tags.
+ALSO_ENDS = {"dt": "dd", "dd": "dt", "tbody": "thead", "tfoot": "tbody"}
+# The only elements of a head; any other start tag ends it.
+HEAD = {"base", "link", "meta", "noscript", "script", "style", "template", "title"}
 
 OUTLINE = ("texts array<string>, tag array<string>, cls array<string>, ident array<string>, "
            "parent array<int>, last array<int>, t0 array<int>, t1 array<int>")
@@ -50,10 +55,13 @@ class _Reader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.gap |= tag not in INLINE
+        if tag not in HEAD and (head := self._find("head")) is not None:
+            self._close(head)
         if tag in CLOSES_P or tag in SIBLING:
-            depth = self._find("p", {"td", "button"}) if tag in CLOSES_P else self._find(tag, SIBLING[tag])
-            if depth is not None:
-                self._close(depth)
+            ends = [("p", {"td", "button"})] if tag in CLOSES_P else [(t, SIBLING[tag]) for t in (tag, ALSO_ENDS.get(tag)) if t]
+            for name, barrier in ends:
+                if (depth := self._find(name, barrier)) is not None:
+                    self._close(depth)
         if tag in VOID:
             return
         given = dict(attrs)

@@ -1,5 +1,7 @@
 """Text cleaning as column expressions."""
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,14 +24,14 @@ WORD = r"[\p{L}\p{M}\p{N}_]"
 STRICT_KEEP = (r"[^\p{L}\p{N}_\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
                r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}.,;:!?\-()" + "\"'/¿¡]")
 _STRICT_FAST = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f.,;:!?\-()" + "\"'/¿¡]"
-STRICT_LIMIT = 30000
-STRICT_SUFFIX = "... [truncado]"
+# Longest cell of a spreadsheet export, and what marks a cut one.
+CELL_LIMIT = 30000
+CELL_SUFFIX = "... [truncado]"
 
 
 def literal_map(table) -> Column:
-    """Constant map of texts, built in one call."""
-    quote = lambda x: "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return F.expr("map(" + ", ".join(f"{quote(k)}, {quote(v)}" for k, v in table.items()) + ")")
+    """Constant map of texts: one literal, which the optimizer folds."""
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def bind(c, fn) -> Column:
@@ -81,8 +83,13 @@ def strip_markup(c) -> Column:
     return F.when(keep, c).otherwise(cleaned)
 
 
+def spreadsheet_cell(c, limit=CELL_LIMIT) -> Column:
+    """A text cut to what a spreadsheet cell holds; only for such exports."""
+    return F.regexp_replace(c, rf"(?s)^(.{{{limit}}}).+$", "$1" + CELL_SUFFIX)
+
+
 def clean_strict(c) -> Column:
-    """Single spreadsheet-safe line: markup, rare symbols, double quotes and pipes gone."""
+    """Single spreadsheet-safe line, whole: markup, rare symbols, double quotes and pipes gone."""
     from pressmill.functions.html import markup_to_text
 
     text = F.when(c.contains("<") & c.contains(">"), markup_to_text(c)).otherwise(c)
@@ -90,8 +97,7 @@ def clean_strict(c) -> Column:
     text = F.regexp_replace(text, r"\?{2,}" + SPACE + "*", " ")
     # curly quotes and pipes went with the rare symbols; line ends go with the white space
     text = F.replace(text, F.lit('"'), F.lit("'"))
-    text = F.regexp_replace(collapse(text), rf"(?s)^(.{{{STRICT_LIMIT}}}).+$", "$1" + STRICT_SUFFIX)
-    return F.coalesce(text, F.lit(""))
+    return F.coalesce(collapse(text), F.lit(""))
 
 
 def section_slug(c, drop_plus=False) -> Column:

@@ -8,14 +8,11 @@ from pressmill.functions.dates import iso_local
 from pressmill.functions.outline import outline
 from pressmill.functions.text import collapse, once
 from pressmill.functions.urls import section_by_path
+from pressmill.plans.profiles import GENERIC, profiles_frame
 
-# Paragraph texts that are advertising or teasers.
-TEASERS = ["adsbygoogle", "leer más"]
-
-
-def drop_teasers(texts):
-    bad = F.array(*[F.lit(t) for t in TEASERS])
-    return F.filter(texts, lambda t: ~F.exists(bad, lambda b: F.lower(t).contains(b)))
+def drop_teasers(texts, teasers):
+    """Block texts without those that hold one of ``teasers`` (an array column)."""
+    return F.filter(texts, lambda t: ~F.exists(teasers, lambda b: F.lower(t).contains(b)))
 
 
 def paragraphs(page, least=15, distinct=True, container="article"):
@@ -73,7 +70,14 @@ def body_texts(pages: DataFrame) -> DataFrame:
     noisy = F.when(F.col("noise") == "substring", F.filter(e, lambda x: noise_by_substring(x["cls"], words))) \
         .when(F.col("noise") == "token", F.filter(e, lambda x: noise_by_token(x["cls"], words))) \
         .otherwise(F.slice(e, 1, 0))
-    step1 = outlined(pages).withColumns({"_removed": removed, "_noisy": noisy})
+    candidates = F.flatten(F.transform("containers", lambda s, k: F.transform(
+        F.filter(e, lambda x: _matches(x, s) & _within(x, e, s)),
+        lambda x: F.struct(k.alias("k"), x["node"].alias("node"), x["last"].alias("last"),
+                           x["t0"].alias("t0"), x["t1"].alias("t1")))))
+    # nothing around a container is removed: what counts lies below it (noise words count all the way up)
+    below = lambda found: F.filter(found, lambda x: ~F.exists(
+        "_candidates", lambda c: (x["node"] <= c["node"]) & (c["node"] <= x["last"])))
+    step1 = outlined(pages).withColumn("_candidates", candidates).withColumns({"_removed": below(removed), "_noisy": noisy})
     # text pieces of removed elements vanish from every enclosing element
     kept = F.transform(texts, lambda t, i: F.when(
         F.exists("_removed", lambda r: (i >= r["t0"]) & (i < r["t1"])), F.lit("")).otherwise(t))
@@ -82,15 +86,10 @@ def body_texts(pages: DataFrame) -> DataFrame:
     def read(x):
         return collapse(F.array_join(F.slice(F.col("_texts"), x["t0"] + 1, x["t1"] - x["t0"]), ""))
 
-    candidates = F.flatten(F.transform("containers", lambda s, k: F.transform(
-        F.filter(e, lambda x: _matches(x, s) & _within(x, e, s)),
-        lambda x: F.struct(k.alias("k"), x["node"].alias("node"), x["last"].alias("last"),
-                           x["t0"].alias("t0"), x["t1"].alias("t1")))))
     clean = F.filter(e, lambda x: ~F.exists("_noisy", lambda n: (x["node"] >= n["node"]) & (x["node"] <= n["last"]))
                      & ~F.exists("_removed", lambda n: (x["node"] >= n["node"]) & (x["node"] <= n["last"])))
     wanted = F.filter(clean, lambda x: F.array_contains(F.col("blocks_of"), x["tag"]))
     step3 = step2.withColumnRenamed("blocks", "blocks_of").withColumns({
-        "_candidates": candidates,
         "_wanted": F.transform(wanted, lambda x: F.struct(x["node"].alias("node"), x["tag"].alias("tag"), read(x).alias("text"))),
         "_pars": F.transform(F.filter(e, lambda x: x["tag"] == "p"),
                              lambda x: F.struct(x["node"].alias("node"), read(x).alias("text"))),
@@ -117,11 +116,12 @@ def body_texts(pages: DataFrame) -> DataFrame:
     fallback = F.filter(F.transform("_pars", lambda p: p["text"]), lambda t: F.length(t) > F.col("fallback"))
     # a chosen container without qualifying blocks gives its own text where the profile says so
     bare = F.filter("_chosen", lambda c: ~has_blocks(c))
-    own = F.filter(F.transform(bare, lambda c: F.substring(read(c), F.lit(1), F.col("else_text"))), lambda t: t != "")
+    own = F.filter(F.transform(bare, read), lambda t: t != "")
+    blocks = drop_teasers(blocks, F.col("teasers"))
     found = F.when((F.col("choose") == "scan") & (F.size("_chosen") == 0), fallback) \
         .when(whole, F.transform("_chosen", read)) \
-        .when((F.col("else_text") > 0) & (F.size(bare) > 0), F.concat(drop_teasers(blocks), own)) \
-        .otherwise(drop_teasers(blocks))
+        .when(F.col("else_text") & (F.size(bare) > 0), F.concat(blocks, own)) \
+        .otherwise(blocks)
     step5 = step4.withColumn("blocks", found)
     step6 = step5.withColumn("blocks", F.when(F.col("distinct"), F.array_distinct("blocks")).otherwise(F.col("blocks")))
     return step6.withColumn("full_text", F.call_function("array_join", F.col("blocks"), F.col("joiner"))).drop(
@@ -243,11 +243,15 @@ def embedded_meta(page, marker="post_meta"):
 def articles(pages: DataFrame, profiles: DataFrame, scraping_date: str) -> DataFrame:
     """Article records of landed pages (page_id, source, url, html).
 
-    Profiles are a few dozen rows, so they are sent to every task. Python runs once per page
-    and last; pages are never shuffled.
+    Pages of outlets without a profile are read by the plain one. Profiles are a package table of a few
+    dozen rows, so they are sent to every task. Python runs once per page and last; pages are never shuffled.
     """
     page = F.col("html")
-    with_profile = pages.join(F.broadcast(profiles), "source")
+    named = profiles.unionByName(profiles_frame(pages.sparkSession, [GENERIC]))
+    known = [r["source"] for r in profiles.select("source").collect()]
+    kind = F.when(F.col("source").isin(known), F.col("source")).otherwise(F.lit(GENERIC["source"]))
+    fields_of = named.withColumnRenamed("source", "_profile")
+    with_profile = pages.withColumn("_profile", kind).join(F.broadcast(fields_of), "_profile").drop("_profile")
     script = F.array_join(scripts(page), "\n")
     date = by_precedence("jsonld_meta_listing", jsonld=graph_date(script, iso_local),
                          meta=iso_local(meta_date(page)), listing=iso_local(time_date(page)))

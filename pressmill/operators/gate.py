@@ -46,18 +46,18 @@ def reject_reason(null_dates=()):
 
 
 def judge(df: DataFrame, order=("file", "seq"), null_dates=()) -> DataFrame:
-    """All records with ``_discard_reason``; repeats are searched among passing records only."""
+    """All records with ``_discard_reason``; repeats are searched among the passing records of a source."""
     checked = df.withColumn("_discard_reason", reject_reason(null_dates))
     passing = F.col("_discard_reason").isNull()
-    marked = mark_first(checked, ["url"], list(order), flag="_first", among=passing)
+    marked = mark_first(checked, ["source", "url"], list(order), flag="_first", among=passing)
     reason = F.when(passing & ~F.col("_first"), F.lit(DUPLICATE_REASON)).otherwise(F.col("_discard_reason"))
     return marked.withColumn("_discard_reason", reason).drop("_first")
 
 
 def accepted(df: DataFrame, order=("file", "seq"), null_dates=()) -> DataFrame:
-    """Only the records that pass, first of every URL: one shuffle and a single look at
+    """Only the records that pass, first of every URL of a source: one shuffle and a single look at
     ``df`` where the discards are not wanted."""
-    return keep_first(df.where(reject_reason(null_dates).isNull()), ["url"], list(order))
+    return keep_first(df.where(reject_reason(null_dates).isNull()), ["source", "url"], list(order))
 
 
 def valid(judged: DataFrame) -> DataFrame:

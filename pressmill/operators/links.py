@@ -43,8 +43,8 @@ def distinct_urls(*frames) -> DataFrame:
 
 def max_offset(page):
     """Largest paging offset (``start=``) on a page; 0 without any."""
-    found = F.regexp_extract_all(page, F.lit(r"start=(\d{1,9})"), F.lit(1))
-    return F.coalesce(F.array_max(F.transform(found, lambda x: x.cast("int"))), F.lit(0))
+    found = F.regexp_extract_all(page, F.lit(r"start=(\d+)"), F.lit(1))
+    return F.coalesce(F.array_max(F.transform(found, lambda x: x.try_cast("bigint"))), F.lit(0).cast("bigint"))
 
 
 def section_of_page(page, url):

@@ -57,21 +57,19 @@ def by_source(corpus: DataFrame) -> DataFrame:
 
 
 def build_stats(df: DataFrame, files: DataFrame = None) -> DataFrame:
-    """Build counts. ``files`` (file, readable) adds the file counts."""
-    narrow = df.select("file", "seq", "url", "source",
-                       (has_value("full_text") & has_value("url")).alias("whole"))
-    kept = keep_first(narrow, ["url"], ["file", "seq"])
-    whole = kept.where("whole")
-    parts = {
-        "total_raw": df.agg(F.count("*")),
-        "unique_urls": kept.agg(F.count("*")),
-        "total_final": whole.agg(F.count("*")),
-        "sources": whole.agg(F.count_distinct("source")),
-    }
-    if files is not None:
-        parts["files_ok"] = files.agg(F.count_if("readable"))
-        parts["files_error"] = files.agg(F.count_if(~F.col("readable")))
-    return one_row(**parts).withColumn("duplicates", F.col("total_raw") - F.col("unique_urls")).drop("unique_urls")
+    """Build counts, from one pass over the records. ``files`` (file, readable) adds the file counts."""
+    whole = has_value("full_text") & has_value("url")
+    first = F.min_by(F.struct(whole.alias("whole"), "source"), F.struct("file", "seq"))
+    urls = df.groupBy("url").agg(F.count("*").alias("n"), first.alias("first"))
+    out = urls.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_raw"),
+        F.count_if("first.whole").alias("total_final"),
+        F.count_distinct(F.when(F.col("first.whole"), F.col("first.source"))).alias("sources"),
+        (F.coalesce(F.sum("n"), F.lit(0)) - F.count("*")).alias("duplicates"))
+    if files is None:
+        return out
+    counts = files.agg(F.count_if("readable").alias("files_ok"), F.count_if(~F.col("readable")).alias("files_error"))
+    return out.withColumn("_one", F.lit(1)).join(counts.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def overview(corpus: DataFrame) -> DataFrame:
@@ -100,7 +98,9 @@ def additions(corpus: DataFrame, batch: DataFrame, order=("file", "seq")) -> Dat
     corpus has none; such rows go their own way, as one group of any size cut per task.
     """
     order = list(order)
-    fresh = keep_first(_look_up(corpus, batch, unseen_keyed), ["url"], order)
+    # repeats go first: the look-up depends on the URL alone, and a hot URL has shrunk by then
+    firsts = keep_first(batch.where("url is not null"), ["url"], order)
+    fresh = _look_up(corpus, firsts, unseen_keyed)
     held = corpus.where("url is null").select(F.lit(1).alias("_held")).limit(1)
     nameless = keep_first(batch.where("url is null"), ["url"], order)
     return fresh.unionByName(nameless.join(held, F.lit(1) == F.col("_held"), "left_anti"))
@@ -118,20 +118,19 @@ def update(corpus: DataFrame, batch: DataFrame, order=("file", "seq"), unique=Tr
 
 
 def update_stats(corpus: DataFrame, batch: DataFrame, order=("file", "seq")) -> DataFrame:
-    """New rows, skipped rows, corpus size before and after. Reads narrow columns only."""
-    cols = ["url", *order]
-    corpus, batch = corpus.select(*cols), batch.select(*cols)
-    fresh = arrivals(corpus, batch)
-    counts = one_row(
-        batch_rows=batch.agg(F.count("*")),
-        fresh_rows=fresh.agg(F.count("*")),
-        new_rows=fresh.select("url").distinct().agg(F.count("*")),
-        added=additions(corpus, batch, order).agg(F.count("*")),
-        before=corpus.agg(F.count("*")),
-    )
-    return counts.select(
-        "new_rows", (F.col("batch_rows") - F.col("fresh_rows")).alias("duplicates"),
-        "before", (F.col("before") + F.col("added")).alias("after"))
+    """New rows, skipped rows, corpus size before and after: one pass over the URLs of either side.
+
+    Rows of a URL are counted before they meet, so a hot URL is one row per task."""
+    key = strip(F.col("url")).alias("k")
+    held = corpus.groupBy("url").agg(F.count("*").alias("held")).select(key, "held", F.lit(0).cast("long").alias("n"), F.lit(0).alias("urls"))
+    came = batch.groupBy("url").agg(F.count("*").alias("n")).select(key, F.lit(0).cast("long").alias("held"), "n", F.lit(1).alias("urls"))
+    met = held.unionByName(came).groupBy("k").agg(*[F.sum(c).alias(c) for c in ("held", "n", "urls")])
+    unheld, total = F.col("held") == 0, lambda what, rule=F.lit(True): F.coalesce(F.sum(F.when(rule, F.col(what))), F.lit(0))
+    # rows without URL always count as new; one of them is added if the corpus has none
+    fresh = unheld | F.col("k").isNull()
+    return met.agg(
+        total("urls", fresh).alias("new_rows"), (total("n") - total("n", fresh)).alias("duplicates"),
+        total("held").alias("before"), (total("held") + total("urls", unheld)).alias("after"))
 
 
 def update_by_file(corpus: DataFrame, batch: DataFrame) -> DataFrame:

@@ -4,11 +4,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pressmill.operators import gate as G
-from pressmill.operators.stats import head
+from pressmill.operators.dedupe import top_n
 from pressmill.sources.delimited import read_sniffed
 from pressmill.sources.files import latest_by_alias
 
-# Fixed value: rows taken in test mode.
+# Fixed value: rows of every source taken in test mode.
 TEST_ROWS = 20
 
 
@@ -23,7 +23,7 @@ def intake(spark, files: DataFrame, patterns: DataFrame, scraping_date: str, sin
     rows = read_sniffed(spark, [p["path"] for p in picks], required=["url"])
     named = rows.drop("source").join(F.broadcast(chosen.select("source", "file")), "file")
     if test_mode:
-        named = head(named, ["file", "seq"], TEST_ROWS)
+        named = top_n(named, ["source"], ["file", "seq"], TEST_ROWS).drop("_rn")
     completed = G.complete_schema(named)
     return G.judge(G.enrich(completed, scraping_date))
 

@@ -9,7 +9,8 @@
 #         most (most paragraphs), all (every container),
 #         scan (first container with a paragraph over ``need`` characters, else all page
 #         paragraphs over ``fallback`` characters).
-# else_text: characters of the container's text taken when no block qualifies (0 for none).
+# else_text: whether the container's whole text is taken when no block qualifies.
+# teasers: blocks that hold one of these texts are advertising or teasers.
 # No blocks at all: the whole text of the container.
 PARAGRAPHS = ["p"]
 RICH = ["p", "h2", "h3", "h4", "li"]
@@ -31,19 +32,20 @@ DROP_CLASSES = [
 ]
 
 _FIELDS = ["source", "containers", "choose", "blocks", "least", "distinct", "joiner", "noise", "need", "fallback",
-           "else_text"]
+           "else_text", "teasers"]
 _BREAK, _BLANK = "\n\n", " "
-WHOLE = 1 << 30
+ADS = ["adsbygoogle"]
 
 
 def _row(source, containers, blocks=PARAGRAPHS, least=15, distinct=False, choose="first", joiner=_BREAK,
-         noise="", need=0, fallback=0, else_text=0):
+         noise="", need=0, fallback=0, else_text=False, teasers=ADS):
     return dict(zip(_FIELDS, (source, containers, choose, blocks, least, distinct, joiner, noise, need, fallback,
-                              else_text)))
+                              else_text, teasers)))
 
 
 PROFILES = [
-    _row("elperiodicocr", ["div.td-post-content", "div.tdb-block-inner"], least=10, distinct=True, choose="filled"),
+    _row("elperiodicocr", ["div.td-post-content", "div.tdb-block-inner"], least=10, distinct=True, choose="filled",
+         teasers=["adsbygoogle", "leer más"]),
     _row("lareaccioncr", ["article"], ["p", "li", "blockquote"], 11),
     _row("larevistacr", ["article*page-content-single", "article*single", "article"], least=16),
     _row("latejacr", ["article*ArticleBody", "article*article-body", "div*ArticleBody", "div*article-body", "article"],
@@ -59,7 +61,7 @@ PROFILES = [
     _row("puroperiodismo", ["div*td-post-content", "div*entry-content", "article"], LISTED, distinct=True),
     _row("repretel", ["div*single-layout__article", "div*content", "article"], distinct=True),
     _row("rumboeconomico", ["div*elementor-widget-container"], LISTED, distinct=True, choose="most", need=2),
-    _row("sinartdigital", ["div*element-textarea"], LISTED, distinct=True, choose="all", else_text=WHOLE),
+    _row("sinartdigital", ["div*element-textarea"], LISTED, distinct=True, choose="all", else_text=True),
     _row("telediario", ["div*base__body"], ["p", "h3"], 10, True, choose="most", need=1),
     _row("teletica", ["div.text-editor", "div*article-body", "div*article-content", "article"], distinct=True),
     _row("theglobalcr", ["div*tdb_single_content", "div*td-post-content", "div*tagdiv-type", "div*entry-content", "article"],
@@ -71,12 +73,12 @@ PROFILES = [
     _row("puntarenasseoye", ["div*entry-content"], least=1, joiner=_BLANK),
     _row("caribeactual", ["div*entry-content"], least=1, joiner=_BLANK),
     _row("presidencia", ["div*field--name-body"], least=1, joiner=_BLANK),
-    _row("crhoy", ["div*wp-article", "article"], least=1, joiner=_BLANK, else_text=WHOLE),
-    _row("el_observador", ["div*entry-text"], least=1, joiner=_BLANK, else_text=WHOLE),
+    _row("crhoy", ["div*wp-article", "article"], least=1, joiner=_BLANK, else_text=True),
+    _row("el_observador", ["div*entry-text"], least=1, joiner=_BLANK, else_text=True),
     _row("amprensa", ["div.entry-content", "article", "div.post-content", "section#main-section"], least=21, joiner=_BLANK,
-         else_text=2000),
-    _row("crc_89_1", ["div*entry-content"], least=1, joiner=_BLANK, else_text=WHOLE),
-    _row("diarioextra", ["div.single-layout__article"], least=1, joiner=_BLANK, else_text=WHOLE),
+         else_text=True),
+    _row("crc_89_1", ["div*entry-content"], least=1, joiner=_BLANK, else_text=True),
+    _row("diarioextra", ["div.single-layout__article"], least=1, joiner=_BLANK, else_text=True),
     _row("eldelfino", ["div.entry-content", "article div*content", "div*post-content", "div*article-content", "article"],
          HEADED, 26, choose="scan", noise="substring", need=40, fallback=60),
     _row("lanacion", ["div.paragraph-body", "div*paragraph-body", "section.body-content", "div*body-content", "div*story-body",
@@ -109,7 +111,7 @@ GENERIC = _row("*", ["article", "main", "body"], distinct=True)
 
 _SELECTOR = "struct<outer:string,outer_id:string,tag:string,names:array<string>,part:string,ident:string>"
 SCHEMA = (f"source string, containers array<{_SELECTOR}>, choose string, blocks array<string>, least int, "
-          "distinct boolean, joiner string, noise string, need int, fallback int, else_text int, drop_tags array<string>, "
+          "distinct boolean, joiner string, noise string, need int, fallback int, else_text boolean, teasers array<string>, drop_tags array<string>, "
           "drop_classes array<string>, noise_words array<string>")
 
 
@@ -127,7 +129,7 @@ def profile_rows(profiles=None):
     rows = []
     for p in PROFILES if profiles is None else profiles:
         rows.append((p["source"], [selector(c) for c in p["containers"]], p["choose"], list(p["blocks"]), p["least"],
-                     p["distinct"], p["joiner"], p["noise"], p["need"], p["fallback"], p["else_text"], DROP_TAGS,
+                     p["distinct"], p["joiner"], p["noise"], p["need"], p["fallback"], p["else_text"], p["teasers"], DROP_TAGS,
                      # outlets with their own noise rule keep every class part
                      [] if p["noise"] else DROP_CLASSES, NOISE_WORDS))
     return rows

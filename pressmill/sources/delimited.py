@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from pressmill.plans.corpus import union_by_name
 from pressmill.schema import ARTICLE_COLUMNS, MINIMUM_COLUMNS, NULL_TEXT, TOLERANT_NULLS
-from pressmill.sources.files import file_name
+from pressmill.sources.files import file_name, literal_path, plain_path
 
 _NO_NULL = "\x00"
 _BROKEN = "_broken"
@@ -32,7 +32,8 @@ def _with_place(df):
 
 def _fields(record, sep):
     """Number of fields of a raw record."""
-    bare = F.regexp_replace(record, r'"(?:[^"]|"")*"', "")
+    # doubled quotes first: what is left needs no group, which the regex engine would recurse into
+    bare = F.regexp_replace(F.replace(record, F.lit('""'), F.lit("")), r'"[^"]*"', "")
     return F.length(bare) - F.length(F.replace(bare, F.lit(sep), F.lit(""))) + 1
 
 
@@ -52,7 +53,10 @@ def read_strict(spark, paths, columns=ARTICLE_COLUMNS, sep="|") -> DataFrame:
 def read_tolerant(spark, paths, columns=ARTICLE_COLUMNS, sep="|", nulls=TOLERANT_NULLS) -> DataFrame:
     """Usual null spellings become null, overlong rows are left out, short rows are padded."""
     raw = _with_place(_reader(spark, columns, sep).csv(paths))
-    whole = raw.where(F.col(_BROKEN).isNull() | (_fields(F.col(_BROKEN), sep) <= len(columns)))
+    # the reader refuses to give the raw record without any data column, as when rows are counted:
+    # behind a generator the first column is always asked for beside it
+    fits = F.when(F.col(_BROKEN).isNull() | (_fields(F.col(_BROKEN), sep) <= len(columns)), F.struct(F.col(columns[0]).alias("_head")))
+    whole = raw.withColumn("_fit", F.explode(F.filter(F.array(fits), lambda x: x.isNotNull())))
     cells = [F.when(~F.col(c).isin(list(nulls)), F.col(c)).alias(c) for c in columns]
     return whole.select(*cells, "file", "seq")
 
@@ -69,7 +73,7 @@ def headers(spark, paths) -> DataFrame:
     line = F.regexp_replace("line", "^﻿|\r$", "")
     sep = F.when(line.contains("|"), F.lit("|")).otherwise(F.lit(","))
     names = F.when(line.contains("|"), F.split(line, r"\|")).otherwise(F.split(line, ","))
-    return first.select(file_name(F.col("path")).alias("file"), "path", sep.alias("sep"),
+    return first.select(file_name(F.col("path")).alias("file"), plain_path(F.col("path")).alias("path"), sep.alias("sep"),
                         F.transform(names, lambda n: F.btrim(n, F.lit('" '))).alias("columns"))
 
 
@@ -90,7 +94,7 @@ def read_sniffed(spark, paths, required=MINIMUM_COLUMNS, strict=False) -> DataFr
     if not groups:
         raise ValueError("no readable file")
     read = read_strict if strict else read_tolerant
-    return union_by_name([read(spark, g["paths"], g["columns"], g["sep"]) for g in groups])
+    return union_by_name([read(spark, [literal_path(p) for p in g["paths"]], g["columns"], g["sep"]) for g in groups])
 
 
 def row_totals(spark, paths, columns=ARTICLE_COLUMNS, sep="|") -> DataFrame:

@@ -32,10 +32,21 @@ FILE_ALIASES = {
 }
 
 
+def plain_path(path):
+    """A path as written: metadata columns give it percent-encoded (a plus sign is not)."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def literal_path(path: str) -> str:
+    """A path that readers take as it is, whatever glob characters it holds."""
+    return "".join("\\" + c if c in "\\*?[]{}," else c for c in path)
+
+
 def file_name(path):
     """Logical file of a path: the value of a ``file=`` folder, else the last component."""
-    return F.coalesce(F.nullif(F.regexp_extract(path, r"/file=([^/]+)/", 1), F.lit("")),
-                      F.element_at(F.split(path, "/"), -1))
+    plain = plain_path(path)
+    return F.coalesce(F.nullif(F.regexp_extract(plain, r"/file=([^/]+)/", 1), F.lit("")),
+                      F.element_at(F.split(plain, "/"), -1))
 
 
 def listing(spark, folder, pattern="*.csv") -> DataFrame:

@@ -15,9 +15,10 @@ def write_delimited(df: DataFrame, path: str, columns=ARTICLE_COLUMNS, sep="|",
 
 
 def write_discards(judged: DataFrame, path: str, dt: str):
-    """Discard log of a day."""
-    judged.where("_discard_reason is not null").select(*DISCARD_COLUMNS).write.mode("overwrite").parquet(
-        f"{path.rstrip('/')}/dt={dt}")
+    """Discard log, a folder per day and source: a source written again replaces its own folder of the
+    day and no other; sources without discards write nothing."""
+    rows = judged.where("_discard_reason is not null").select(*DISCARD_COLUMNS, F.lit(dt).alias("dt"), F.col("source").alias("of_source"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "of_source").parquet(path.rstrip("/"))
 
 
 def append_runs(runs: DataFrame, path: str):

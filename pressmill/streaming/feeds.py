@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pressmill.operators import runs as R
+from pressmill.operators.dedupe import keep_first
 from pressmill.plans import corpus as C
 
 
@@ -52,21 +53,23 @@ def _start(writer, checkpoint, available_now):
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def thin(stream: DataFrame, key="url") -> DataFrame:
-    """Drop repeats of a key inside each Arrow batch, ahead of the shuffle: of a URL that
-    fills a third of the stream, one row per batch of some ten thousand goes on."""
+def dedupe(stream: DataFrame, root: str, checkpoint: str, key="url", time="scraping_ts", delay="7 days", order=("scraping_ts",),
+           available_now=True):
+    """First copy of each key, one folder per micro-batch below ``root``; copies that follow a kept one within
+    ``delay`` are dropped. Null keys count as one key.
 
-    def first_of_each(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(key)
-
-    return stream.mapInPandas(first_of_each, stream.schema)
+    Repeats within a batch shrink in each task before the shuffle. Of earlier batches only the keys of
+    the batch's last ``delay`` are read."""
+    schema = _schema_with_batch(stream)
 
+    def apply(batch: DataFrame, batch_id: int):
+        spark = batch.sparkSession
+        firsts = keep_first(batch, [key], list(order)).alias("n")
+        held = _before(spark, root, batch_id, schema).groupBy(F.col(key).alias("_key")).agg(F.max(time).alias("_held"))
+        near = firsts[key].eqNullSafe(F.col("_key")) & (F.col(time) <= F.col("_held") + F.expr(f"interval {delay}"))
+        firsts.join(held, near, "left_anti").write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-def dedupe(stream: DataFrame, time="scraping_ts", delay="7 days", key="url") -> DataFrame:
-    """First copy of each URL within the watermark; state is dropped behind it. Null keys
-    count as one key. The exact rule over all time is the look-up in ``ingest``."""
-    return thin(stream, key).withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
+    return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 
 
 def daily_counts(stream: DataFrame, time="scraping_ts", delay="1 day") -> DataFrame:
@@ -77,6 +80,19 @@ def daily_counts(stream: DataFrame, time="scraping_ts", delay="1 day") -> DataFr
         .agg(F.count("*").alias("articles"))
 
 
+def write_daily(counts: DataFrame, root: str, checkpoint: str, available_now=True):
+    """Every count that a micro-batch changed, open days included, in the batch's own folder."""
+    def apply(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+
+    return _start(counts.writeStream.outputMode("update").foreachBatch(apply), checkpoint, available_now)
+
+
+def read_daily(spark, root: str) -> DataFrame:
+    """The newest count of every source and day."""
+    return spark.read.parquet(root).groupBy("window", "source").agg(F.max_by("articles", "batch").alias("articles"))
+
+
 def anomaly_alerts(stream: DataFrame, history: str, alerts: str, checkpoint: str, available_now=True):
     """Append each micro-batch of runs to the history and judge its successful runs.
 

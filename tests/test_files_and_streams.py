@@ -39,6 +39,31 @@ def test_strict_and_tolerant_readers(spark, tmp_path):
         D.read_strict(spark, path).collect()
 
 
+def test_long_quoted_texts_and_counts(spark, tmp_path):
+    text = 'a ""b"" | c\n' * 10_000
+    path = put(tmp_path, "s_20240601.csv", f's|u1|"{text}"\ns|u2|t|d|d|c|"{text}"|es|more\ns|u3|t|d|d|c|x|es\n'.join([HEAD + "\n", ""]))
+    rows = D.read_tolerant(spark, path).orderBy("seq").collect()
+    assert [r["url"] for r in rows] == ["u1", "u3"] and len(rows[0]["title"]) == len(text.replace('""', '"'))
+    assert D.read_tolerant(spark, path).count() == 2
+
+
+@pytest.mark.parametrize("name", ["a b.csv", "[x]{y}*.csv", "ñandú+1%.csv"])
+def test_odd_file_names(spark, tmp_path, name):
+    put(tmp_path, name, HEAD + "\ns|u1|t|d|d|c|x|es\n")
+    row = D.read_sniffed(spark, str(tmp_path)).first()
+    assert (row["url"], row["file"]) == ("u1", name)
+
+
+def test_discards_of_one_source_keep_the_others(spark, tmp_path):
+    columns = ", ".join(f"{c} string" for c in [*ARTICLE_COLUMNS, "_discard_reason"])
+    rows = lambda source, n: spark.createDataFrame([(source, *["x"] * (len(ARTICLE_COLUMNS) - 1), "r")] * n, columns)
+    folder = str(tmp_path / "log")
+    for source, n in (("a", 2), ("b", 3), ("a", 1), ("c", 0)):
+        W.write_discards(rows(source, n), folder, "20240615")
+    found = {r["of_source"]: r["count"] for r in spark.read.parquet(folder).groupBy("of_source").count().collect()}
+    assert found == {"a": 1, "b": 3}
+
+
 def test_sniffing_groups_by_header(spark, tmp_path):
     put(tmp_path, "a.csv", HEAD + "\ns|u1|t|d|d|c|x|es\n")
     put(tmp_path, "b.csv", "﻿source,url,title,author,full_text\ns,u2,\"t, t\",Ana,x\n")
@@ -109,13 +134,25 @@ def test_ingest_over_several_runs(spark, tmp_path):
     assert sorted(r["full_text"] for r in spark.read.parquet(root).collect()) == ["1", "3", "5"]
 
 
-def test_stream_dedupe_and_thinning(spark, tmp_path):
-    land = str(tmp_path / "land")
-    _land(spark, land, [("s", "hot" if i % 3 else f"u{i}", "t", "f", i) for i in range(300)])
-    stream = feeds.dedupe(feeds.read_landing(spark, land, LAND))
-    feeds.write_parquet(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
-    urls = [r["url"] for r in spark.read.parquet(str(tmp_path / "out")).collect()]
-    assert len(urls) == len(set(urls)) == 101
+def test_stream_dedupe_over_batches(spark, tmp_path):
+    land, root, state = (str(tmp_path / n) for n in ("land", "out", "state"))
+    for k in range(4):
+        _land(spark, land, [("s", "hot" if i % 3 else f"u{i}", f"t{k}", "f", i + 300 * k) for i in range(300)])
+        feeds.dedupe(feeds.read_landing(spark, land, LAND), root, state).awaitTermination()
+    rows = spark.read.parquet(root).collect()
+    assert len(rows) == len({r["url"] for r in rows}) == 101 and {r["full_text"] for r in rows} == {"t0"}
+    # a copy later than the delay counts again
+    _land(spark, land, [("s", "hot", "late", "f", 9 * 86400)])
+    feeds.dedupe(feeds.read_landing(spark, land, LAND), root, state).awaitTermination()
+    assert spark.read.parquet(root).where("url = 'hot'").count() == 2
+
+
+def test_daily_counts_hold_open_days(spark, tmp_path):
+    land, root, state = (str(tmp_path / n) for n in ("land", "out", "state"))
+    for k in range(3):
+        _land(spark, land, [("s", "u", "t", "f", i * 3600) for i in range(24 * k, 24 * k + 30)])
+        feeds.write_daily(feeds.daily_counts(feeds.read_landing(spark, land, LAND)), root, state).awaitTermination()
+    assert sorted(r["articles"] for r in feeds.read_daily(spark, root).collect()) == [14, 16, 30, 30]
 
 
 def test_stream_alerts_use_earlier_runs(spark, tmp_path):

@@ -34,6 +34,13 @@ def test_gate_rules(spark):
     assert reasons(spark, [{"publication_date": "NULL"}], null_dates=["NULL"]) == ["Campo obligatorio nulo: publication_date"]
 
 
+def test_repeats_count_within_a_source(spark):
+    row = {"url": "u", "full_text": LONG, "title": "t", "publication_date": "2024-01-01", "section": "s"}
+    df = frame(spark, [{**row, "file": f} for f in ("f1", "f2", "f1")]).withColumn("source", F.col("file"))
+    assert [r["_discard_reason"] for r in G.judge(df).orderBy("seq").collect()].count("URL duplicada") == 1
+    assert G.accepted(df).count() == 2
+
+
 urls = st.sampled_from([None, "", "a", "a ", "b", "c"])
 rows_of = st.lists(st.fixed_dictionaries({
     "url": urls, "full_text": st.sampled_from([None, "", "NULL", " ", LONG, LONG + "y"]),

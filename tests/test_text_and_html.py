@@ -27,13 +27,15 @@ def test_clean_strict(spark):
         "<p>Hola &amp;quot; <script>x</script>\"sí\"|</p>😀??? ¿ya?", None, "a" * 30001, "1 < 2"])
     assert got[0] == "Hola quot; 'sí' ¿ya?"
     assert got[1] == ""
-    assert got[2] == "a" * 30000 + "... [truncado]"
+    assert got[2] == "a" * 30001
+    assert _apply(spark, X.spreadsheet_cell, ["a" * 30001, "b"]) == ["a" * 30000 + "... [truncado]", "b"]
     assert got[3] == "1 2"
 
 
 def test_entities(spark):
     assert _apply(spark, M.decode_entities, [
-        "&aacute;&#233;&#x1F600;&nope; &amp;lt; &#38;quot; &#0; &lt;"]) == ["áé😀&nope; &lt; &quot; &#0; <"]
+        "&aacute;&#233;&#x1F600;&nope; &amp;lt; &#38;quot; &#0; &lt;", "&rarr;&Agrave;&oelig;&#150;&NotEqualTilde;"]) == [
+        "áé😀&nope; &lt; &quot; &#0; <", "→Àœ–≂̸"]
 
 
 def test_title_case_and_slug(spark):
@@ -131,3 +133,32 @@ def test_links(spark):
     pages = spark.createDataFrame([(1, html)], "page_id int, html string")
     rows = L.page_links(pages, "https://s.org", 6).select("url", "title", "headed").collect()
     assert [tuple(r) for r in rows] == [("https://s.org/a", "Primera nota", True)]
+
+
+def _article(spark, html, source="lareaccioncr"):
+    from pressmill.operators import extract as E
+    from pressmill.plans.profiles import profiles_frame
+
+    pages = spark.createDataFrame([(1, source, "https://x/deportes/a", html)], "page_id long, source string, url string, html string")
+    return E.articles(pages, profiles_frame(spark), "2024-06-15 12:00:00").first()["full_text"]
+
+
+def test_nothing_around_the_container_is_removed(spark):
+    body = "<p>Un texto que basta para el mínimo.</p><div class='share-box'><p>Comparta esto con sus amigos.</p></div>"
+    assert _article(spark, f"<html><body class='social-enabled'><article>{body}</article></body></html>") == "Un texto que basta para el mínimo."
+
+
+def test_open_head_ends_at_the_body(spark):
+    body = "<article><p>Un texto que basta para el mínimo.</p></article>"
+    for head in ("<head><title>t</title><body>", "<head><meta charset=utf-8>", "<head><style>x</style><div>"):
+        assert _article(spark, head + body) == "Un texto que basta para el mínimo."
+
+
+def test_teasers_belong_to_their_outlet(spark):
+    page = "<{0}><p>Para leer más sobre este tema visite la página.</p></{1}>"
+    assert _article(spark, page.format("article", "article")).startswith("Para leer más")
+    assert _article(spark, page.format("div class='td-post-content'", "div"), "elperiodicocr") == ""
+
+
+def test_unknown_outlets_are_read_by_the_plain_profile(spark):
+    assert _article(spark, "<main><p>Un texto que basta para el mínimo.</p></main>", "nobody knows") == "Un texto que basta para el mínimo."
