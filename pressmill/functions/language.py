@@ -13,6 +13,7 @@ from pressmill.operators.dedupe import top_n
 
 DEFAULT = "es"
 RANKS = 300
+LANGUAGES = 1000  # more profiles than this are not sent to the tasks
 
 
 def learn(labelled: DataFrame, text="text", label="lang", ranks=RANKS) -> DataFrame:
@@ -52,9 +53,11 @@ def _nearest(text, langs, codes, ranks, limit):
 def detector(profiles: DataFrame, default=DEFAULT, ranks=RANKS):
     """Function from a text column to a language column.
 
-    The profiles are at most ``ranks`` rows per language; they travel as a broadcast value.
-    Ties go to the first language by name; texts without any trigram get ``default``."""
-    rows = profiles.select("lang", "gram", "rank").where(F.col("rank") <= ranks).collect()
+    The profiles are at most ``ranks`` rows for each of at most LANGUAGES languages (more are an error);
+    they travel as a broadcast value. Ties go to the first language by name; texts without any trigram get ``default``."""
+    rows = profiles.select("lang", "gram", "rank").where(F.col("rank") <= ranks).limit(LANGUAGES * ranks + 1).collect()
+    if len(rows) > LANGUAGES * ranks:
+        raise ValueError(f"profiles of more than {LANGUAGES} languages")
     langs = sorted({r["lang"] for r in rows})
     codes = np.unique([int(_codes(r["gram"])[0]) for r in rows])
     table = np.zeros((len(langs), len(codes)), dtype=np.int64)

@@ -1,6 +1,7 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
+import os
+import shutil
 import uuid
 
 from pyspark.sql import SparkSession
@@ -27,19 +28,20 @@ def build_session(app="pressmill", master=None, **conf):
     return builder.getOrCreate()
 
 
-_LOCAL = {}
-
-
 def shared_folder(spark):
-    """A new folder below the cluster's shared checkpoint folder.
+    """A new folder below the cluster's shared checkpoint folder (spark.checkpoint.dir).
 
-    Only a local session may fall back to a temporary folder of its own machine.
+    Where that is not set, the warehouse, which all executors share too, takes its place; no folder of
+    one machine's own is used. What is left there after a job may be deleted.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = _LOCAL.setdefault(context.applicationId, None) or tempfile.mkdtemp(prefix="pressmill-")
-        _LOCAL[context.applicationId] = base
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def ship(spark, folder):
+    """Hand this package to executors that do not have it installed: packed below ``folder`` of the
+    driver, from where Spark sends it to them."""
+    root = os.path.dirname(os.path.abspath(__file__))
+    packed = shutil.make_archive(os.path.join(folder, "pressmill"), "zip", os.path.dirname(root), os.path.basename(root))
+    spark.sparkContext.addPyFile(packed)
+    return packed

@@ -126,3 +126,21 @@ def test_plans(spark):
     assert "BroadcastNestedLoopJoin" not in plan(C.arrivals(df, df)) and "CartesianProduct" not in plan(C.arrivals(df, df))
     for d in (G.judge(df), Q.issues(df), R.repair(df, AS_OF), C.build(df)):
         assert "Python" not in plan(d) and "Pandas" not in plan(d)
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation ")
+
+
+def test_statistics_read_each_side_once(spark, tmp_path):
+    rows = [{"url": u, "full_text": LONG, "title": "t", "publication_date": "2024-01-01", "section": "s", "file": "f1"}
+            for u in ("a", "a", "b ", None, None, "c")]
+    frame(spark, rows).write.parquet(str(tmp_path / "batch"))
+    frame(spark, rows[1:3]).write.parquet(str(tmp_path / "held"))
+    batch, held = (spark.read.parquet(str(tmp_path / n)) for n in ("batch", "held"))
+    stats = C.update_stats(held, batch)
+    assert _scans(stats) == 2 and stats.first().asDict() == {"new_rows": 2, "duplicates": 3, "before": 2, "after": 4}
+    stats = C.build_stats(batch)
+    assert _scans(stats) == 1
+    assert stats.first().asDict() == {"total_raw": 6, "total_final": 3, "sources": 1, "duplicates": 2}
+    assert C.additions(held, batch).count() == 2
