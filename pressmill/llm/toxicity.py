@@ -38,44 +38,57 @@ def words(text):
     return _WORD.findall(text.lower())
 
 
-def candidates(text):
-    """Word beginnings, and whole words ending in "$": toxic words inflect."""
+def candidates(text, memo):
+    """Word beginnings, and whole words ending in "$": toxic words inflect. ``memo`` keeps those of a word."""
     found = set()
     for w in set(words(text)):
-        found.update(w[:n] for n in STEMS if n <= len(w))
-        found.add(w + "$")
+        own = memo.get(w)
+        if own is None:
+            own = memo[w] = (*(w[:n] for n in STEMS if n <= len(w)), w + "$")
+        found.update(own)
     return found
 
 
 class Terms:
     """The terms in use: none begins another, so a word holds one at most."""
 
-    MEMO = 200_000  # words remembered by a task; a full memo is emptied
-
     def __init__(self, terms):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.memo = {}
+        self.heads = {t.rstrip("$")[: STEMS[0]] for t in terms}
+        self.anywhere = None
 
     def __getstate__(self):
-        return {"number": self.number, "memo": {}}
+        return {**self.__dict__, "anywhere": None}
+
+    def holds(self, low):
+        """Whether a lower-cased text holds the letters of any term anywhere: most texts do not."""
+        if not self.number:
+            return False
+        if self.anywhere is None:
+            import ahocorasick
+
+            self.anywhere = ahocorasick.Automaton()
+            for t in self.number:
+                self.anywhere.add_word(t.rstrip("$"), True)
+            self.anywhere.make_automaton()
+        return next(self.anywhere.iter(low), None) is not None
 
     def find(self, word):
         """The term of a word, or -1."""
         return next((self.number[t] for t in (*(word[:n] for n in STEMS if n <= len(word)), word + "$") if t in self.number), -1)
 
     def count(self, text):
-        """Occurrences by term number, and the number of other words."""
-        counts, rest, memo = Counter(), 0, self.memo
-        if len(memo) > self.MEMO:
-            memo.clear()
-        for w, times in Counter(words(text)).items():
-            i = memo.get(w)
-            if i is None:
-                i = memo[w] = self.find(w)
-            if i < 0:
-                rest += times
+        """Occurrences by term number, and the number of other words (not counted where there is no term)."""
+        counts, rest = Counter(), 0
+        low = text.lower()
+        if not self.holds(low):
+            return counts, rest
+        first = STEMS[0]
+        for w in _WORD.findall(low):
+            if w[:first] in self.heads and (i := self.find(w)) >= 0:
+                counts[i] += 1
             else:
-                counts[i] += times
+                rest += 1
         return counts, rest
 
 
@@ -85,7 +98,7 @@ def texts(column):
 
 def _count_terms(batches):
     """Training texts with each term, toxic and in all, summed within the task."""
-    toxic, every, t, n = Counter(), Counter(), 0, 0
+    toxic, every, t, n, memo = Counter(), Counter(), 0, 0, {}
 
     def flush():
         return pa.RecordBatch.from_arrays([pa.array(list(every), pa.string()), pa.array([toxic[w] for w in every], pa.int64()),
@@ -93,7 +106,9 @@ def _count_terms(batches):
 
     for batch in batches:
         for text, label in zip(texts(batch.column(0)), batch.column(1).to_pylist()):
-            found = candidates(text)
+            if len(memo) > 50_000:
+                memo.clear()
+            found = candidates(text, memo)
             every.update(found)
             n += 1
             if label:
@@ -222,6 +237,10 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", train=None, t
     spark = docs.sparkSession
     marks = labels.where(F.col(label).isNotNull()).select(F.col(doc_id).alias("_id"), (F.col(label) != 0).cast("int").alias("_label"))
     marks = marks if train is None else marks.where(train(F.col("_id")))
+    many = marks.count()
+    if many > training:  # only hashes that can be among the first: the sort below stays small in every task
+        share = min(1.0, 1.2 * training / many + 0.001)
+        marks = marks.where(F.xxhash64("_id") <= min(int(share * 2 ** 64) - 2 ** 63, 2 ** 63 - 1))
     marks = marks.orderBy(F.xxhash64("_id"), "_id", "_label").limit(training)
     read = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("string").alias("_text"))
     rows = read.where("_text is not null").join(F.broadcast(marks), "_id")
