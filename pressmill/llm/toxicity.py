@@ -7,8 +7,8 @@ skipped, which changes no result. The K best (ties by example number) vote with
 and the vote is calibrated on the examples themselves, each left out of its own vote.
 
 Fitting reads at most TRAINING labelled rows, so their ids can be broadcast and no text moves.
-Terms are words and word beginnings whose share of toxic training texts is clearly above the base
-rate; document frequencies are counted over all texts. The examples are at most EXAMPLES distinct training
+Terms are words and word beginnings that are clearly likelier in toxic training texts than in others, a
+ratio that does not depend on how many of the texts are toxic; document frequencies are counted over all texts. The examples are at most EXAMPLES distinct training
 texts that hold such a term, half of each label where there are enough; they travel to the tasks.
 """
 
@@ -27,7 +27,7 @@ EXAMPLES = 8192
 TRAINING = 40_000  # labelled rows that are learnt from at most, by hash of their id
 K = 32
 BLOCK = 64
-LEAST_CHI2, LIFT = 30.0, 3.0  # a term's chi-square, and how many times the base rate its toxic share must be
+LEAST_CHI2, LIKELIER = 30.0, 4.0  # a term's chi-square, and how many times likelier it must be in a toxic text than in another
 PRIOR = 0.5  # weight of the base rate beside the neighbours' cosines
 STEMS = range(3, 9)  # characters of the word beginnings that are terms
 REST = ""  # the term of all other words, which tells one insult in a long text from many in a short one
@@ -252,9 +252,9 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic", train=None, t
     best, idf = [], []
     if 0 < t < n:
         chi2 = F.expr(f"pow(toxic * {n}D - n * {t}D, 2) * {n}D / (n * ({n}D - n) * {t}D * {n - t}D)")
-        rate = F.expr(f"toxic / n * {n}D / {t}D")
+        likelier = F.expr(f"toxic * {n - t}D >= {LIKELIER}D * (n - toxic) * {t}D")
         strong = counts.where((F.length("term") > 0) & (F.col("n") < n)).withColumn("chi2", chi2).where(
-            (F.col("chi2") >= LEAST_CHI2) & (rate >= LIFT))
+            (F.col("chi2") >= LEAST_CHI2) & likelier)
         stems = set()
         for r in strong.orderBy(F.desc("chi2"), F.desc(F.length("term")), "term").limit(8 * terms).select("term").collect():
             stem = r["term"].rstrip("$")
