@@ -4,9 +4,10 @@ A surrogate depends on a secret key, the kind, the normal form of the entity and
 nothing else, so one entity has one surrogate in every text (written in each place's own layout), and a
 task can compute it alone. All distinct entities of the table are then checked together: where two
 share a surrogate, or one equals a real entity, all but the first move to the next attempt until
-nothing collides. Only these exceptions are joined to the texts that hold them.
+nothing collides; late attempts leave the form's length, so there is always room. Only these exceptions are joined to the texts that hold them.
 
-Digits become digits and letters letters of the same case and script; a card number stays valid or invalid
+Digits become digits and letters letters of the same case and script (numbers written in digits of another
+script are the same entity); a card number stays valid or invalid
 (Luhn), an address keeps its octets in range, a phone its country code, an e-mail its last label, a
 name the gender its title tells. Names are matched word by word, so "Mrs Ada Byron" and "Mrs Byron"
 stay one family.
@@ -25,18 +26,28 @@ from pressmill.llm.common import keep
 _MALE = "Mr Mister Herr Sr Señor Monsieur Dn Don".split()
 _FEMALE = "Mrs Ms Miss Frau Sra Señora Srta Mme Madame Mlle Doña".split()
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+_ND = [c for c in map(chr, range(0x20000)) if c.isdecimal()]
+
+
+def _any(digits):
+    """A pattern of these digits in every script."""
+    return "[" + "".join(c for c in _ND if str(unicodedata.decimal(c)) in digits) + "]"
+
+
+_OCTET = rf"(?:{_any('2')}{_any('5')}{_any('012345')}|{_any('2')}{_any('01234')}\d|{_any('1')}?\d?\d)"
 PATTERNS = {  # in order of precedence where matches overlap
     "email": r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9]|[a-fA-F]+[0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])",
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
-    "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?!\d|-\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
     "name": rf"(?<!\w)(?:{'|'.join(_MALE + _FEMALE)})\.? (?=[^\W\d_a-z])({_NAME}(?: (?=[^\W\d_a-z]){_NAME}){{0,2}})",
 }
 _FINDERS = {k: re.compile(p) for k, p in PATTERNS.items()}
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT = re.compile(r"\d")
+WIDER = 16  # a surrogate grows with every so many attempts, so that room is found in the end
 _TITLES = [t + end for t in _MALE + _FEMALE for end in (" ", ". ")]
 
 
@@ -77,8 +88,17 @@ def normal(kind, value):
     if kind == "email":
         return value.lower()
     if kind in ("card", "ssn", "phone"):
-        return ("+" if value[0] == "+" else "") + re.sub(r"\D", "", value)
-    return value.replace(" ", "") if kind == "iban" else value
+        return ("+" if value[0] == "+" else "") + _plain(re.sub(r"\D", "", value))
+    return _plain(value.replace(" ", "")) if kind in ("iban", "ip") else value
+
+
+def _plain(value):
+    return "".join(str(unicodedata.decimal(c)) if c.isdecimal() else c for c in value)
+
+
+def _digit(like, n):
+    """The digit ``n`` in the script of the digit ``like``."""
+    return chr(ord(like) - unicodedata.decimal(like) + int(n))
 
 
 class _Stream:
@@ -113,53 +133,68 @@ def _letter(ch, draw):
     return near[draw.below(len(near))] if near else ch
 
 
+def _syllables(n, draw):
+    return "".join(_CONSONANTS[draw.below(len(_CONSONANTS))] + _VOWELS[draw.below(5)] for _ in range(n))
+
+
 def _alike(value, draw, keep_first=0):
     """The same layout with other digits and letters; the first ``keep_first`` characters stay."""
     return value[:keep_first] + "".join(
-        str(draw.below(10)) if c.isdigit() and c.isascii() else _letter(c, draw) if c.isalpha() else c for c in value[keep_first:])
+        _digit(c, draw.below(10)) if c.isdecimal() else _letter(c, draw) if c.isalpha() else c for c in value[keep_first:])
 
 
 def surrogate(key, kind, entity, attempt=0):
-    """The replacement of an entity, in its normal form."""
+    """The replacement of an entity, in its normal form. From attempt WIDER on it is longer than the form."""
+    more = attempt // WIDER
     draw = _Stream(key, kind if kind not in ("name_f", "name_m") else "name", entity, attempt)
     if kind == "email":
         local, _, domain = entity.partition("@")
         labels = domain.split(".")
         other = _Stream(key, "domain", domain, attempt)
-        return _alike(local, draw) + "@" + ".".join([*(_alike(x, other) for x in labels[:-1]), labels[-1]])
+        return _alike(local, draw) + _syllables(more, draw) + "@" + ".".join([*(_alike(x, other) for x in labels[:-1]), labels[-1]])
     if kind == "secret":
         letters = "0123456789ABCDEF" if entity.upper() == entity else "0123456789abcdef"
-        return "".join(letters[draw.below(16)] for _ in entity)
+        return "".join(letters[draw.below(16)] for _ in entity + "0" * more)
     if kind == "ip":
+        if attempt > 3:  # any address; short octets alone are few
+            return ".".join(str(draw.below(256)) for _ in range(4 + more))
         low = {1: 1, 2: 10, 3: 100}
         high = {1: 9, 2: 99, 3: 254}
         return ".".join(str(low[n] + draw.below(high[n] - low[n] + 1)) for n in map(len, entity.split(".")))
     if kind == "card":
-        digits = _alike(entity[:-1], draw)
+        digits = _alike(entity[:-1] + "0" * more, draw)
         last = next(d for d in "0123456789" if luhn(digits + d))
         return digits + (last if luhn(entity) else str((int(last) + 1 + draw.below(9)) % 10))
     if kind == "phone":
-        return _alike(entity, draw, 2 if entity[0] == "+" else 0)
+        return _alike(entity + "0" * more, draw, 2 if entity[0] == "+" else 0)
     if kind == "iban":
-        return _alike(entity, draw, 2)
+        return _alike(entity + "0" * more, draw, 2)
     if kind in ("name_f", "name_m", "family") and entity.isascii():
         parts = [_CONSONANTS[draw.below(len(_CONSONANTS))] + _VOWELS[draw.below(5)] for _ in range(max(2, len(entity) // 2) + attempt // 8)]
         tail = {"name_f": "a", "name_m": "n", "family": "r"}[kind]
         name = "".join(parts)[:-1] + ("a" if kind == "name_f" else "o" + tail)
         return name.upper() if entity.isupper() and len(entity) > 1 else name.capitalize()
-    return _alike(entity, draw)
+    return _alike(entity + "0" * more, draw) if kind == "ssn" else _alike(entity, draw) + _syllables(more, draw)
 
 
 def write(value, kind, new):
-    """``new`` in the layout of the place: its separators, for numbers that have them, and its case."""
+    """``new`` in the layout of the place: its separators and script, for numbers that have them, and its case."""
     if kind in ("card", "ssn", "phone", "iban"):
         fresh = iter(new.lstrip("+"))
-        return "".join(next(fresh, "") if c.isalnum() else c for c in value)
-    if kind == "email" and value != value.lower():
+        out = "".join(_like(c, next(fresh, "")) if c.isalnum() else c for c in value)
+        return out + "".join(_like(value[-1], c) for c in fresh)
+    if kind == "ip" and not value.isascii():
+        like = next(c for c in value if c.isdecimal() and not c.isascii())
+        return "".join(_like(like, c) for c in new)
+    if kind == "email" and value != value.lower() and len(value) == len(new):
         return "".join(n.upper() if v.isupper() else n for v, n in zip(value, new))
     return new
 
 
+def _like(c, new):
+    return _digit(c, new) if c.isdecimal() and new.isdecimal() else new
+
+
 def replace(text, key, exceptions=None):
     """(text with surrogates, entities replaced); ``exceptions`` maps kind and entity to attempts."""
     out, at, n = [], 0, 0
