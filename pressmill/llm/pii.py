@@ -10,7 +10,8 @@ Digits become digits and letters letters of the same case and script (numbers wr
 script are the same entity); a card number stays valid or invalid
 (Luhn), an address keeps its octets in range, a phone its country code, an e-mail its last label, a
 name the gender its title tells. Names are matched word by word, so "Mrs Ada Byron" and "Mrs Byron"
-stay one family.
+stay one family; where a text names someone with a title, later or earlier mentions of the full or the family
+name in that text are replaced too. A given name that stands alone is not.
 """
 
 import hashlib
@@ -25,7 +26,7 @@ from pressmill.llm.common import keep
 
 _MALE = "Mr Mister Herr Sr Señor Monsieur Dn Don".split()
 _FEMALE = "Mrs Ms Miss Frau Sra Señora Srta Mme Madame Mlle Doña".split()
-_NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
+_NAME = r"[^\W\d_]+(?:['’-](?!s\b)[^\W\d_]+)*"  # of "Byron's" it is Byron
 _ND = [c for c in map(chr, range(0x20000)) if c.isdecimal()]
 
 
@@ -81,7 +82,38 @@ def find(text):
             else:
                 out.append((a, b, kind, normal(kind, value)))
             taken.append((a, b))
-    return sorted(out)
+    return sorted(out + _mentions(text, out, taken))
+
+
+def _mentions(text, found, taken):
+    """Further whole-word mentions of the full and family names among ``found``, without a title."""
+    names, given = {}, ()
+    for _, _, kind, word in sorted(x for x in found if x[2] in ("name_f", "name_m", "family")):
+        given += ((kind, word),)
+        if kind == "family":
+            names.setdefault(tuple(w for _, w in given), given)
+            names.setdefault((word,), given[-1:])
+            given = ()
+    if not names:
+        return []
+    words, out = list(re.finditer(_NAME, text)), []
+    starts, at, i = sorted(taken), 0, 0
+    while i < len(words):
+        while at < len(starts) and starts[at][1] <= words[i].start():
+            at += 1
+        for n in (3, 2, 1):
+            run = words[i:i + n]
+            if len(run) < n or (parts := names.get(tuple(w.group(0) for w in run))) is None:
+                continue
+            a, b = run[0].start(), run[-1].end()
+            whole = not re.match(r"\w", text[a - 1:a]) and not re.match(r"\w", text[b:b + 1])
+            apart = all(text[x.end():y.start()].isspace() for x, y in zip(run, run[1:]))
+            if whole and apart and not (at < len(starts) and starts[at][0] < b):
+                out += [(w.start(), w.end(), *part) for w, part in zip(run, parts)]
+                i += n - 1
+                break
+        i += 1
+    return out
 
 
 def normal(kind, value):
