@@ -1,11 +1,11 @@
 """The training-data pipeline: named stages, each one operator, written and read again between stages.
 
 Every stage takes (spark, docs, sf_dir) and returns documents: toxic ones go, lines of passages that occur
-earlier go, one document of each near-duplicate group stays, contaminated documents go, and the last
+earlier go, one document of each group of close fingerprints stays, contaminated documents go, and the last
 stage mixes what is left to the source weights, with the column ``copies``.
 """
 
-from pressmill.llm import decontaminate, linededup, mixing, nearcopies, toxicity
+from pressmill.llm import decontaminate, linededup, mixing, simhash, toxicity
 from pressmill.llm.common import keep
 
 
@@ -23,7 +23,7 @@ def dedupe_lines(spark, docs, sf_dir):
 
 
 def drop_near_duplicates(spark, docs, sf_dir):
-    return nearcopies.drop_near_copies(docs)
+    return simhash.drop_near_duplicates(docs, shingle=3)  # and three bits, as the operator's contract has it
 
 
 def decontaminate_documents(spark, docs, sf_dir):
