@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from pressmill.llm import decontaminate, linededup, lm, mixing, pii, quality, simhash, suffixdedup, tokencount, toxicity
+from pressmill.llm import (
+    alignment,
+    decontaminate,
+    linededup,
+    lm,
+    mixing,
+    pii,
+    quality,
+    simhash,
+    suffixdedup,
+    tokencount,
+    toxicity,
+    urlfilter,
+    whitening,
+)
 from pressmill.llm.oracles import OP3, OP6, OP10
 from pressmill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -62,3 +76,18 @@ def op8_lm(spark, sf_dir):
 @query()
 def op9_pii(spark, sf_dir):
     return pii.pseudonymised(table(spark, sf_dir, "documents"), b"a key of the caller's")
+
+
+@query()
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), most=16)
+
+
+@query()
+def op12_urls(spark, sf_dir):
+    return urlfilter.judged(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op13_alignment(spark, sf_dir):
+    return alignment.aligned(table(spark, sf_dir, "documents"))
