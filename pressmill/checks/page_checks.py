@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pressmill.checks import sqltext as S
 from pressmill.checks.date_checks import AS_OF
 from pressmill.checks.fixtures import table
+from pressmill.checks.outlet_pages import SAMPLES, literal, page_sql
 from pressmill.checks.registry import check
 from pressmill.functions import html as M
 from pressmill.functions.text import has_markup, once
@@ -13,7 +14,7 @@ from pressmill.operators import extract as E
 from pressmill.operators import gate as G
 from pressmill.operators import links as L
 from pressmill.operators import stats as ST
-from pressmill.plans.profiles import NOISE_WORDS, PROFILES, profiles_frame
+from pressmill.plans.profiles import PROFILES, profiles_frame
 
 # --- oracle pieces -------------------------------------------------------------------------
 
@@ -255,36 +256,48 @@ def link_article_merge(spark, sf_dir):
 
 # --- whole articles --------------------------------------------------------------------------------
 
-USED = [p for p in PROFILES if p["source"] in {
-    "lareaccioncr", "larevistacr", "latejacr", "lavozdegoicoechea", "mundiario", "monumental", "ncrnoticias",
-    "costaricastar", "genteopa", "pulsocr", "puroperiodismo", "repretel", "teletica", "ticosland", "crhoy",
-    "amprensa", "eldelfino", "lanacion", "larepublica", "el_financiero", "el_jornal", "periodico_el_mundo"}]
-
-
 def _profile_sql(p):
     body = first(bare("html"), "article")
     if not p["blocks"]:
         return seen(body)
-    ps = blocks(body)
-    if "h1" in p["blocks"]:
-        ps = f"list_concat([{seen(first(body, 'h1'))}], {ps})"
+    every = blocks(body)
+    ps = f"list_concat([{seen(first(body, 'h1'))}], {every})" if "h1" in p["blocks"] else every
     ps = long(ps, p["least"])
+    if p["source"] == "sinartdigital":
+        ps = f"list_concat(['Texto sin párrafos, pero entero.'], {ps})"
     if p["distinct"]:
         ps = keep_order(ps)
-    return f"array_to_string({ps}, {'chr(10) || chr(10)' if p['joiner'] != ' ' else S.q(' ')})"
+    text = f"array_to_string({ps}, {'chr(10) || chr(10)' if p['joiner'] != ' ' else S.q(' ')})"
+    if p["choose"] == "most":
+        return f"case when len({long(every, 1)}) >= {max(p['need'], 1)} then {text} else '' end"
+    if p["choose"] == "scan":  # the only other paragraphs on the page are short
+        return f"case when len({long(every, p['need'] + 1)}) > 0 then {text} else '' end"
+    if p["lead"]:
+        return f"case when {text} <> '' then concat({literal('Resumen {d} ')}, {text}) else '' end"
+    return text
+
+
+_SOURCE = f"case page_id % {len(PROFILES)} " + " ".join(f"when {i} then '{p['source']}'" for i, p in enumerate(PROFILES)) + " end"
+
+
+def _by_source(value):
+    return "case source " + " ".join(f"when '{p['source']}' then {value(p)}" for p in PROFILES) + " end"
 
 
-_SOURCE = f"case page_id % {len(USED)} " + " ".join(f"when {i} then '{p['source']}'" for i, p in enumerate(USED)) + " end"
+_FIELD = {name: _by_source(lambda p, i=i: literal(SAMPLES[p["source"]][i])) for i, name in ((5, "date"), (6, "section"), (7, "author"))}
 
 
-@check("extract_articles", f"""select page_id, source, url, nullif({seen(first('html', 'h1'))}, '') as title, 'Sin autor' as author,
-  cast(null as varchar) as publication_date, '{AS_OF}' as scraping_date, concat(upper(lang[1]), lang[2:]) as section,
-  case source {' '.join(f"when '{p['source']}' then {_profile_sql(p)}" for p in USED)} end as full_text,
+@check("extract_articles", f"""select * from (select page_id, source, url, nullif({seen(first('html', 'h1'))}, '') as title,
+  coalesce({_FIELD['author']}, 'Sin autor') as author, {_FIELD['date']} as publication_date, '{AS_OF}' as scraping_date,
+  coalesce({_FIELD['section']}, concat(upper(lang[1]), lang[2:])) as section, {_by_source(_profile_sql)} as full_text,
   nullif(lower(regexp_extract(html, '(?i)<html[^>]*\\slang="([A-Za-z]{{2}})', 1)), '') as language
-  from (select *, {_SOURCE} as source, split_part(url, '/', 4) as lang from pages)""")
+  from (select *, {_SOURCE} as source, split_part(url, '/', 4) as lang from pages))
+  where length(full_text) >= {_by_source(lambda p: str(p['least_text']))}""")
 def extract_articles(spark, sf_dir):
+    """Every outlet's layout, with decoys, removed parts and its own places for title, author, date and section."""
     pages = _pages(spark, sf_dir).withColumn("source", F.expr(_SOURCE))
-    return E.articles(pages, profiles_frame(spark, USED), AS_OF)
+    laid_out = pages.withColumn("html", F.expr(_by_source(lambda p: page_sql(p["source"]))))
+    return E.articles(laid_out, profiles_frame(spark), AS_OF)
 
 
 def page_articles(pages, as_of):

@@ -1,7 +1,8 @@
 """Flat outline of a page: the one place where markup is read in Python.
 
 A page becomes its text pieces in order and, for every element, the range of pieces it
-covers. All extraction rules are column expressions over these arrays.
+covers; ``marked`` gives the elements that an outlet's selectors name. What is chosen, joined, parsed and
+fallen back to are column expressions over these arrays.
 """
 
 from html.parser import HTMLParser
@@ -9,6 +10,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import functions as F
 
+from pressmill.functions.selectors import between, covered, sheet
+
 # Element kinds of HTML.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "b", "big", "cite", "code", "em", "font", "i", "ins", "mark", "q", "s", "small", "span",
@@ -26,12 +29,19 @@ ALSO_ENDS = {"dt": "dd", "dd": "dt", "tbody": "thead", "tfoot": "tbody"}
 HEAD = {"base", "link", "meta", "noscript", "script", "style", "template", "title"}
 
 OUTLINE = ("texts array<string>, tag array<string>, cls array<string>, ident array<string>, "
-           "parent array<int>, last array<int>, t0 array<int>, t1 array<int>")
+           "parent array<int>, last array<int>, t0 array<int>, t1 array<int>, pars array<int>, kids array<int>")
+MARKED = ("texts array<string>, gone array<boolean>, containers array<struct<n:int,nested:boolean,t0:int,t1:int,b0:int,b1:int,p0:int,p1:int>>, "
+          "blocks array<struct<t0:int,t1:int>>, pars array<struct<t0:int,t1:int>>, "
+          "fields array<struct<kind:string,n:int,how:string,value:string,t0:int,t1:int>>")
 
 
 class _Reader(HTMLParser):
-    def __init__(self):
+    def __init__(self, rules=None):
         super().__init__(convert_charrefs=True)
+        self.rules = rules
+        self.given = []  # attributes of the open elements' path, outermost first
+        self.hits = []  # (rule, node, value or None); a void element has the number of the next one
+        self.raw = {}  # texts of silent elements that a rule asks for
         self.texts, self.tag, self.cls, self.ident = [], [], [], []
         self.parent, self.last, self.t0, self.t1 = [], [], [], []
         self.open = []  # element numbers, outermost first
@@ -43,6 +53,7 @@ class _Reader(HTMLParser):
             self.last[n], self.t1[n] = len(self.tag) - 1, len(self.texts)
             self.silent -= self.tag[n] in SILENT
         del self.open[depth:]
+        del self.given[depth:]
 
     def _find(self, tag, barrier=()):
         for depth in range(len(self.open) - 1, -1, -1):
@@ -62,9 +73,17 @@ class _Reader(HTMLParser):
             for name, barrier in ends:
                 if (depth := self._find(name, barrier)) is not None:
                     self._close(depth)
+        given = {k: v or "" for k, v in reversed(attrs)}
+        if self.rules:
+            node = len(self.tag)
+            for rule in self.rules.matches(tag, given, self.given):
+                attribute = self.rules.rules[rule][2]
+                self.hits.append((rule, node, given.get(attribute, "") if attribute else None if tag not in VOID else ""))
+                if tag in SILENT:
+                    self.raw.setdefault(node, [])
         if tag in VOID:
             return
-        given = dict(attrs)
+        self.given.append((tag, given))
         self.parent.append(self.open[-1] if self.open else -1)
         self.open.append(len(self.tag))
         self.tag.append(tag)
@@ -90,12 +109,55 @@ class _Reader(HTMLParser):
         if not self.silent:
             self.texts.append(" " + data if self.gap else data)
             self.gap = False
+        elif self.open and self.open[-1] in self.raw:
+            self.raw[self.open[-1]].append(data)
 
-    def row(self, page):
+    def read(self, page):
         self.feed(page or "")
         self.close()
         self._close(0)
-        return self.texts, self.tag, self.cls, self.ident, self.parent, self.last, self.t0, self.t1
+        return self
+
+    def row(self):
+        # paragraphs before each element and one more, and paragraphs among its children
+        pars, kids = [0], [0] * len(self.tag)
+        for tag, parent in zip(self.tag, self.parent):
+            pars.append(pars[-1] + (tag == "p"))
+            if tag == "p" and parent >= 0:
+                kids[parent] += 1
+        return self.texts, self.tag, self.cls, self.ident, self.parent, self.last, self.t0, self.t1, pars, kids
+
+    def marks(self):
+        """What the rules name. Elements to drop count below the containers only, noise counts all the way up; blocks in
+        either are left out, and the texts of dropped elements are marked as gone. Containers carry the places of
+        their blocks and paragraphs, so that no later step compares elements with each other."""
+        span = lambda node: (self.t0[node], self.t1[node]) if node < len(self.tag) else (len(self.texts),) * 2
+        found = {}
+        for rule, node, value in self.hits:
+            kind, n, _, how, _ = self.rules.rules[rule]
+            found.setdefault(kind, []).append((n, node, how, value))
+        holders = sorted({node for _, node, _, _ in found.get("container", ())})
+        ranges = lambda kind: [(node, self.last[node]) for _, node, _, _ in found.get(kind, ()) if node < len(self.tag)]
+        dropped = [r for r in ranges("drop") if len(set(between(holders, *r))) == 1]
+        size = len(self.tag)
+        out = covered(size, dropped + ranges("noise"))
+        gone = covered(len(self.texts), [(self.t0[a], self.t1[a] - 1) for a, _ in dropped if self.t1[a] > self.t0[a]])
+        own = {node for _, node, _, _ in found.get("own_noise", ())}
+        blocks = sorted({node for _, node, _, _ in found.get("block", ()) if not out[node] and node not in own})
+        pars = [i for i, tag in enumerate(self.tag) if tag == "p"]
+        containers, until = [], {}
+        for n, node, _, _ in sorted(x[:2] + (0, 0) for x in found.get("container", ())):
+            last = self.last[node]
+            nested = node <= until.get(n, -1)
+            until[n] = max(until.get(n, -1), last)
+            containers.append((n, nested, *span(node), *between(blocks, node + 1, last), *between(pars, node + 1, last)))
+        fields = []
+        for kind, places in found.items():
+            if kind not in ("container", "drop", "noise", "own_noise", "block"):
+                for n, node, how, value in sorted(places, key=lambda x: x[:2]):
+                    value = "".join(self.raw[node]) if value is None and node in self.raw else value
+                    fields.append((kind, n, how, value, *span(node)))
+        return self.texts, gone, containers, [span(b) for b in blocks], [span(p) for p in pars], fields
 
 
 def outline(html):
@@ -103,7 +165,21 @@ def outline(html):
 
     @F.pandas_udf(OUTLINE)
     def read(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_Reader().row(p) for p in pages],
-                            columns=["texts", "tag", "cls", "ident", "parent", "last", "t0", "t1"])
+        return pd.DataFrame([_Reader().read(p).row() for p in pages],
+                            columns=["texts", "tag", "cls", "ident", "parent", "last", "t0", "t1", "pars", "kids"])
 
     return read(html)
+
+
+def marked(html, rules):
+    """Column of what the selectors in ``rules`` (an array of kind, n, css, attribute, how) name on each page."""
+
+    @F.pandas_udf(MARKED)
+    def read(pages: pd.Series, given: pd.Series) -> pd.DataFrame:
+        rows = []
+        for page, of in zip(pages, given):
+            compiled = sheet(tuple((r["kind"], r["n"], r["css"], r["attribute"], r["how"]) for r in of))
+            rows.append(_Reader(compiled).read(page).marks())
+        return pd.DataFrame(rows, columns=["texts", "gone", "containers", "blocks", "pars", "fields"])
+
+    return read(html, rules)

@@ -1,15 +1,16 @@
-"""Pages to articles: profile-driven choice of container, blocks and dates."""
+"""Pages to articles: profile-driven choice of container, blocks, title, author, date and section."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.functions import dates as D
 from pressmill.functions import html as M
-from pressmill.functions.dates import iso_local
-from pressmill.functions.outline import outline
-from pressmill.functions.text import collapse, once
+from pressmill.functions.outline import marked, outline
+from pressmill.functions.text import collapse, once, section_slug, title_case
 from pressmill.functions.urls import section_by_path
 from pressmill.plans.profiles import GENERIC, profiles_frame
 
+
 def drop_teasers(texts, teasers):
     """Block texts without those that hold one of ``teasers`` (an array column)."""
     return F.filter(texts, lambda t: ~F.exists(teasers, lambda b: F.lower(t).contains(b)))
@@ -23,109 +24,67 @@ def paragraphs(page, least=15, distinct=True, container="article"):
     return F.array_distinct(texts) if distinct else texts
 
 
-def noise_by_substring(cls, words):
-    low = F.lower(cls)
-    return F.exists(words, lambda w: low.contains(w))
-
-
-def noise_by_token(cls, words):
-    return F.arrays_overlap(F.split(F.lower(cls), r"[-_\s]+"), words)
-
-
-def _matches(e, s):
-    """Whether element ``e`` satisfies selector ``s`` (enclosing element aside)."""
-    classes = F.split(e["cls"], r"\s+")
-    return (
-        (e["tag"] == s["tag"]) & (F.size(F.array_except(s["names"], classes)) == 0)
-        & e["cls"].contains(s["part"]) & e["ident"].contains(s["ident"])
-    )
-
-
-def _within(e, elements, s):
-    return (s["outer"] == "") | F.exists(
-        elements, lambda a: (a["tag"] == s["outer"]) & a["ident"].contains(s["outer_id"])
-        & (a["node"] < e["node"]) & (e["node"] <= a["last"]))
-
-
-def _inside(e, c):
-    return (e["node"] > c["node"]) & (e["node"] <= c["last"])
-
-
 def outlined(pages: DataFrame) -> DataFrame:
-    """Pages with ``texts`` and ``elements`` (node, parent, last, tag, cls, ident, t0, t1)."""
+    """Pages with ``texts`` and ``elements`` (node, parent, last, tag, cls, ident, t0, t1, kids, pars).
+
+    ``kids`` counts the paragraphs among an element's children, ``pars`` those anywhere below it: one subtraction of
+    running counts."""
     out = pages.withColumn("_o", outline(F.col("html")))
-    zipped = F.arrays_zip("_o.tag", "_o.cls", "_o.ident", "_o.parent", "_o.last", "_o.t0", "_o.t1")
+    zipped = F.arrays_zip("_o.tag", "_o.cls", "_o.ident", "_o.parent", "_o.last", "_o.t0", "_o.t1", "_o.kids")
+    before = lambda i: F.element_at("_o.pars", i + 1)
     elements = F.transform(zipped, lambda e, i: F.struct(
         i.alias("node"), e["parent"].alias("parent"), e["last"].alias("last"), e["tag"].alias("tag"), e["cls"].alias("cls"),
-        e["ident"].alias("ident"), e["t0"].alias("t0"), e["t1"].alias("t1")))
+        e["ident"].alias("ident"), e["t0"].alias("t0"), e["t1"].alias("t1"), e["kids"].alias("kids"),
+        (before(e["last"] + 1) - before(i + 1)).alias("pars")))
     return out.withColumns({"texts": F.col("_o.texts"), "elements": elements}).drop("_o")
 
 
+def _span(texts, x):
+    return F.slice(texts, x["t0"] + 1, x["t1"] - x["t0"])
+
+
 def body_texts(pages: DataFrame) -> DataFrame:
-    """Add ``blocks`` (kept block texts) and ``full_text`` by the profile columns of each row."""
-    e, texts = F.col("elements"), F.col("texts")
-    words, drop = F.col("noise_words"), F.col("drop_classes")
-    removed = F.filter(e, lambda x: F.array_contains(F.col("drop_tags"), x["tag"])
-                       | F.exists(drop, lambda d: F.lower(x["cls"]).contains(d)))
-    noisy = F.when(F.col("noise") == "substring", F.filter(e, lambda x: noise_by_substring(x["cls"], words))) \
-        .when(F.col("noise") == "token", F.filter(e, lambda x: noise_by_token(x["cls"], words))) \
-        .otherwise(F.slice(e, 1, 0))
-    candidates = F.flatten(F.transform("containers", lambda s, k: F.transform(
-        F.filter(e, lambda x: _matches(x, s) & _within(x, e, s)),
-        lambda x: F.struct(k.alias("k"), x["node"].alias("node"), x["last"].alias("last"),
-                           x["t0"].alias("t0"), x["t1"].alias("t1")))))
-    # nothing around a container is removed: what counts lies below it (noise words count all the way up)
-    below = lambda found: F.filter(found, lambda x: ~F.exists(
-        "_candidates", lambda c: (x["node"] <= c["node"]) & (c["node"] <= x["last"])))
-    step1 = outlined(pages).withColumn("_candidates", candidates).withColumns({"_removed": below(removed), "_noisy": noisy})
-    # text pieces of removed elements vanish from every enclosing element
-    kept = F.transform(texts, lambda t, i: F.when(
-        F.exists("_removed", lambda r: (i >= r["t0"]) & (i < r["t1"])), F.lit("")).otherwise(t))
-    step2 = step1.withColumn("_texts", kept)
-
-    def read(x):
-        return collapse(F.array_join(F.slice(F.col("_texts"), x["t0"] + 1, x["t1"] - x["t0"]), ""))
-
-    clean = F.filter(e, lambda x: ~F.exists("_noisy", lambda n: (x["node"] >= n["node"]) & (x["node"] <= n["last"]))
-                     & ~F.exists("_removed", lambda n: (x["node"] >= n["node"]) & (x["node"] <= n["last"])))
-    wanted = F.filter(clean, lambda x: F.array_contains(F.col("blocks_of"), x["tag"]))
-    step3 = step2.withColumnRenamed("blocks", "blocks_of").withColumns({
-        "_wanted": F.transform(wanted, lambda x: F.struct(x["node"].alias("node"), x["tag"].alias("tag"), read(x).alias("text"))),
-        "_pars": F.transform(F.filter(e, lambda x: x["tag"] == "p"),
-                             lambda x: F.struct(x["node"].alias("node"), read(x).alias("text"))),
-    })
-    count = lambda c, rule: F.size(F.filter("_pars", lambda p: _inside(p, c) & rule(p)))
-    anything = lambda p: p["text"] != ""
-    long_enough = lambda p: F.length(p["text"]) > F.col("need")
-    whole = F.size("blocks_of") == 0
-    per_k = F.filter("_candidates", lambda c: ~F.exists("_candidates", lambda o: (o["k"] == c["k"]) & (o["node"] < c["node"])))
-    has_blocks = lambda c: F.exists("_wanted", lambda b: _inside(b, c) & (F.length(b["text"]) >= F.col("least")))
-    filled = F.filter("_candidates", has_blocks)
-    filled = F.filter(filled, lambda c: ~F.exists(filled, lambda o: o["k"] < c["k"]))
-    scan = F.filter(per_k, lambda c: count(c, long_enough) > 0)
-    ranked = F.array_sort(F.transform("_candidates", lambda c: F.struct(
-        (-count(c, anything)).alias("n"), c["node"].alias("node"), c.alias("c"))))
-    most = F.transform(F.filter(ranked, lambda r: -r["n"] >= F.greatest(F.col("need"), F.lit(1))), lambda r: r["c"])
+    """Add ``blocks`` (kept block texts), ``full_text`` and ``fields`` (kind, n, how, text: what the rules of the other
+    fields found, in order) by the profile columns of each row.
+
+    The selectors' pass has numbered blocks and paragraphs and given every container the places of its own, so a
+    container's share is one slice. Nothing around a container is removed; noise words count all the way up."""
+    read = lambda x: collapse(F.array_join(F.zip_with(
+        _span("_o.texts", x), _span("_o.gone", x), lambda t, g: F.when(g, F.lit("")).otherwise(t)), ""))
+    whole_text = lambda x: collapse(F.array_join(_span("_o.texts", x), ""))
+    step1 = pages.withColumn("_o", marked(F.col("html"), F.col("rules")))
+    step2 = step1.withColumns({
+        "_blocks": F.transform("_o.blocks", read), "_pars": F.transform("_o.pars", read),
+        "fields": F.transform("_o.fields", lambda f: F.struct(
+            f["kind"].alias("kind"), f["n"].alias("n"), f["how"].alias("how"), F.coalesce(f["value"], whole_text(f)).alias("text")))})
+    candidates, least, need = F.col("_o.containers"), F.col("least"), F.col("need")
+    blocks_of = lambda c: F.slice("_blocks", c["b0"] + 1, c["b1"] - c["b0"])
+    pars_of = lambda c: F.slice("_pars", c["p0"] + 1, c["p1"] - c["p0"])
+    firsts = F.filter(candidates, lambda c, i: (i == 0) | (F.element_at(candidates, F.greatest(i, F.lit(1)))["n"] != c["n"]))
+    filled = F.filter(candidates, lambda c: F.exists(blocks_of(c), lambda t: F.length(t) >= least))
+    same_kind = F.filter(filled, lambda c: c["n"] == F.element_at(filled, 1)["n"])
+    scan = F.filter(firsts, lambda c: F.exists(pars_of(c), lambda t: F.length(t) > need))
+    ranked = F.array_sort(F.transform(candidates, lambda c, i: F.struct(
+        (-F.size(F.filter(pars_of(c), lambda t: t != ""))).alias("n"), i.alias("i"), c.alias("c"))))
+    most = F.transform(F.filter(ranked, lambda r: -r["n"] >= F.greatest(need, F.lit(1))), lambda r: r["c"])
     one = lambda a: F.slice(a, 1, 1)
-    chosen = F.when(F.col("choose") == "most", one(most)).when(F.col("choose") == "scan", one(scan)) \
-        .when(F.col("choose") == "all", F.col("_candidates")).when(F.col("choose") == "filled", filled) \
-        .otherwise(one(per_k))
-    step4 = step3.withColumn("_chosen", chosen)
-    inner = F.filter("_wanted", lambda b: F.exists("_chosen", lambda c: _inside(b, c)))
-    blocks = F.filter(F.transform(inner, lambda b: b["text"]), lambda t: (F.length(t) >= F.col("least")) & (t != ""))
-    fallback = F.filter(F.transform("_pars", lambda p: p["text"]), lambda t: F.length(t) > F.col("fallback"))
-    # a chosen container without qualifying blocks gives its own text where the profile says so
-    bare = F.filter("_chosen", lambda c: ~has_blocks(c))
-    own = F.filter(F.transform(bare, read), lambda t: t != "")
-    blocks = drop_teasers(blocks, F.col("teasers"))
-    found = F.when((F.col("choose") == "scan") & (F.size("_chosen") == 0), fallback) \
-        .when(whole, F.transform("_chosen", read)) \
-        .when(F.col("else_text") & (F.size(bare) > 0), F.concat(blocks, own)) \
-        .otherwise(blocks)
-    step5 = step4.withColumn("blocks", found)
-    step6 = step5.withColumn("blocks", F.when(F.col("distinct"), F.array_distinct("blocks")).otherwise(F.col("blocks")))
-    return step6.withColumn("full_text", F.call_function("array_join", F.col("blocks"), F.col("joiner"))).drop(
-        "_removed", "_noisy", "_texts", "_candidates", "_wanted", "_pars", "_chosen", "blocks_of")
+    choose = F.col("choose")
+    chosen = F.when(choose == "most", one(most)).when(choose == "scan", one(scan)).when(choose == "all", candidates) \
+        .when(choose == "filled", same_kind).otherwise(one(firsts))
+    step3 = step2.withColumn("_chosen", F.filter(chosen, lambda c: ~c["nested"] | (choose == "most")))
+    # a container without any block gives its own text where the profile says so
+    inner = F.flatten(F.transform("_chosen", lambda c: F.when(F.col("else_text") & (c["b0"] == c["b1"]), F.array(read(c))).otherwise(blocks_of(c))))
+    inner = F.filter(inner, lambda t: (F.length(t) >= least) & (t != ""))
+    fallback = F.filter("_pars", lambda t: F.length(t) > F.col("fallback"))
+    found = F.when((choose == "scan") & (F.size("_chosen") == 0), fallback) \
+        .when(F.col("whole"), F.transform("_chosen", read)).otherwise(drop_teasers(inner, F.col("teasers")))
+    step4 = step3.withColumn("_found", found)
+    step5 = step4.withColumn("blocks", F.when(F.col("distinct"), F.array_distinct("_found")).otherwise(F.col("_found")))
+    lead = F.try_element_at(F.filter("fields", lambda f: (f["kind"] == "lead") & (f["text"] != "")), F.lit(1))["text"]
+    joined = F.call_function("array_join", F.col("blocks"), F.col("joiner"))
+    # an excerpt goes before a body that is there
+    full = F.when(lead.isNotNull() & (joined != ""), F.concat(lead, F.col("joiner"), joined)).otherwise(joined)
+    return step5.withColumn("full_text", full).drop("_o", "_blocks", "_pars", "_chosen", "_found")
 
 
 def container_counts(pages: DataFrame, tags, part="", direct=False) -> DataFrame:
@@ -134,11 +93,10 @@ def container_counts(pages: DataFrame, tags, part="", direct=False) -> DataFrame
     ``direct`` counts paragraphs that are children of the container, not deeper ones."""
     e = F.col("elements")
     found = F.filter(e, lambda x: F.array_contains(F.array(*[F.lit(t) for t in tags]), x["tag"]) & x["cls"].contains(part))
-    belongs = (lambda p, c: p["parent"] == c["node"]) if direct else _inside
     rows = F.transform(found, lambda c: F.struct(
         c["node"].alias("node"), c["tag"].alias("tag"), c["cls"].alias("cls"),
-        F.size(F.filter(e, lambda p: (p["tag"] == "p") & belongs(p, c))).alias("paragraphs"),
-        F.length(collapse(F.array_join(F.slice(F.col("texts"), c["t0"] + 1, c["t1"] - c["t0"]), ""))).alias("length")))
+        c["kids" if direct else "pars"].alias("paragraphs"),
+        F.length(collapse(F.array_join(_span("texts", c), ""))).alias("length")))
     return outlined(pages).select("page_id", F.explode(rows).alias("c")).select("page_id", "c.*")
 
 
@@ -240,27 +198,62 @@ def embedded_meta(page, marker="post_meta"):
                     F.substring(F.get_json_object(text, "$.date"), 1, 10).alias("date"))
 
 
+# How a field's text is read, by the parser's name in a rule. Dates that no form fits are passed over.
+DATE_PARSERS = {
+    "": lambda c: c,
+    "iso": D.iso_local, "iso_utc": D.iso_utc, "ten": lambda c: F.substring(c, 1, 10),
+    "es_long": D.es_long, "es_long_time": D.es_long_time, "es_dash_time": D.es_dash_time, "es_month_first": D.es_month_first,
+    "es_month_first_strict": D.es_month_first_strict, "es_weekday": D.es_weekday, "es_tokens": D.es_tokens,
+    "es_short_month_only": lambda c: F.when(c.rlike(r"(?i)\d{1,2}\s+de\s+\w+"), F.nullif(D.es_short_month(c), F.lit("Sin fecha"))),
+    "mixed_short": D.mixed_short, "english_short": D.english_short, "any_numeric": D.any_numeric, "dashed_time": D.dashed_time,
+    "slashed_strict": D.slashed_strict, "post_date": lambda c: F.substring(F.get_json_object(c, "$.date"), 1, 10),
+    "ld_top": lambda c: D.iso_local(F.get_json_object(c, "$.datePublished")), "ld_graph": lambda c: graph_date(c, D.iso_utc),
+    "ld_graph_local": lambda c: graph_date(c, D.iso_local), "ld_article": lambda c: graph_article(c)["date"],
+}
+SECTION_PARSERS = {
+    "": lambda c: c, "slug": section_slug, "slug_plus": lambda c: section_slug(c, drop_plus=True), "title": title_case,
+    "short": lambda c: F.when(F.length(c) < 50, c), "post_category": lambda c: section_slug(F.get_json_object(c, "$.category")),
+    "class_category": lambda c: title_case(F.replace(F.regexp_extract(c, r"(?:^|\s)category-(\S+)", 1), F.lit("-"), F.lit(" "))),
+    "ld_section": lambda c: graph_article(c)["section"],
+}
+# These look at all texts of their rules together (the last article node holds).
+_TOGETHER = {"ld_article", "ld_section"}
+
+
+def field(kind, parsers=None):
+    """The first text that the rules of a kind found and their parsers could read; null without one."""
+    def read(f):
+        if parsers is None:
+            return F.nullif(f["text"], F.lit(""))
+        out = F.lit(None).cast("string")
+        alike = lambda name: F.transform(
+            F.filter("fields", lambda g: (g["kind"] == kind) & (g["how"] == name)), lambda g: g["text"])
+        for name, parse in parsers.items():
+            out = F.when(f["how"] == name, parse(alike(name) if name in _TOGETHER else f["text"])).otherwise(out)
+        return F.nullif(out, F.lit(""))
+
+    texts = F.transform(F.filter("fields", lambda f: (f["kind"] == kind) & (f["text"] != "")), read)
+    return F.try_element_at(F.filter(texts, lambda t: t.isNotNull()), F.lit(1))
+
+
 def articles(pages: DataFrame, profiles: DataFrame, scraping_date: str) -> DataFrame:
     """Article records of landed pages (page_id, source, url, html).
 
-    Pages of outlets without a profile are read by the plain one. Profiles are a package table of a few
-    dozen rows, so they are sent to every task. Python runs once per page and last; pages are never shuffled.
+    Pages of outlets without a profile are read by the plain one; bodies below an outlet's least length are no articles.
+    Profiles are a package table of a few dozen rows, so they are sent to every task. Python runs once per page,
+    and pages are never shuffled.
     """
-    page = F.col("html")
     named = profiles.unionByName(profiles_frame(pages.sparkSession, [GENERIC]))
     known = [r["source"] for r in profiles.select("source").collect()]
     kind = F.when(F.col("source").isin(known), F.col("source")).otherwise(F.lit(GENERIC["source"]))
     fields_of = named.withColumnRenamed("source", "_profile")
     with_profile = pages.withColumn("_profile", kind).join(F.broadcast(fields_of), "_profile").drop("_profile")
-    script = F.array_join(scripts(page), "\n")
-    date = by_precedence("jsonld_meta_listing", jsonld=graph_date(script, iso_local),
-                         meta=iso_local(meta_date(page)), listing=iso_local(time_date(page)))
-    fields = with_profile.withColumns({
-        "title": title(page), "author": author(page),
-        "publication_date": F.when(page.contains("<script") | page.contains("<meta") | page.contains("<time"), date),
-        "section": section_by_path(F.col("url")),
-        "language": F.nullif(F.lower(F.regexp_extract(page, r'(?i)<html[^>]*\slang="([A-Za-z]{2})', 1)), F.lit("")),
-    })
-    return body_texts(fields).select(
-        "page_id", "source", "url", "title", "author", F.lit(scraping_date).alias("scraping_date"), "section",
-        "language", once(publication_date=F.col("publication_date"), full_text=F.col("full_text")))
+    read = body_texts(with_profile).select(
+        "page_id", "source", "url", "no_author", "least_text",
+        F.nullif(F.lower(F.regexp_extract("html", r'(?i)<html[^>]*\slang="([A-Za-z]{2})', 1)), F.lit("")).alias("language"),
+        once(fields=F.col("fields"), full_text=F.col("full_text")))
+    return read.where(F.length("full_text") >= F.col("least_text")).select(
+        "page_id", "source", "url", field("title").alias("title"), F.coalesce(field("author"), "no_author").alias("author"),
+        F.lit(scraping_date).alias("scraping_date"),
+        F.coalesce(field("section", SECTION_PARSERS), section_by_path(F.col("url"))).alias("section"),
+        "language", field("date", DATE_PARSERS).alias("publication_date"), "full_text")

@@ -1,11 +1,13 @@
+import pytest
 from pyspark.sql import functions as F
 
 from pressmill.functions import html as M
 from pressmill.functions import text as X
 from pressmill.functions import urls as U
+from pressmill.functions.selectors import Sheet, parse
 from pressmill.operators import extract as E
 from pressmill.operators import links as L
-from pressmill.plans.profiles import PROFILES, profiles_frame, selector
+from pressmill.plans.profiles import PROFILES, profiles_frame
 
 
 def _apply(spark, fn, texts):
@@ -121,10 +123,88 @@ def test_no_container_falls_back_to_long_paragraphs(spark):
     assert _read(spark, "monumental", f"<p>{LONG}</p>")["full_text"] == ""
 
 
-def test_selector_notation():
-    assert selector("article#the-post div*entry-content") == ("article", "the-post", "div", [], "entry-content", "")
-    assert selector("div.entry-content.read-details") == ("", "", "div", ["entry-content", "read-details"], "", "")
-    assert selector("article*small single") == ("", "", "article", [], "small single", "")
+def test_selectors():
+    def fits(css, *path):
+        *above, (tag, given) = path
+        return list(Sheet([("x", 0, css, "", "")]).matches(tag, given, above)) == [0]
+
+    entry = ("div", {"class": "a entry-content read-details", "id": "the-post-9"})
+    assert fits("div.entry-content.read-details", entry) and not fits("div.entry", entry) and fits('div[class*="entry"]', entry)
+    assert fits('[id*="the-post"]', entry) and not fits("#the-post", entry) and fits('[id^="the-"]', entry) and fits('[id$="9"]', entry)
+    assert fits("article div.a", ("article", {}), ("p", {}), entry) and not fits("article > div.a", ("article", {}), ("p", {}), entry)
+    assert fits("article > p div", ("article", {}), ("p", {}), ("b", {}), entry) and not fits("main div", ("article", {}), entry)
+    assert fits('article[class*="small single"]', ("article", {"class": "x small single"}))
+    assert fits('[class*="READ" i]', entry) and not fits('[class*="READ"]', entry) and fits('[class*="read" i]', ("i", {"class": "READ"})) and fits("[noindex]", ("p", {"noindex": ""}))
+    assert fits('[class%="ad"]', ("p", {"class": "my_ad-box"})) and not fits('[class%="ad"]', ("p", {"class": "load"}))
+    with pytest.raises(ValueError):
+        parse("div[")
+
+
+def test_fields_of_outlets(spark):
+    """Title, author, date and section by each outlet's own rules."""
+    body = f"<p>{LONG}</p>" * 6
+    cases = [
+        ("crhoy", '<script id="__cr_post_meta">{"category":"Política Nacional","date":"2024-05-07 1:2"}</script><h1>T</h1><span>6 de Abr. 2024 | 1 am</span>'
+                  f'<div class="wp-article">{body}</div>', ("T", "Sin autor", "2024-04-06", "politica-nacional")),
+        ("crhoy", '<script id="__cr_post_meta">{"date":"2024-05-07 1:2"}</script><span class="bg-orange">Sucesos y más</span>'
+                  f'<div class="wp-article">{body}</div>', (None, "Sin autor", "2024-05-07", "sucesos-y-mas")),
+        ("diarioextra", '<script type="application/ld+json">{"@graph":[{"@type":"NewsArticle","datePublished":"2024-05-01","articleSection":["A","B"]}]}</script>'
+                        '<script type="application/ld+json">{"@type":"Article","datePublished":"2024-05-02"}</script><h1>no</h1>'
+                        '<h1 class="single-layout__title">T</h1><a class="single-layout__author">Ana</a><div class="single-layout__article"><p>x</p></div>',
+         ("T", "Ana", "2024-05-02", "A")),
+        ("noticiasenlineacr", '<script type="application/ld+json">{"datePublished":"2024-05-01T06:00:00Z"}</script><meta property="article:published_time" '
+                              f'content="2023-01-01T06:00:00Z"><article>{body}</article>', (None, "Sin autor", "2024-05-01 00:00:00", "Deportes")),
+        ("costaricastar", '<script class="yoast-schema-graph">{"@graph":[{"@type":"WebPage","datePublished":"2024-05-01T06:00:00+00:00"}]}</script>'
+                          f'<article>{body}</article>', (None, "Sin autor", "2024-05-01 06:00:00", "Deportes")),
+        ("teletica", '<div class="authorDate"><span>Por Ana</span><span>25 de mayo de 2024, 18:50 PM</span></div><div class="text-editor"><h4>Nacional</h4>'
+                     f'{body}</div>', (None, "Sin autor", "2024-05-25 18:50:00", "Nacional")),
+        ("el_seminario", f'<article class="post category-vida-sana x"><time datetime="2024-05-01T01:00:00">ayer</time><div class="entry-content">{body}</div></article>',
+         (None, "Sin autor", "2024-05-01T01:00:00", "Vida Sana")),
+        ("larepublica", f'<div class="date">Jueves, 2 de mayo de 2024</div><a href="/seccion/x">mundo</a><article><a href="/autor/eva">Eva</a>{body}</article>',
+         (None, "Eva", "2024-05-02", "Mundo")),
+        ("telediario", f'<time class="x-datetime" datetime="21-05-2024 09:49">x</time><b data-camus-section="">País</b><span class="base__body">{body}</span>',
+         (None, "Sin autor", "2024-05-21 09:49:00", "País")),
+        ("el_jornal", f'<body><p>San José, 31 de octubre de 2024</p><a href="/category/pais">El País</a><article>{body}</article></body>',
+         (None, "Sin autor", "2024-10-31", "el-pais")),
+    ]
+    for source, html, want in cases:
+        got = _article_row(spark, html, source)
+        assert (got["title"], got["author"], got["publication_date"], got["section"]) == want, source
+
+
+def test_lead_least_text_and_own_noise(spark):
+    lead = '<h2 class="single-layout__excerpt">Resumen</h2><div class="single-layout__article"><p>uno</p><blockquote><p>no</p></blockquote><p>dos</p></div>'
+    assert _article(spark, lead, "diarioextra") == "Resumen uno dos"
+    assert _article(spark, '<h2 class="single-layout__excerpt">Resumen</h2>', "diarioextra") == ""
+    assert _article_row(spark, f'<div class="entry-content"><p>{LONG}</p></div>', "puntarenasseoye") is None
+    own = '<div class="ue-l-article__body"><div class="ad"><p>bajo un anuncio</p></div><p class="paywall">no</p><p>sí</p></div>'
+    assert _article(spark, own, "el_mundo") == "bajo un anuncio\n\nsí"
+
+
+def test_blocks_or_whole_text_by_container(spark):
+    html = ('<div class="element-textarea">Texto sin párrafos, entero.</div><div class="element-textarea"><p>Un párrafo bastante largo.</p><p>corto</p></div>'
+            '<div class="element-textarea"><p>corto</p></div>')
+    assert _article(spark, html, "sinartdigital") == "Texto sin párrafos, entero.\n\nUn párrafo bastante largo."
+
+
+def test_pages_grow_linearly(spark):
+    import time
+
+    from pressmill.functions.outline import _Reader
+    from pressmill.functions.selectors import sheet
+    from pressmill.plans.profiles import profile_rows
+
+    rules = sheet(tuple(profile_rows([p for p in PROFILES if p["source"] == "larepublica"])[0][1]))
+
+    wide = lambda n: seconds_of("<article>" + "<div class='entry-content'><p>uno <b>dos</b></p></div>" * n + "</article>", rules)
+
+    def seconds_of(page, rules):
+        start = time.process_time()
+        _Reader(rules).read(page).marks()
+        return time.process_time() - start
+
+    wide(100)
+    assert min(wide(4000) for _ in range(3)) < 25 * max(min(wide(400) for _ in range(3)), 0.002)
 
 
 def test_links(spark):
@@ -135,12 +215,13 @@ def test_links(spark):
     assert [tuple(r) for r in rows] == [("https://s.org/a", "Primera nota", True)]
 
 
-def _article(spark, html, source="lareaccioncr"):
-    from pressmill.operators import extract as E
-    from pressmill.plans.profiles import profiles_frame
-
+def _article_row(spark, html, source="nobody"):
     pages = spark.createDataFrame([(1, source, "https://x/deportes/a", html)], "page_id long, source string, url string, html string")
-    return E.articles(pages, profiles_frame(spark), "2024-06-15 12:00:00").first()["full_text"]
+    return E.articles(pages, profiles_frame(spark), "2024-06-15 12:00:00").first()
+
+
+def _article(spark, html, source="nobody"):
+    return _article_row(spark, html, source)["full_text"]
 
 
 def test_nothing_around_the_container_is_removed(spark):
