@@ -270,8 +270,6 @@ def _profile_sql(p):
     text = f"array_to_string({ps}, {'chr(10) || chr(10)' if p['joiner'] != ' ' else S.q(' ')})"
     if p["choose"] == "most":
         return f"case when len({long(every, 1)}) >= {max(p['need'], 1)} then {text} else '' end"
-    if p["choose"] == "scan":  # the only other paragraphs on the page are short
-        return f"case when len({long(every, p['need'] + 1)}) > 0 then {text} else '' end"
     if p["lead"]:
         return f"case when {text} <> '' then concat({literal('Resumen {d} ')}, {text}) else '' end"
     return text
@@ -291,7 +289,7 @@ _FIELD = {name: _by_source(lambda p, i=i: literal(SAMPLES[p["source"]][i])) for
   coalesce({_FIELD['author']}, 'Sin autor') as author, {_FIELD['date']} as publication_date, '{AS_OF}' as scraping_date,
   coalesce({_FIELD['section']}, concat(upper(lang[1]), lang[2:])) as section, {_by_source(_profile_sql)} as full_text,
   nullif(lower(regexp_extract(html, '(?i)<html[^>]*\\slang="([A-Za-z]{{2}})', 1)), '') as language
-  from (select *, {_SOURCE} as source, split_part(url, '/', 4) as lang from pages))
+  from (select page_id, url, regexp_replace(html, '&amp([^;]|$)', '&amp;\\1', 'g') as html, {_SOURCE} as source, split_part(url, '/', 4) as lang from pages))
   where length(full_text) >= {_by_source(lambda p: str(p['least_text']))}""")
 def extract_articles(spark, sf_dir):
     """Every outlet's layout, with decoys, removed parts and its own places for title, author, date and section."""
