@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pressmill.checks import sqltext as S
 from pressmill.checks.date_checks import AS_OF
 from pressmill.checks.fixtures import table
+from pressmill.checks.listing_pages import LISTINGS, TITLES, listing_sql, numbered
 from pressmill.checks.outlet_pages import SAMPLES, literal, page_sql
 from pressmill.checks.registry import check
 from pressmill.functions import html as M
@@ -14,6 +15,7 @@ from pressmill.operators import extract as E
 from pressmill.operators import gate as G
 from pressmill.operators import links as L
 from pressmill.operators import stats as ST
+from pressmill.plans.link_profiles import LINK_PROFILES, link_profiles_frame
 from pressmill.plans.profiles import PROFILES, profiles_frame
 
 # --- oracle pieces -------------------------------------------------------------------------
@@ -238,6 +240,34 @@ def section_link_growth(spark, sf_dir):
     return ST.section_link_growth(_sectioned(spark, sf_dir))
 
 
+LISTING_OF = f"case page_id % {len(LINK_PROFILES)} " + " ".join(f"when {i} then '{p['source']}'" for i, p in enumerate(LINK_PROFILES)) + " end"
+
+
+def _of_listing(value):
+    return "case source " + " ".join(f"when '{p['source']}' then {value(p)}" for p in LINK_PROFILES) + " end"
+
+
+def _card(p, n):
+    path = LISTINGS[p["source"]][1]
+    return numbered(p["base"] + (path if n == 0 else path.replace("nota", "nota-otra")))
+
+
+_WANT = [", ".join([f"{_of_listing(lambda p, n=n: _card(p, n))} as url", f"{numbered(TITLES[n])} as title",
+                    *(f"{_of_listing(lambda p, i=i: literal(LISTINGS[p['source']][i]))} as {name}" for i, name in ((2, 'publication_date'), (3, 'section')))])
+         for n in (0, 1)]
+
+
+@check("listing_links", " union all ".join(
+    f"select page_id, source, {want} from (select page_id, {LISTING_OF} as source from pages)" for want in _WANT))
+def listing_links(spark, sf_dir):
+    """Listing pages of every outlet: titles off the block's heading, dates and sections off the block, repeated and empty
+    addresses."""
+    pages = _pages(spark, sf_dir).withColumn("source", F.expr(LISTING_OF))
+    laid_out = pages.withColumn("html", F.expr(_of_listing(lambda p: listing_sql(p["source"], p["base"]))))
+    links = L.listing_links(laid_out, link_profiles_frame(spark), 2024)
+    return links.select("page_id", "source", "url", "title", "publication_date", "section")
+
+
 LISTED = """select url, case when page_id % 4 = 0 then '' else concat('Lista ', cast(page_id as string)) end as title,
   case when page_id % 3 = 0 then null else 'Portada' end as section, concat('2024-05-', lpad(cast(1 + page_id % 28 as string), 2, '0')) as publication_date
   from {pages}"""

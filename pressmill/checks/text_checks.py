@@ -131,10 +131,12 @@ _CASE = "case page_id % {n} {whens} end"
 RULE_OF = _CASE.format(n=len(_NAMES), whens=" ".join(f"when {i} then {S.q(n)}" for i, n in enumerate(_NAMES)))
 PREFIX_OF = _CASE.format(n=len(_NAMES), whens=" ".join(
     f"when {i} then {S.q(r[1].replace('{year}', '2024'))}" for i, r in enumerate(U.URL_RULES)))
-CANDIDATE = (f"concat(case when page_id % 17 = 0 then 'https://other.example.org/' else {PREFIX_OF} end, "
+# every eleventh page of an outlet with section addresses stands for one of its sections
+BASE_OF = "case " + " ".join(f"when {RULE_OF} = {S.q(n)} and page_id % 11 = 0 then {S.q(b[-1].rstrip('/'))}" for n, b in U.SECTION_BASES.items()) + " end"
+CANDIDATE = (f"coalesce({BASE_OF}, concat(case when page_id % 17 = 0 then 'https://other.example.org/' else {PREFIX_OF} end, "
              "case page_id % 7 when 0 then '' when 1 then 'category/' when 2 then 'vida/' when 3 then '2024/05/' "
              "when 4 then 'page/2/' when 5 then 'una-nota-' else 'pais/story/en/' end, "
-             "regexp_replace(url, '^https?://[^/]*/', ''))")
+             "regexp_replace(url, '^https?://[^/]*/', '')))")
 
 
 def _rule_sql():
@@ -147,6 +149,7 @@ def _rule_sql():
         parts = f"list_filter(string_split({path}, '/'), lambda s: s <> '')"
         cond = [f"starts_with(u, {S.q(prefix)})"] + [f"not contains({low}, {S.q(e)})" for e in excluded]
         cond.append(f"len({parts}) >= {least}")
+        cond += [f"concat(rtrim(u, '/'), '/') <> {S.q(b)}" for b in U.SECTION_BASES.get(source, ())]
         cond += {
             "first_not_digits": [f"not regexp_full_match({parts}[1], '[0-9]+')"],
             "has_story": ["contains(u, '/story/')"],

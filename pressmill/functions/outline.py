@@ -134,7 +134,7 @@ class _Reader(HTMLParser):
         span = lambda node: (self.t0[node], self.t1[node]) if node < len(self.tag) else (len(self.texts),) * 2
         found = {}
         for rule, node, value in self.hits:
-            kind, n, _, how, _ = self.rules.rules[rule]
+            kind, n, _, how = self.rules.rules[rule]
             found.setdefault(kind, []).append((n, node, how, value))
         holders = sorted({node for _, node, _, _ in found.get("container", ())})
         ranges = lambda kind: [(node, self.last[node]) for _, node, _, _ in found.get(kind, ()) if node < len(self.tag)]
@@ -183,3 +183,68 @@ def marked(html, rules):
         return pd.DataFrame(rows, columns=["texts", "gone", "containers", "blocks", "pars", "fields"])
 
     return read(html, rules)
+
+
+LISTED = "seq int, card int, pick int, href string, found array<struct<kind:string,n:int,how:string,text:string>>"
+
+
+class Listing:
+    """Table function: the anchors of a listing page, each with its nearest enclosing block (card) and with what the
+    rules find there: (seq, card or -1, pick, href, found). ``pick`` is the anchor's place in its card, by rule first.
+
+    Anchors, cards and fields are ranges of the page's element numbers, so what belongs together is looked up in sorted
+    numbers or inherited from the parent. Kinds of rules: ``anchor`` (with @href), ``card``, and fields: the first hit in
+    the card, ``<field> own`` below the anchor, ``<field> above`` the nearest enclosing element that fits, ``<field> next``
+    the first one behind the anchor."""
+
+    def eval(self, html: str, rules: list):
+        reader = _Reader(sheet(tuple((r["kind"], r["n"], r["css"], r["attribute"], r["how"]) for r in rules or ()))).read(html)
+        parent, last, size = reader.parent, reader.last, len(reader.tag)
+        places, values, kinds = {}, {}, {}
+        for rule, node, value in reader.hits:
+            places.setdefault(rule, []).append(node)
+            values[rule, node] = value
+            kinds[rule] = reader.rules.rules[rule]
+
+        def text(rule, node):
+            value = values[rule, node]
+            return value if value is not None else " ".join("".join(reader.texts[reader.t0[node]:reader.t1[node]]).split())
+
+        def around(nodes):
+            """Per element the innermost of ``nodes`` that holds it, itself included; -1 without one."""
+            out = []
+            for i in range(size):
+                out.append(i if i in nodes else out[parent[i]] if parent[i] >= 0 else -1)
+            return out
+
+        cards = around({node for rule, kind in kinds.items() if kind[0] == "card" for node in places[rule]})
+        above = {rule: around(set(places[rule])) for rule, kind in kinds.items() if kind[0].endswith(" above")}
+        links = {}
+        for rule, kind in kinds.items():
+            if kind[0] == "anchor":
+                for node in places[rule]:
+                    links[node] = min(links.get(node, (kind[1], rule)), (kind[1], rule))
+        order = {}
+        for node in sorted(links, key=lambda x: (links[x][0], x)):
+            order.setdefault(cards[node], []).append(node)
+        pick = {node: i for nodes in order.values() for i, node in enumerate(nodes)}
+        for seq, node in enumerate(sorted(links)):
+            found = []
+            for rule, (kind, n, _, how) in kinds.items():
+                name, _, scope = kind.partition(" ")
+                if name in ("anchor", "card"):
+                    continue
+                if scope == "above":
+                    at = above[rule][parent[node]] if parent[node] >= 0 else -1
+                else:
+                    holder = node if scope == "own" or cards[node] < 0 else cards[node]
+                    a, b = between(places[rule], last[node] + 1, size) if scope == "next" else between(places[rule], holder, last[holder])
+                    at = places[rule][a] if a < b else -1
+                if at >= 0:
+                    found.append((name, n, how, text(rule, at)))
+            yield seq, cards[node], pick[node], values[links[node][1], node], sorted(found)
+
+
+def listing(html, rules):
+    """The rows of ``Listing`` for the page of each row, for use in a lateral join."""
+    return F.udtf(Listing, returnType=LISTED, useArrow=True)(html, rules)

@@ -1,7 +1,7 @@
 """Selectors: the part of CSS that extraction rules are written in.
 
 ``div.entry-content[class*="x"] p`` - type, classes, id, attribute tests (=, *=, ^=, $=, ~=, mere presence, and %= for a
-word between blanks, hyphens and underscores; a trailing `` i`` ignores case), descendants and children (``>``). ``css@name`` asks for an attribute, else the text.
+word between blanks, hyphens and underscores; a trailing `` i`` ignores case), descendants, children (``>``) and lists. ``css@name`` asks for an attribute, else the text.
 """
 
 import re
@@ -58,16 +58,18 @@ class Sheet:
     def __init__(self, rules):
         self.rules, self.by_tag = [], {}
         for number, (kind, n, css, attribute, how) in enumerate(rules):
-            steps = parse(css)
-            self.rules.append((kind, n, attribute, how, steps))
-            self.by_tag.setdefault(steps[-1].tag, []).append(number)
+            self.rules.append((kind, n, attribute, how))
+            for one in re.split(r",(?![^\[]*\])", css):
+                steps = parse(one)
+                self.by_tag.setdefault(steps[-1].tag, []).append((number, steps))
 
     def matches(self, tag, given, above):
         """Numbers of the rules that an element fits; ``above`` lists (tag, attributes) of its ancestors, outermost first."""
-        for number in (*self.by_tag.get(tag, ()), *self.by_tag.get("", ())):
-            steps = self.rules[number][4]
-            if steps[-1].fits(tag, given) and (len(steps) == 1 or _below(steps, above)):
-                yield number
+        found = set()
+        for number, steps in (*self.by_tag.get(tag, ()), *self.by_tag.get("", ())):
+            if number not in found and steps[-1].fits(tag, given) and (len(steps) == 1 or _below(steps, above)):
+                found.add(number)
+        return sorted(found)
 
 
 def _below(steps, above):

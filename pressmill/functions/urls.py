@@ -122,17 +122,30 @@ URL_RULES = [
      ["/category/", "/author/", "/page/", "/tag/", "/privacy", "/wp-content/", "#", "mailto:",
       "javascript:"], 1, "long_slug"),
 ]
-RULE_SCHEMA = "source string, prefix string, excluded array<string>, min_segments int, check string"
+# Addresses of the sections of outlets whose rule excludes them.
+SECTION_BASES = {
+    "genteopa": [f"https://genteopa.com/central/categoria/{s}/" for s in ("nacionales", "sucesos", "politica", "tecnologia", "economia")],
+    "theglobalcr": [f"https://theglobalcr.com/{s}/" for s in ("el-pais", "el-mundo", "economia", "politica", "tecnologia", "negocios")],
+    "ticosland": [f"https://ticosland.com/{s}/" for s in (
+        "san-jose", "alajuela", "cartago", "heredia", "guanacaste", "puntarenas", "limon")],
+    "trivisioncr": [f"https://trivisioncr.com/{s}/" for s in (
+        "noticias-nacionales", "noticias-de-politica", "noticias-de-economia", "noticias-guanacastecas", "noticias-de-tecnologia",
+        "noticias-del-clima", "noticias-de-salud", "noticias-de-educacion")],
+    "vozdeguanacaste": ["https://vozdeguanacaste.com/gentrificacion/"] + [f"https://vozdeguanacaste.com/category/{s}/" for s in (
+        "noticias", "cultura", "especiales", "naturaleza", "derechos-humanos", "publirreportaje")],
+}
+RULE_SCHEMA = "source string, prefix string, excluded array<string>, min_segments int, check string, bases array<string>"
 
 
 def rules_frame(spark, year, rules=URL_RULES):
     """The rules as a table; one outlet's prefix carries the current year."""
-    rows = [(s, p.replace("{year}", str(year)), e, n, c) for s, p, e, n, c in rules]
+    rows = [(s, p.replace("{year}", str(year)), e, n, c, SECTION_BASES.get(s, [])) for s, p, e, n, c in rules]
     return spark.createDataFrame(rows, RULE_SCHEMA)
 
 
 def is_article(url: Column, rule=lambda name: F.col(name), section_urls: Column = None) -> Column:
-    """Whether ``url`` satisfies the rule in the columns prefix/excluded/min_segments/check."""
+    """Whether ``url`` satisfies the rule in the columns prefix/excluded/min_segments/check and is no section's own
+    address (column bases, or ``section_urls`` in its place)."""
     path = F.replace(url, rule("prefix"), F.lit(""))
     path = F.when(rule("source") == "sinartdigital",
                   F.replace(url, F.lit("https://sinartdigital.com/trecenoticias/"), F.lit(""))).otherwise(path)
@@ -153,10 +166,9 @@ def is_article(url: Column, rule=lambda name: F.col(name), section_urls: Column
         & ~F.exists(rule("excluded"), lambda e: lowered.contains(e))
         & (F.size(parts) >= rule("min_segments")) & extra
     )
-    if section_urls is not None:
-        base = F.concat(F.regexp_replace(url, "/+$", ""), F.lit("/"))
-        ok = ok & ~F.coalesce(F.array_contains(section_urls, base), F.lit(False))
-    return F.coalesce(ok, F.lit(False))
+    base = F.concat(F.regexp_replace(url, "/+$", ""), F.lit("/"))
+    bases = rule("bases") if section_urls is None else section_urls
+    return F.coalesce(ok & ~F.coalesce(F.array_contains(bases, base), F.lit(False)), F.lit(False))
 
 
 # Single patterns used by outlets without a prefix rule.

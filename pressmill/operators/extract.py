@@ -205,7 +205,8 @@ DATE_PARSERS = {
     "es_long": D.es_long, "es_long_time": D.es_long_time, "es_dash_time": D.es_dash_time, "es_month_first": D.es_month_first,
     "es_month_first_strict": D.es_month_first_strict, "es_weekday": D.es_weekday, "es_tokens": D.es_tokens,
     "es_short_month_only": lambda c: F.when(c.rlike(r"(?i)\d{1,2}\s+de\s+\w+"), F.nullif(D.es_short_month(c), F.lit("Sin fecha"))),
-    "mixed_short": D.mixed_short, "english_short": D.english_short, "any_numeric": D.any_numeric, "dashed_time": D.dashed_time,
+    "es_plain": D.es_plain, "mixed_day_first": D.mixed_day_first, "english_long": D.english_long, "day_first": D.day_first,
+    "month_first": D.month_first, "dashed": D.dashed, "mixed_short": D.mixed_short, "english_short": D.english_short, "any_numeric": D.any_numeric, "dashed_time": D.dashed_time,
     "slashed_strict": D.slashed_strict, "post_date": lambda c: F.substring(F.get_json_object(c, "$.date"), 1, 10),
     "ld_top": lambda c: D.iso_local(F.get_json_object(c, "$.datePublished")), "ld_graph": lambda c: graph_date(c, D.iso_utc),
     "ld_graph_local": lambda c: graph_date(c, D.iso_local), "ld_article": lambda c: graph_article(c)["date"],
@@ -220,20 +221,21 @@ SECTION_PARSERS = {
 _TOGETHER = {"ld_article", "ld_section"}
 
 
-def field(kind, parsers=None):
-    """The first text that the rules of a kind found and their parsers could read; null without one."""
+def field(kind, parsers=None, fields="fields", keep=None):
+    """The first text that the rules of a kind found, that their parsers could read and that ``keep`` holds for; null
+    without one."""
     def read(f):
         if parsers is None:
             return F.nullif(f["text"], F.lit(""))
         out = F.lit(None).cast("string")
         alike = lambda name: F.transform(
-            F.filter("fields", lambda g: (g["kind"] == kind) & (g["how"] == name)), lambda g: g["text"])
+            F.filter(fields, lambda g: (g["kind"] == kind) & (g["how"] == name)), lambda g: g["text"])
         for name, parse in parsers.items():
             out = F.when(f["how"] == name, parse(alike(name) if name in _TOGETHER else f["text"])).otherwise(out)
         return F.nullif(out, F.lit(""))
 
-    texts = F.transform(F.filter("fields", lambda f: (f["kind"] == kind) & (f["text"] != "")), read)
-    return F.try_element_at(F.filter(texts, lambda t: t.isNotNull()), F.lit(1))
+    texts = F.transform(F.filter(fields, lambda f: (f["kind"] == kind) & (f["text"] != "")), read)
+    return F.try_element_at(F.filter(texts, lambda t: t.isNotNull() & (F.lit(True) if keep is None else keep(t))), F.lit(1))
 
 
 def articles(pages: DataFrame, profiles: DataFrame, scraping_date: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pressmill.functions import urls as U
 from pressmill.functions.selectors import Sheet, parse
 from pressmill.operators import extract as E
 from pressmill.operators import links as L
+from pressmill.plans.link_profiles import link_profiles_frame
 from pressmill.plans.profiles import PROFILES, profiles_frame
 
 
@@ -243,3 +244,30 @@ def test_teasers_belong_to_their_outlet(spark):
 
 def test_unknown_outlets_are_read_by_the_plain_profile(spark):
     assert _article(spark, "<main><p>Un texto que basta para el mínimo.</p></main>", "nobody knows") == "Un texto que basta para el mínimo."
+
+
+def _listed(spark, source, html):
+    pages = spark.createDataFrame([(1, source, "https://x/", html)], "page_id long, source string, url string, html string")
+    rows = L.listing_links(pages, link_profiles_frame(spark), 2024).collect()
+    return sorted((r["seq"], r["url"], r["title"], r["publication_date"], r["section"]) for r in rows)
+
+
+def test_links_of_blocks(spark):
+    html = ('<a href="/2024/01/01/a/fuera">Fuera de todo bloque</a><article><h2><a href="https://lareaccioncr.com/2024/01/02/a/uno?x">Uno</a></h2>'
+            '<a href="https://lareaccioncr.com/2024/01/02/a/dos">Dos</a><article><h1><a href="https://lareaccioncr.com/2024/01/03/a/tres">Tres</a></h1>'
+            '<time>3 de enero de 2024</time></article><time>2 de enero de 2024</time><a class="category" href="/category/x">Salud</a></article>')
+    # the inner block keeps its own date; the outer one's first time is the inner one's, as a look-up below it gives
+    got = _listed(spark, "lareaccioncr", html)
+    assert [(u.split("/")[-1], t, d, s) for _, u, t, d, s in got] == [("uno", "Uno", "2024-01-03", "Salud"), ("tres", "Tres", "2024-01-03", None)]
+    heading = '<section><h2>Un título de quince letras o más<a href="/2024/05/x">Ver</a></h2></section><div><a href="/2024/05/y">Ver</a></div><h3>El siguiente encabezado largo</h3>'
+    assert [t for _, _, t, _, _ in _listed(spark, "eldelfino", heading)] == ["Un título de quince letras o másVer", "El siguiente encabezado largo"]
+    assert _listed(spark, "eldelfino", '<div><a href="/2024/05/y">Ver</a></div>') == []
+    assert [t for _, _, t, _, _ in _listed(spark, "latejacr", '<a href="/a/story/b"><h3>2. Una nota numerada</h3></a><a href="/c/story/d">Corta</a>')] == ["Una nota numerada"]
+    plain = _listed(spark, "nobody", '<ul><li><a href="/a">Uno</a> <a href="">x</a></li><li><a href="/a">Dos</a></li></ul>')
+    assert [(u, t) for _, u, t, _, _ in plain] == [("/a", "Uno")]
+    assert _listed(spark, "teletica", None) == _listed(spark, "teletica", "") == []
+
+
+def test_selector_lists():
+    assert [list(Sheet([("x", 0, 'h1, a[title="b, c"] , p.x', "", "")]).matches(t, g, [])) for t, g in
+            (("h1", {}), ("a", {"title": "b, c"}), ("a", {}), ("p", {"class": "x"}))] == [[0], [0], [], [0]]
