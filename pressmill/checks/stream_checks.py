@@ -1,6 +1,5 @@
 """Streams run to their end over files written from the given tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pressmill.checks.article_checks import COLS, _value
@@ -13,25 +12,29 @@ from pressmill.session import shared_folder
 from pressmill.streaming import feeds as ST
 
 
-BATCHES = 4
+BATCHES, RANGES = 4, 32
 
 
-def _landed(spark, df, order):
-    """The rows landed in order as several files, and the stream that takes one file at a time."""
+def _run(spark, df, order, start):
+    """The rows land in order, a quarter at a time, and the stream takes them up each time from where it stopped.
+
+    Quarters are runs of ranges of the order, cut and written in parallel; ``start(root, stream)`` starts the query."""
     root = shared_folder(spark)
-    slices = df.withColumn("_slice", F.ntile(BATCHES).over(Window.orderBy(*order))).cache()
-    for i in range(1, BATCHES + 1):
-        slices.where(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(root + "/landing")
-    slices.unpersist()
-    return root, ST.read_landing(spark, root + "/landing", df.schema, files_per_batch=1)
+    quarter = F.least(F.floor(F.spark_partition_id() * BATCHES / RANGES), F.lit(BATCHES - 1)).cast("int")
+    dealt = df.repartitionByRange(RANGES, *order).withColumn("_quarter", quarter)
+    dealt.write.partitionBy("_quarter").parquet(root + "/staged")
+    staged = spark.read.schema(dealt.schema).parquet(root + "/staged")
+    for i in range(BATCHES):
+        staged.where(F.col("_quarter") == i).drop("_quarter").write.mode("append").parquet(root + "/landing")
+        start(root, ST.read_landing(spark, root + "/landing", df.schema)).awaitTermination()
+    return root
 
 
 @check("stream_ingest", f"""with whole as (select * from articles where {_value('full_text')} and {_value('url')})
   select {COLS} from whole qualify row_number() over (partition by url order by file, seq) = 1""", ["articles"])
 def stream_ingest(spark, sf_dir):
-    root, stream = _landed(spark, articles(spark, sf_dir), ["file", "seq"])
     gate = lambda b: b.where(has_value("full_text") & has_value("url"))
-    ST.ingest(stream, root + "/corpus", root + "/state", gate).awaitTermination()
+    root = _run(spark, articles(spark, sf_dir), ["file", "seq"], lambda root, s: ST.ingest(s, root + "/corpus", root + "/state", gate))
     return spark.read.parquet(root + "/corpus").select(*ARTICLE_COLUMNS)
 
 
@@ -39,8 +42,7 @@ def stream_ingest(spark, sf_dir):
   qualify row_number() over (partition by url order by seq) = 1""", ["articles"])
 def stream_dedupe(spark, sf_dir):
     df = articles(spark, sf_dir).select("url", "source", "seq", F.expr("timestamp_seconds(1717228800 + seq)").alias("scraping_ts"))
-    root, stream = _landed(spark, df, ["seq"])
-    ST.dedupe(stream, root + "/out", root + "/state", delay="3650 days").awaitTermination()
+    root = _run(spark, df, ["seq"], lambda root, s: ST.dedupe(s, root + "/out", root + "/state", delay="3650 days"))
     return spark.read.parquet(root + "/out").select("url", "source", "seq")
 
 
@@ -50,8 +52,7 @@ def stream_daily_counts(spark, sf_dir):
     # a watermark needs an instant: the wall clock is read as UTC, whatever the session zone
     instant = F.to_timestamp(F.concat(F.col("run_ts").cast("string"), F.lit(" UTC")))
     df = executions(spark, sf_dir).select("source", instant.alias("scraping_ts"), "id")
-    root, stream = _landed(spark, df, ["scraping_ts", "id"])
-    ST.write_daily(ST.daily_counts(stream), root + "/out", root + "/state").awaitTermination()
+    root = _run(spark, df, ["scraping_ts", "id"], lambda root, s: ST.write_daily(ST.daily_counts(s), root + "/out", root + "/state"))
     return ST.read_daily(spark, root + "/out").select(
         "source", F.expr("cast(date_from_unix_date(cast(unix_seconds(window.start) div 86400 as int)) as string)").alias("day"),
         "articles")
@@ -60,6 +61,5 @@ def stream_daily_counts(spark, sf_dir):
 @check("stream_anomaly", f"with {VERDICTS} select id, source, total_valid, level, reason from judged", ["executions"])
 def stream_anomaly(spark, sf_dir):
     df = executions(spark, sf_dir).select("id", "source", "run_ts", "status", "total_valid")
-    root, stream = _landed(spark, df, ["run_ts", "id"])
-    ST.anomaly_alerts(stream, root + "/history", root + "/alerts", root + "/state").awaitTermination()
+    root = _run(spark, df, ["run_ts", "id"], lambda root, s: ST.anomaly_alerts(s, root + "/history", root + "/alerts", root + "/state"))
     return spark.read.parquet(root + "/alerts").select("id", "source", "total_valid", "level", "reason")

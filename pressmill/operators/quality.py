@@ -44,13 +44,6 @@ def _details(kind, column, count, examples=None):
     return F.concat(n, F.lit(f" filas con full_text menor a {MIN_TEXT_LENGTH} caracteres"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Per file, how many rows share their URL with another row (nulls are equal)."""
-    per_url = df.groupBy("file", "url").agg(F.count("*").alias("n"))
-    return per_url.groupBy("file").agg(
-        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("dup_rows"))
-
-
 def bad_date_examples(df: DataFrame) -> DataFrame:
     """First few distinct wrong date texts per file and column, in order of appearance."""
     long = df.select("file", "seq", F.explode(F.array(*[
@@ -65,32 +58,42 @@ def bad_date_examples(df: DataFrame) -> DataFrame:
 
 
 def file_counts(df: DataFrame) -> DataFrame:
-    """One row per file with every counter of the checks."""
-    counts = [F.count_if(cond).alias(f"{kind}__{col}") for (kind, col), cond in _counters().items()]
-    return df.groupBy("file").agg(F.count("*").alias("rows"), *counts)
+    """One row per file with its rows, every counter of the checks, and how many rows share their URL with another one
+    (nulls are equal). One pass: counters are added up per URL on the way to the file, a hot URL in each task first."""
+    names = [f"{kind}__{col}" for kind, col in _counters()]
+    per_url = df.groupBy("file", "url").agg(F.count("*").alias("n"), *[F.count_if(c).alias(n) for n, c in zip(names, _counters().values())])
+    return per_url.groupBy("file").agg(
+        F.sum("n").alias("rows"), *[F.sum(n).alias(n) for n in names],
+        F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("dup_rows"))
 
 
-def issues(df: DataFrame) -> DataFrame:
-    """Long list of problems: file, type, value, count, details."""
-    wide = file_counts(df).join(duplicate_rows(df), "file")
+def _listed(df: DataFrame) -> DataFrame:
+    """Per file its rows and problems (type, value, count, details), from two passes: all counters, then the two date columns
+    for examples."""
+    wide = file_counts(df)
     entries = [
         F.struct(F.lit(kind).alias("type"), F.lit(col).alias("value"),
                  F.col(f"{kind}__{col}").alias("count"))
         for kind, col in _counters()
     ] + [F.struct(F.lit("duplicate_url").alias("type"), F.lit("url").alias("value"),
                   F.col("dup_rows").alias("count"))]
-    long = wide.select("file", F.explode(F.array(*entries)).alias("i")).select("file", "i.*").where("count > 0")
-    shown = bad_date_examples(df).select(
-        F.col("file").alias("_f"), F.col("column").alias("_c"), F.lit("invalid_date_format").alias("_t"),
-        F.concat(F.lit("["), "shown", F.lit("]")).alias("examples"))
-    joined = long.join(shown, (F.col("file") == F.col("_f")) & (F.col("value") == F.col("_c"))
-                       & (F.col("type") == F.col("_t")), "left")
-    details = None
-    for kind, col in list(_counters()) + [("duplicate_url", "url")]:
-        hit = (F.col("type") == kind) & (F.col("value") == col)
-        text = _details(kind, col, F.col("count"), F.col("examples"))
-        details = F.when(hit, text) if details is None else details.when(hit, text)
-    return joined.withColumn("details", details).select(*ISSUE_COLUMNS)
+    shown = bad_date_examples(df).groupBy("file").agg(
+        F.map_from_entries(F.collect_list(F.struct("column", F.concat(F.lit("["), "shown", F.lit("]"))))).alias("examples"))
+
+    def worded(e):
+        text = F.lit(None).cast("string")
+        for kind, col in [*_counters(), ("duplicate_url", "url")]:
+            said = _details(kind, col, e["count"], F.try_element_at("examples", F.lit(col)))
+            text = F.when((e["type"] == kind) & (e["value"] == col), said).otherwise(text)
+        return F.struct(e["type"].alias("type"), e["value"].alias("value"), e["count"].alias("count"), text.alias("details"))
+
+    found = F.transform(F.filter(F.array(*entries), lambda e: e["count"] > 0), worded)
+    return wide.join(shown, "file", "left").select("file", "rows", found.alias("issues"))
+
+
+def issues(df: DataFrame) -> DataFrame:
+    """Long list of problems: file, type, value, count, details."""
+    return _listed(df).select("file", F.inline("issues")).select(*ISSUE_COLUMNS)
 
 
 def file_level_issues(headers: DataFrame) -> DataFrame:
@@ -117,11 +120,8 @@ def file_level_issues(headers: DataFrame) -> DataFrame:
 
 def verdicts(df: DataFrame, columns: int = len(ARTICLE_COLUMNS)) -> DataFrame:
     """Per file: rows, columns, number of issues and whether the file is clean."""
-    found = issues(df).groupBy("file").agg(F.count("*").alias("issues"))
-    rows = df.groupBy("file").agg(F.count("*").alias("rows"))
-    n = F.coalesce(F.col("issues"), F.lit(0)).cast("long")
-    return rows.join(found, "file", "left").select(
-        "file", "rows", F.lit(columns).alias("columns"), n.alias("issues"), (n == 0).alias("ok"))
+    n = F.size("issues").cast("long")
+    return _listed(df).select("file", "rows", F.lit(columns).alias("columns"), n.alias("issues"), (n == 0).alias("ok"))
 
 
 def totals(verdicts_df: DataFrame) -> DataFrame:
@@ -133,11 +133,7 @@ def totals(verdicts_df: DataFrame) -> DataFrame:
 
 def report_json(df: DataFrame) -> DataFrame:
     """One JSON text per file: verdict, counts and its issues (a handful per file)."""
-    listed = issues(df).groupBy("file").agg(F.array_sort(F.collect_list(
-        F.struct("type", "value", "count", "details"))).alias("issues"))
-    rows = df.groupBy("file").agg(F.count("*").alias("rows"))
-    empty = F.array().cast("array<struct<type:string,value:string,count:bigint,details:string>>")
-    found = F.coalesce(F.col("issues"), empty)
-    return rows.join(listed, "file", "left").select("file", F.to_json(F.struct(
-        "file", (F.size(found) == 0).alias("ok"), found.alias("issues"),
+    listed = F.array_sort("issues")
+    return _listed(df).select("file", F.to_json(F.struct(
+        "file", (F.size("issues") == 0).alias("ok"), listed.alias("issues"),
         F.struct("rows", F.lit(len(ARTICLE_COLUMNS)).alias("columns")).alias("counts"))).alias("report"))

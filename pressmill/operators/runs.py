@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressmill.operators.dedupe import top_n
+from pressmill.session import shared_folder
 
 # Anomaly thresholds.
 DROP_PCT = 50
@@ -97,27 +98,28 @@ def incremental_skips(runs: DataFrame, today) -> DataFrame:
 
 
 def _positions(runs: DataFrame) -> DataFrame:
-    """Number the runs of each source in time order, without one task per source.
+    """Number the runs of each source in time order: ``n_all`` counts all runs up to the row, ``n_ok`` the successful ones.
 
-    Rows are numbered inside (source, hour) and shifted by the totals of earlier hours; the
-    totals table has one row per source and hour. ``n_all`` counts all runs up to the row,
-    ``n_ok`` the successful ones.
+    Runs are sorted into ranges by (source, time, id), which are written, so that a busy source spreads over many of
+    them, whatever its times. Rows are numbered inside a range and shifted by the totals of the source's earlier
+    ranges; the table of totals has one row per source and range.
     """
+    spark = runs.sparkSession
+    path = f"{shared_folder(spark)}/ranges"
+    ranged = runs.repartitionByRange("source", "run_ts", "id").withColumn("_range", F.spark_partition_id())
+    ranged.write.parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
     ok = (F.col("status") == "OK").cast("long")
-    hour = F.date_trunc("HOUR", "run_ts")
-    hourly = runs.groupBy("source", hour.alias("_slice")).agg(F.count("*").alias("_rows"), F.sum(ok).alias("_oks"))
-    earlier = Window.partitionBy("source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shift = hourly.select("source", "_slice",
-                         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows0"),
-                         F.coalesce(F.sum("_oks").over(earlier), F.lit(0)).alias("_oks0"))
-    inside = Window.partitionBy("source", "_slice").orderBy("run_ts", "id")
-    numbered = runs.withColumn("_slice", hour).withColumns({
-        "_n": F.row_number().over(inside),
-        "_o": F.sum(ok).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-    })
-    return numbered.join(shift, ["source", "_slice"]).withColumns({
-        "n_all": F.col("_rows0") + F.col("_n"), "n_ok": F.col("_oks0") + F.col("_o"),
-    }).drop("_slice", "_n", "_o", "_rows0", "_oks0")
+    totals = rows.groupBy("source", "_range").agg(F.count("*").alias("_rows"), F.sum(ok).alias("_oks"))
+    earlier = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shift = totals.select("source", "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows0"),
+                          F.coalesce(F.sum("_oks").over(earlier), F.lit(0)).alias("_oks0"))
+    inside = Window.partitionBy("source", "_range").orderBy("run_ts", "id")
+    numbered = rows.withColumns({"_n": F.row_number().over(inside),
+                                 "_o": F.sum(ok).over(inside.rowsBetween(Window.unboundedPreceding, 0))})
+    match = numbered["source"].eqNullSafe(F.col("_source")) & (numbered["_range"] == F.col("_of"))
+    shifted = numbered.join(shift.withColumnsRenamed({"source": "_source", "_range": "_of"}), match)
+    return shifted.withColumns({"n_all": F.col("_rows0") + F.col("_n"), "n_ok": F.col("_oks0") + F.col("_o")}).select(*runs.columns, "n_all", "n_ok")
 
 
 def anomalies(runs: DataFrame, chunk: int = 100_000) -> DataFrame:
@@ -158,6 +160,16 @@ def anomalies(runs: DataFrame, chunk: int = 100_000) -> DataFrame:
         .select(*runs.columns, "anomaly", "level", "reason")
 
 
+def tail(runs: DataFrame) -> DataFrame:
+    """The runs of each source that the verdicts of later ones depend on: its latest ones, and its latest successes."""
+    lead = max(HISTORY, AVERAGE_OVER, ZERO_RUNS) - 1
+    ok = F.col("status") == "OK"
+    latest = top_n(runs.select("source", "run_ts", "id"), ["source"], _newest(), lead).drop("_rn")
+    good = top_n(runs.where(ok).select("source", "run_ts", "id"), ["source"], _newest(), lead).drop("_rn")
+    wanted = latest.unionByName(good).distinct().withColumnsRenamed({"source": "_s", "run_ts": "_t", "id": "_i"})
+    return runs.join(wanted, runs["source"].eqNullSafe(F.col("_s")) & (runs["run_ts"] == F.col("_t")) & (runs["id"] == F.col("_i")), "left_semi")
+
+
 def rollup(results: DataFrame) -> DataFrame:
     """Totals of one pipeline run. ``results`` has status, counts and a level (null if none)."""
     ok = F.col("status") == "OK"

@@ -10,7 +10,9 @@ from pyspark.sql import types as T
 
 from pressmill.plans.corpus import union_by_name
 from pressmill.schema import ARTICLE_COLUMNS, MINIMUM_COLUMNS, NULL_TEXT, TOLERANT_NULLS
-from pressmill.sources.files import file_name, literal_path, plain_path
+from pressmill.sources.files import BACKUP, file_name, literal_path
+from pressmill.sources.status import file_status
+from pressmill.sources.status import readable as ok_files
 
 _NO_NULL = "\x00"
 _BROKEN = "_broken"
@@ -62,19 +64,8 @@ def read_tolerant(spark, paths, columns=ARTICLE_COLUMNS, sep="|", nulls=TOLERANT
 
 
 def headers(spark, paths) -> DataFrame:
-    """First line of every file, its separator and columns: file, path, sep, columns.
-
-    Reads lines as plain text; the smallest line number per file is found by partial
-    aggregation, so nothing but one line per file is shuffled."""
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"))
-    first = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    line = F.regexp_replace("line", "^﻿|\r$", "")
-    sep = F.when(line.contains("|"), F.lit("|")).otherwise(F.lit(","))
-    names = F.when(line.contains("|"), F.split(line, r"\|")).otherwise(F.split(line, ","))
-    return first.select(file_name(F.col("path")).alias("file"), plain_path(F.col("path")).alias("path"), sep.alias("sep"),
-                        F.transform(names, lambda n: F.btrim(n, F.lit('" '))).alias("columns"))
+    """Separator and columns of every file that can be read to its end: file, path, sep, columns."""
+    return file_status(spark, paths, []).where("columns is not null").select("file", "path", "sep", "columns")
 
 
 def readable(header_frame: DataFrame, required=MINIMUM_COLUMNS) -> DataFrame:
@@ -83,20 +74,33 @@ def readable(header_frame: DataFrame, required=MINIMUM_COLUMNS) -> DataFrame:
     return header_frame.withColumn("readable", F.size(F.array_except(need, F.col("columns"))) == 0)
 
 
-def read_sniffed(spark, paths, required=MINIMUM_COLUMNS, strict=False) -> DataFrame:
-    """Files of differing separators and headers, united by column name.
-
-    Files are grouped by (separator, header) - a handful of groups - and each group is read
-    with its own schema, since one reader matches columns by position. Files lacking a
-    required column are left out."""
-    usable = readable(headers(spark, paths), required).where("readable")
-    groups = usable.groupBy("sep", "columns").agg(F.collect_list("path").alias("paths")).collect()
-    if not groups:
+def read_listed(spark, files: DataFrame, strict=False) -> DataFrame:
+    """The rows of listed files (path, sep, columns) of differing separators and headers, united by column name.
+
+    A reader matches columns by position, so files of one (separator, header) - a handful of kinds - are read
+    together, with their own schema."""
+    kinds = {}
+    for row in files.select("path", "sep", "columns").orderBy("path").toLocalIterator():
+        kinds.setdefault((row["sep"], tuple(row["columns"])), []).append(literal_path(row["path"]))
+    if not kinds:
         raise ValueError("no readable file")
     read = read_strict if strict else read_tolerant
-    return union_by_name([read(spark, [literal_path(p) for p in g["paths"]], g["columns"], g["sep"]) for g in groups])
+    return union_by_name([read(spark, paths, list(columns), sep) for (sep, columns), paths in kinds.items()])
 
 
-def row_totals(spark, paths, columns=ARTICLE_COLUMNS, sep="|") -> DataFrame:
-    """Rows per file."""
-    return _with_place(_reader(spark, columns, sep).csv(paths)).groupBy("file").agg(F.count("*").alias("rows"))
+def read_sniffed(spark, paths, required=MINIMUM_COLUMNS, strict=False) -> DataFrame:
+    """Files of differing separators and headers, united by column name; files that cannot be read or that lack a
+    required column are left out (``file_status`` tells which)."""
+    return read_listed(spark, ok_files(file_status(spark, paths, required)), strict)
+
+
+def row_totals(spark, paths) -> DataFrame:
+    """Rows per file, whatever its separator and header; null for files that cannot be read. Backups do not count."""
+    found = file_status(spark, paths, []).where(~F.col("file").contains(BACKUP))
+    known = found.select("file", "path", "problem", "sep", "columns")
+    try:
+        rows = read_listed(spark, ok_files(known)).groupBy("file").agg(F.count("*").alias("rows"))
+    except ValueError:  # no file to read
+        return known.select("file", F.lit(None).cast("long").alias("rows")).distinct()
+    files = known.groupBy("file").agg(F.min("problem").alias("problem"))
+    return files.join(rows, "file", "left").select("file", F.when(F.col("problem").isNull(), F.coalesce("rows", F.lit(0))).cast("long").alias("rows"))

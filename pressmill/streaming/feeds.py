@@ -1,6 +1,5 @@
 """The daily increment as Structured Streaming."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +7,7 @@ from pyspark.sql import types as T
 from pressmill.operators import runs as R
 from pressmill.operators.dedupe import keep_first
 from pressmill.plans import corpus as C
+from pressmill.plans.held import HeldKeys, distinct, newest
 
 
 def read_landing(spark, folder, schema, files_per_batch=None, fmt="parquet", **options) -> DataFrame:
@@ -18,32 +18,23 @@ def read_landing(spark, folder, schema, files_per_batch=None, fmt="parquet", **o
     return reader.format(fmt).load(folder)
 
 
-def _before(spark, root, batch_id, schema):
-    """What earlier batches wrote; a repeated batch never sees its own first attempt."""
-    try:
-        return spark.read.schema(schema).parquet(root).where(F.col("batch") < batch_id)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema).where(F.col("batch") < batch_id)
-
-
-def _schema_with_batch(stream):
-    return T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])
-
-
 def ingest(stream: DataFrame, root: str, checkpoint: str, gate=None, order=("file", "seq"), available_now=True):
-    """Append unseen articles to the corpus below ``root``, one folder per micro-batch.
+    """Append unseen articles to the corpus in ``root``, one folder per micro-batch.
 
-    ``gate`` filters a batch first. A batch overwrites its own folder, so running it again
-    after a lost executor or driver gives the same corpus."""
-    schema = _schema_with_batch(stream)
+    ``gate`` filters a batch first. What the corpus holds is looked up in its key runs (``HeldKeys``, beside the checkpoint), of
+    which a batch reads a few folders and the buckets it needs, however many batches came before. A batch overwrites its
+    own folders, so running it again after a lost executor or driver gives the same corpus."""
+    schema = T.StructType([stream.schema["url"]])
 
     def apply(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        held = _before(spark, root, batch_id, schema).drop("batch")
+        keys = HeldKeys(spark, f"{checkpoint}/held", schema, "url", distinct)
         rows = gate(batch) if gate else batch
-        C.additions(held, rows, order).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        # look-ups ignore blanks around an address, so keys are kept and dealt out without them
+        trimmed = rows.select(C.strip(F.col("url")).alias("url"))
+        C.additions(keys.read(batch_id, trimmed), rows, order).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        added = spark.read.schema(stream.schema).parquet(f"{root}/batch={batch_id}")
+        keys.add(batch_id, added.select(C.strip(F.col("url")).alias("url")))
 
     return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 
@@ -58,16 +49,19 @@ def dedupe(stream: DataFrame, root: str, checkpoint: str, key="url", time="scrap
     """First copy of each key, one folder per micro-batch below ``root``; copies that follow a kept one within
     ``delay`` are dropped. Null keys count as one key.
 
-    Repeats within a batch shrink in each task before the shuffle. Of earlier batches only the keys of
-    the batch's last ``delay`` are read."""
-    schema = _schema_with_batch(stream)
+    Repeats within a batch shrink in each task before the shuffle. Of earlier batches only the key runs are read, in the
+    buckets that the batch's keys fall into and no older than ``delay`` before it."""
+    schema = T.StructType([stream.schema[key], stream.schema[time]])
 
     def apply(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
+        keys = HeldKeys(spark, f"{checkpoint}/held", schema, key, newest(key, time))
         firsts = keep_first(batch, [key], list(order)).alias("n")
-        held = _before(spark, root, batch_id, schema).groupBy(F.col(key).alias("_key")).agg(F.max(time).alias("_held"))
+        since = batch.agg(F.min(time) - F.expr(f"interval {delay}")).first()[0]
+        held = keys.read(batch_id, batch).where(F.col(time) >= F.lit(since)).select(F.col(key).alias("_key"), F.col(time).alias("_held"))
         near = firsts[key].eqNullSafe(F.col("_key")) & (F.col(time) <= F.col("_held") + F.expr(f"interval {delay}"))
         firsts.join(held, near, "left_anti").write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        keys.add(batch_id, spark.read.schema(stream.schema).parquet(f"{root}/batch={batch_id}"))
 
     return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 
@@ -96,19 +90,25 @@ def read_daily(spark, root: str) -> DataFrame:
 def anomaly_alerts(stream: DataFrame, history: str, alerts: str, checkpoint: str, available_now=True):
     """Append each micro-batch of runs to the history and judge its successful runs.
 
-    Only sources present in the batch are read back from the history."""
-    schema = _schema_with_batch(stream)
+    A verdict depends on a source's latest runs and successes only. Those are kept apart per source (``HeldKeys``), so a
+    batch reads a few rows of the sources it brings and never the history."""
+    state = T.StructType([*stream.schema.fields, T.StructField("_batch", T.LongType())])
+
+    def latest(rows):
+        """The tails of every source as its latest batch left them."""
+        last = rows.groupBy("source").agg(F.max("_batch").alias("_last")).withColumnRenamed("source", "_s")
+        return rows.join(last, rows["source"].eqNullSafe(F.col("_s")) & (rows["_batch"] == F.col("_last")), "left_semi")
 
     def apply(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
+        tails = HeldKeys(spark, f"{checkpoint}/tails", state, "source", latest)
         batch.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         new = spark.read.schema(stream.schema).parquet(f"{history}/batch={batch_id}")
-        earlier = _before(spark, history, batch_id, schema).drop("batch")
-        # one small row per source of the batch, whatever the size of the history
-        relevant = earlier.join(new.select("source").distinct(), "source", "left_semi")
-        marked = relevant.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
-        judged = R.anomalies(marked).where("_new").drop("_new")
-        judged.write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")
+        sources = new.select("source").distinct()
+        earlier = tails.read(batch_id, sources).drop("_batch").join(sources, "source", "left_semi")
+        marked = earlier.withColumn("_new", F.lit(False)).unionByName(new.withColumn("_new", F.lit(True)))
+        R.anomalies(marked).where("_new").drop("_new").write.mode("overwrite").parquet(f"{alerts}/batch={batch_id}")
+        tails.add(batch_id, R.tail(marked.drop("_new")).withColumn("_batch", F.lit(batch_id).cast("long")))
 
     return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 
