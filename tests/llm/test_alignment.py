@@ -1,7 +1,6 @@
 """Alignment of two tokenizers against tokens of whole texts and all pairs of overlapping tokens."""
 
 import hashlib
-import json
 import os
 from collections import Counter, defaultdict
 
@@ -108,20 +107,28 @@ def test_bitmaps():
     assert rebuilt == {(5, 1): 1, (5, 3): 6, (9, 1): 2}
 
 
-def test_parts_give_the_tokens_of_whole_texts(aligner):
+def test_stretches_give_the_tokens_of_whole_texts(aligner, monkeypatch):
+    monkeypatch.setattr(alignment, "STRETCH", 3)
     for text in TEXTS:
         if text:
-            parts = [p for block in aligner.blocks(text) for p in block]
+            parts = list(aligner.stretches(text))
             assert " ".join(parts) == text
             assert [i for p in parts for i in aligner.b.encode(p)] == aligner.b.encode(text)
-            a = [i for p in parts for i in aligner.a.encode(" " + p, add_special_tokens=False).ids]
+            a = [i for p in parts for i in aligner.first(" " + p)]
             assert a == aligner.a.encode(" " + text, add_special_tokens=False).ids
-    assert json.loads(aligner.a.to_str())["model"]["type"] == "BPE"
 
 
-def test_long_text_in_blocks(aligner, monkeypatch):
+def test_long_text_in_stretches(aligner, monkeypatch):
     text = " ".join(str(i) for i in range(500))
     whole = aligner.text(text)
-    monkeypatch.setattr(alignment, "BLOCK", 7)
+    monkeypatch.setattr(alignment, "STRETCH", 50)
     again = aligner.text(text)
     assert whole[:4] == again[:4] and whole[4].tolist() == again[4].tolist()
+
+
+def test_both_libraries_give_the_same_ids(aligner):
+    assert aligner.fast
+    draw, steady = np.random.default_rng(3), [chr(c) for c in range(0x20000) if alignment._STEADY.fullmatch(chr(c))]
+    for n in range(400):
+        text = "".join(draw.choice(steady, 40)) + "'s 'll  \n\n \t1a " + "".join(draw.choice(list("ab1 \n\t.'é漢"), 40))
+        assert aligner.fast.encode_ordinary(text) == aligner.a.encode(text, add_special_tokens=False).ids
