@@ -6,16 +6,20 @@ from pressmill.checks.article_checks import COLS, JUDGED
 from pressmill.checks.date_checks import AS_OF
 from pressmill.checks.fixtures import articles, executions, table
 from pressmill.checks.registry import check
+from pressmill.checks.run_checks import VERDICTS
 from pressmill.operators import gate as G
 from pressmill.operators import quality as Q
+from pressmill.operators import runs as R
 from pressmill.operators.dedupe import keep_first
 from pressmill.plans import intake as I
-from pressmill.schema import ARTICLE_AUTHOR, ARTICLE_COLUMNS, AUTHOR_COLUMNS, TOLERANT_NULLS
+from pressmill.plans import jobs as J
+from pressmill.schema import ARTICLE_COLUMNS, AUTHOR_COLUMNS, TOLERANT_NULLS
 from pressmill.session import shared_folder
 from pressmill.sources import delimited as D
 from pressmill.sources import files as FL
 from pressmill.sources import posts as P
 from pressmill.sources import sinks as W
+from pressmill.sources import status as ST
 
 TOKENS = ", ".join("'" + t + "'" for t in TOLERANT_NULLS)
 SOFT = ", ".join(f"case when {c} in ({TOKENS}) then null else {c} end as {c}" for c in ARTICLE_COLUMNS)
@@ -90,15 +94,49 @@ def scan_sniff(spark, sf_dir):
 
 @check("scan_json_articles", f"select {COLS}, concat('A', cast(seq as string)) as author from articles", ["articles"])
 def scan_json_articles(spark, sf_dir):
+    """Exports of one JSON array per outlet and hundred articles."""
     folder = shared_folder(spark)
-    P.write_articles(articles(spark, sf_dir).withColumn("author", F.expr("concat('A', cast(seq as string))")),
-                     folder, AUTHOR_COLUMNS)
-    return spark.read.schema(ARTICLE_AUTHOR).json(folder)
+    signed = articles(spark, sf_dir).withColumn("author", F.expr("concat('A', cast(seq as string))"))
+    P.write_pages(signed, folder, "seq", F.to_json(F.struct(*AUTHOR_COLUMNS), {"ignoreNullFields": "false"}), ["file"])
+    return P.read_articles(spark, folder).select(*AUTHOR_COLUMNS)
 
 
-@check("scan_row_totals", "select file, count(*) as rows from articles group by file", ["articles"])
+# Outlets land their files in several states: piped, comma separated and packed; in another encoding, without
+# a header, or without the columns that a corpus needs.
+STATE = "case hash_of % 7 when 1 then 'comma' when 2 then 'packed' when 3 then 'encoding' when 4 then 'headless' when 5 then 'columns' else 'piped' end"
+STATED = f"(select *, {STATE} as state from (select *, cast(substring(source, 4) as int) as hash_of from articles))"
+
+
+def _landed(spark, sf_dir, where=None):
+    """The articles as files in their states below a folder; ``<folder>/*/file=*`` lists them."""
+    rows = articles(spark, sf_dir).withColumn("hash_of", F.expr("cast(substring(source, 4) as int)")).withColumn("state", F.expr(STATE))
+    rows = (rows if where is None else rows.where(where)).repartition("file").sortWithinPartitions("file", "seq")
+    folder, kinds = shared_folder(spark), {
+        "piped": {}, "comma": {"sep": ","}, "packed": {"compression": "gzip"}, "encoding": {"encoding": "UTF-16"}, "headless": {"header": False}}
+    for state, options in kinds.items():
+        W.write_delimited(rows.where(F.col("state") == state), f"{folder}/{state}", by=["file"], **options)
+    W.write_delimited(rows.where("state = 'columns'"), f"{folder}/columns", columns=ARTICLE_COLUMNS[2:], by=["file"])
+    return f"{folder}/*/file=*"
+
+
+@check("scan_status", f"""select distinct file, case state when 'encoding' then 'encoding' when 'headless' then 'columns' when 'columns' then 'columns' end as problem,
+  state in ('piped', 'comma', 'packed') as readable from {STATED}""", ["articles"])
+def scan_status(spark, sf_dir):
+    found = ST.file_status(spark, _landed(spark, sf_dir))
+    return found.select("file", "problem", F.col("problem").isNull().alias("readable"))
+
+
+@check("scan_readable", f"select {SOFT}, file from {STATED} where state in ('piped', 'comma', 'packed')", ["articles"])
+def scan_readable(spark, sf_dir):
+    """Files that cannot be read are skipped, the others are read whatever their separator."""
+    return D.read_sniffed(spark, _landed(spark, sf_dir)).drop("seq")
+
+
+@check("scan_row_totals", f"""select file, case when any_value(state) <> 'encoding' then count(*) end as rows
+  from {STATED} where state <> 'headless' group by file""", ["articles"])
 def scan_row_totals(spark, sf_dir):
-    return D.row_totals(spark, _paths(_staged(spark, articles(spark, sf_dir))))
+    """Rows of every file; none are known of a file in another encoding."""
+    return D.row_totals(spark, _landed(spark, sf_dir, "state <> 'headless'"))
 
 
 @check("scan_headers", f"""select distinct file, case when source < 'src15' then '|' else ',' end as sep,
@@ -114,18 +152,78 @@ def scan_headers(spark, sf_dir):
     return found.select("file", "sep", F.array_join("columns", "+").alias("header"), "readable")
 
 
-@check("quality_file_level", f"""select distinct file, case when source < 'src15' then 'missing_columns' else 'missing_file' end as type,
-  case when source < 'src15' then 'source, url' else file end as value, case when source < 'src15' then 2 else 1 end as count,
-  case when source < 'src15' then 'Columnas obligatorias ausentes: [''source'', ''url'']' else 'El archivo no existe' end as details
-  from articles""", ["articles"])
+@check("quality_file_level", f"""select distinct file, case state when 'columns' then 'missing_columns' when 'encoding' then 'read_error' else 'missing_file' end as type,
+  case state when 'columns' then 'source, url' else file end as value, case state when 'columns' then 2 else 1 end as count,
+  case state when 'columns' then 'Columnas obligatorias ausentes: [''source'', ''url'']' when 'encoding' then 'No se pudo leer el CSV' else 'El archivo no existe' end as details
+  from {STATED} where state in ('columns', 'encoding', 'piped')""", ["articles"])
 def quality_file_level(spark, sf_dir):
-    """Files without some columns, and files that were expected but are not there."""
-    df = articles(spark, sf_dir)
-    folder = shared_folder(spark)
-    W.write_delimited(df.where("source < 'src15'").repartition("file"), folder, columns=ARTICLE_COLUMNS[2:], by=["file"])
-    found = D.headers(spark, _paths(folder)).select("file", "columns", F.lit(True).alias("present"))
-    expected = df.select("file").distinct().join(found, "file", "left")
-    return Q.file_level_issues(expected.withColumn("present", F.coalesce("present", F.lit(False))))
+    """Files without some columns, files that cannot be read, and files that were expected but are not there."""
+    wanted = articles(spark, sf_dir).select("file", F.expr("cast(substring(source, 4) as int)").alias("hash_of")).distinct()
+    wanted = wanted.withColumn("state", F.expr(STATE)).where("state in ('columns', 'encoding', 'piped')").select("file")
+    found = ST.file_status(spark, _landed(spark, sf_dir, "state in ('columns', 'encoding')"), [])
+    found = found.select("file", "columns", F.lit(True).alias("present"))
+    return Q.file_level_issues(wanted.join(found, "file", "left").withColumn("present", F.coalesce("present", F.lit(False))))
+
+
+# --- whole jobs ------------------------------------------------------------------------------
+
+_USABLE = f"usable as (select {SOFT}, file, seq from {STATED} where state in ('piped', 'comma', 'packed'))"
+_FIRSTS = "firsts as (select * from usable qualify row_number() over (partition by url order by file, seq) = 1)"
+_WHOLE = "built as (select * from firsts where trim(full_text) <> '' and trim(url) <> '')"
+_FILES = f"""(select count(distinct file) from {STATED} where state in ('piped', 'comma', 'packed')) as files_ok,
+  (select count(distinct file) from {STATED} where state not in ('piped', 'comma', 'packed')) as files_error"""
+
+
+@check("corpus_build_run", f"""with {_USABLE}, {_FIRSTS}, {_WHOLE} select {_FILES}, (select count(*) from usable) as total_raw,
+  (select count(*) from usable) - (select count(*) from firsts) as duplicates, (select count(*) from built) as total_final,
+  (select count(distinct source) from built) as sources, '20240601' as dt, 1 as v""", ["articles"])
+def corpus_build_run(spark, sf_dir):
+    """Landed files, some unreadable, to a written version in one go."""
+    return J.build_run(spark, _landed(spark, sf_dir), shared_folder(spark), "20240601")
+
+
+@check("corpus_update_run", f"""with {_USABLE}, old as (select * from usable where file < 'src15'), {_FIRSTS.replace('from usable', 'from old')}, {_WHOLE},
+  fresh as (select * from usable where url is null or trim(url) not in (select trim(url) from built)),
+  added as (select * from fresh qualify row_number() over (partition by url order by file, seq) = 1)
+  select 1 as step, (select count(*) from added) as new_rows, (select count(*) from built) as before,
+    (select count(*) from built) + (select count(*) from added) as after, 1 as v
+  union all select 2, 0, (select count(*) from built) + (select count(*) from added), (select count(*) from built) + (select count(*) from added), null""", ["articles"])
+def corpus_update_run(spark, sf_dir):
+    """An update with all files, and the same files once more: nothing new, no version."""
+    root, everything = shared_folder(spark), _landed(spark, sf_dir)
+    J.build_run(spark, _landed(spark, sf_dir, "file < 'src15'"), root, "20240601")
+    first = J.update_run(spark, everything, root, "20240602")
+    again = J.update_run(spark, everything, root, "20240603")
+    shown = lambda step, df: df.select(F.lit(step).alias("step"), "new_rows", "before", "after", "v")
+    return shown(1, first).unionByName(shown(2, again))
+
+
+@check("repair_validated", """select count(*) as rows_read, (select count(distinct coalesce(url, '')) from articles where title <> '') as rows_written,
+  0 as markup, 0 as repeats from articles""", ["articles"])
+def repair_validated(spark, sf_dir):
+    """Repaired records are written, read back and validated: no markup and no repeated address is left."""
+    done = J.repair_run(spark, articles(spark, sf_dir), shared_folder(spark), AS_OF)
+    left = lambda kind: F.size(F.filter(F.map_keys("left"), lambda k: k.startswith(kind)))
+    return done.select("rows_read", "rows_written", left("html").alias("markup"), left("duplicate").alias("repeats"))
+
+
+# Reports of every day's runs: what ran, what failed and why, what looked odd.
+@check("run_report", f"""with {VERDICTS}, j as (select id, level from judged),
+  d as (select cast(run_date as varchar) as day, count(*) as runs, count(*) filter (status = 'OK') as ok,
+    count(*) filter (status = 'ERROR') as errors, count(*) filter (status = 'SKIPPED') as skipped,
+    count(*) filter (status = 'OK' and level <> 'ok') as anomalies from executions left join j using (id) group by 1)
+  select day, runs as scrapers_run, ok, errors, skipped, anomalies, runs as results from d""", ["executions"])
+def run_report(spark, sf_dir):
+    """Daily reports written as JSON texts and read back."""
+    runs = executions(spark, sf_dir)
+    levels = R.anomalies(runs.select("id", "source", "run_ts", "status", "total_valid")).select("id", "level", "reason")
+    path = shared_folder(spark)
+    W.write_reports(R.daily_report(runs.join(levels, "id", "left")), path)
+    report = F.from_json("value", "execution_date string, scrapers_run long, totals struct<ok:long,errors:long,skipped_health:long,anomalies:long>, "
+                                  "results array<struct<source:string,status:string,error_type:string>>")
+    return spark.read.text(path).select(report.alias("r")).select(
+        F.col("r.execution_date").alias("day"), "r.scrapers_run", F.col("r.totals.ok").alias("ok"), F.col("r.totals.errors").alias("errors"),
+        F.col("r.totals.skipped_health").alias("skipped"), F.col("r.totals.anomalies").alias("anomalies"), F.size("r.results").cast("long").alias("results"))
 
 
 _READ = ", ".join(f"coalesce(case when {c} in ({TOKENS}) then null else {c} end, 'NULL') as {c}" for c in ARTICLE_COLUMNS)

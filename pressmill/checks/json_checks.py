@@ -9,6 +9,7 @@ from pressmill.checks.registry import check
 from pressmill.functions.dates import iso_local, iso_utc
 from pressmill.functions.text import section_slug
 from pressmill.operators import extract as E
+from pressmill.session import shared_folder
 from pressmill.sources import posts as P
 
 _N, _DAY = "cast(doc_id as string)", "lpad(cast(1 + doc_id % 28 as string), 2, '0')"
@@ -111,9 +112,23 @@ _PT = f"case when doc_id % 9 = 0 then '' else concat('Nota <b>', {_N}, '</b> &am
   coalesce(name, 'Noticias') as section, full_text, 'es' as language
   from cleaned left join cats on doc_id % 5 > 0 and id = case when doc_id % 5 = 1 then 99 else doc_id % 5 end where title <> '' or full_text <> ''""")
 def posts_to_articles(spark, sf_dir):
+    """Landed pages: JSON arrays of a hundred posts, and the categories in an array of their own."""
     docs = table(spark, sf_dir, "documents")
-    posts = P.parse_posts(docs.select(F.expr(POST).alias("post")), "post")
-    return P.to_articles(posts, spark.sql(CATEGORIES, documents=docs), F.lit("cms"), AS_OF)
+    folder = shared_folder(spark)
+    P.write_pages(docs, folder + "/posts", "doc_id", F.expr(POST), size=500)
+    P.write_pages(spark.sql(CATEGORIES, documents=docs), folder + "/categories", "id", F.to_json(F.struct("id", "name")))
+    return P.to_articles(P.read_posts(spark, folder + "/posts"), P.read_categories(spark, folder + "/categories"), F.lit("cms"), AS_OF)
+
+
+@check("category_slugs", """select lower(lang) as slug, min(case lang when 'en' then 2 when 'es' then 3 when 'fr' then 4 else 7 end) as id
+  from documents where lang is not null group by 1""")
+def category_slugs(spark, sf_dir):
+    """Slug to id, for the addresses of a section's pages of posts."""
+    folder = shared_folder(spark)
+    cats = spark.sql("select lower(lang) as slug, cast(min(case lang when 'en' then 2 when 'es' then 3 when 'fr' then 4 else 7 end) as bigint) as id, "
+                     "'n' as name from {documents} group by 1", documents=table(spark, sf_dir, "documents"))
+    P.write_pages(cats, folder, "id", F.to_json(F.struct("id", "name", "slug")))
+    return P.category_ids(P.read_categories(spark, folder))
 
 
 def _body_sql(b):

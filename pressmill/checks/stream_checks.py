@@ -12,7 +12,7 @@ from pressmill.session import shared_folder
 from pressmill.streaming import feeds as ST
 
 
-BATCHES, RANGES = 4, 32
+BATCHES, RANGES = 4, 16
 
 
 def _run(spark, df, order, start):

@@ -163,11 +163,8 @@ def anomalies(runs: DataFrame, chunk: int = 100_000) -> DataFrame:
 def tail(runs: DataFrame) -> DataFrame:
     """The runs of each source that the verdicts of later ones depend on: its latest ones, and its latest successes."""
     lead = max(HISTORY, AVERAGE_OVER, ZERO_RUNS) - 1
-    ok = F.col("status") == "OK"
-    latest = top_n(runs.select("source", "run_ts", "id"), ["source"], _newest(), lead).drop("_rn")
-    good = top_n(runs.where(ok).select("source", "run_ts", "id"), ["source"], _newest(), lead).drop("_rn")
-    wanted = latest.unionByName(good).distinct().withColumnsRenamed({"source": "_s", "run_ts": "_t", "id": "_i"})
-    return runs.join(wanted, runs["source"].eqNullSafe(F.col("_s")) & (runs["run_ts"] == F.col("_t")) & (runs["id"] == F.col("_i")), "left_semi")
+    latest, good = (top_n(rows, ["source"], _newest(), lead).drop("_rn") for rows in (runs, runs.where("status = 'OK'")))
+    return latest.unionByName(good).distinct()  # a few rows per source by now
 
 
 def rollup(results: DataFrame) -> DataFrame:
@@ -218,6 +215,27 @@ def flagged(results: DataFrame) -> DataFrame:
     return detail(results).where("part = 'anomaly'").select("source", "level", "reason")
 
 
+def daily_report(results: DataFrame) -> DataFrame:
+    """One JSON text per day (``report``): date, number of runs, totals, and every run with its error class and verdict.
+
+    ``results`` is the run history with a level and reason (null if not judged). A day's list is one row, as its report is one
+    file: as long as that day has runs."""
+    cls = error_class(F.col("error_msg"))
+    failed = F.col("status") != "OK"
+    entry = F.struct("source", "status", "total_valid", "total_discarded", "duration_s", "health_ok", F.when(failed, F.col("error_msg")).alias("error"),
+                     F.when(failed, cls["type"]).alias("error_type"), F.when(failed, cls["description"]).alias("error_desc"),
+                     F.when(F.col("level") != "ok", F.struct("level", "reason")).alias("anomaly"))
+    ok = F.col("status") == "OK"
+    daily = results.groupBy("run_date").agg(
+        F.count("*").alias("scrapers_run"),
+        F.struct(F.count_if(ok).alias("ok"), F.count_if(F.col("status") == "ERROR").alias("errors"),
+                 F.count_if(F.col("status") == "SKIPPED").alias("skipped_health"), F.count_if(ok & (F.col("level") != "ok")).alias("anomalies")).alias("totals"),
+        F.sort_array(F.collect_list(F.struct("run_ts", "id", entry.alias("entry")))).alias("all"))
+    return daily.select(F.to_json(F.struct(
+        F.col("run_date").cast("string").alias("execution_date"), "scrapers_run", "totals",
+        F.transform("all", lambda x: x["entry"]).alias("results"))).alias("report"))
+
+
 def run_record(results: DataFrame, at: str) -> DataFrame:
     """History rows of finished runs, stamped with the moment ``at`` (local time)."""
     ts = F.lit(at).cast("timestamp_ntz")

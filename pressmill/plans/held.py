@@ -3,7 +3,8 @@
 Every batch leaves a run of its keys, dealt into hash buckets. When ``fan`` runs of a level are there, their merge is a run of
 the next level, so before batch n at most (fan - 1) runs of each of log(n) levels are read, and of these only the buckets
 that the new keys fall into. Which runs stand for batch n follows from n alone: a batch that is repeated after a failure
-sees what it saw before, and writes the same runs again.
+sees what it saw before, and writes the same runs again. Runs that a merge has replaced are never read again and may be
+deleted.
 """
 
 from functools import reduce
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS, FAN = 64, 8
+BUCKETS, FAN = 16, 8
 
 
 class HeldKeys:
@@ -60,8 +61,8 @@ class HeldKeys:
         rows.withColumn("_bucket", self.bucket()).repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(self._path(level, start))
 
     def add(self, batch, rows: DataFrame):
-        """Leave the run of a batch, and the merges that it completes."""
-        self._write(self.merge(rows.select(self.columns)), 0, batch)
+        """Leave the run of a batch (rows that ``merge`` would leave as they are), and the merges that it completes."""
+        self._write(rows.select(self.columns), 0, batch)
         level, size = 1, self.fan
         while (batch + 1) % size == 0:
             parts = [(level - 1, batch + 1 - size + i * size // self.fan) for i in range(self.fan)]

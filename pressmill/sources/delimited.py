@@ -27,6 +27,10 @@ def _reader(spark, columns, sep):
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, maxCharsPerColumn=-1)
 
 
+def _cell(name):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _with_place(df):
     """Add ``file`` and ``seq``: ids rise along a file because one task reads it whole."""
     return df.withColumns({"file": file_name(F.col("_metadata.file_path")), "seq": F.monotonically_increasing_id()})
@@ -47,7 +51,7 @@ def read_strict(spark, paths, columns=ARTICLE_COLUMNS, sep="|") -> DataFrame:
     checked = F.when(n > len(columns), F.raise_error(F.concat(F.lit("too many fields in "), "file")).cast("string"))
     cells = []
     for i, c in enumerate(columns):
-        text = F.when(n > i, F.coalesce(F.col(c), F.lit("")))
+        text = F.when(n > i, F.coalesce(_cell(c), F.lit("")))
         cells.append(F.coalesce(checked, F.when(text != NULL_TEXT, text)).alias(c))
     return raw.select(*cells, "file", "seq")
 
@@ -57,9 +61,9 @@ def read_tolerant(spark, paths, columns=ARTICLE_COLUMNS, sep="|", nulls=TOLERANT
     raw = _with_place(_reader(spark, columns, sep).csv(paths))
     # the reader refuses to give the raw record without any data column, as when rows are counted:
     # behind a generator the first column is always asked for beside it
-    fits = F.when(F.col(_BROKEN).isNull() | (_fields(F.col(_BROKEN), sep) <= len(columns)), F.struct(F.col(columns[0]).alias("_head")))
+    fits = F.when(F.col(_BROKEN).isNull() | (_fields(F.col(_BROKEN), sep) <= len(columns)), F.struct(_cell(columns[0]).alias("_head")))
     whole = raw.withColumn("_fit", F.explode(F.filter(F.array(fits), lambda x: x.isNotNull())))
-    cells = [F.when(~F.col(c).isin(list(nulls)), F.col(c)).alias(c) for c in columns]
+    cells = [F.when(~_cell(c).isin(list(nulls)), _cell(c)).alias(c) for c in columns]
     return whole.select(*cells, "file", "seq")
 
 

@@ -17,7 +17,8 @@ SHARE_HOSTS = ["whatsapp", "facebook"]
 
 
 def read_posts(spark, paths) -> DataFrame:
-    """Landed pages of posts: each file holds one JSON array."""
+    """Landed pages of posts: each file holds one JSON array, read by one task (a collector's page is 20 or 100 posts). Columns
+    that folder names stand for come along."""
     return spark.read.schema(POST).option("multiLine", True).json(paths)
 
 
@@ -30,6 +31,21 @@ def read_articles(spark, paths) -> DataFrame:
     return spark.read.schema(ARTICLE_AUTHOR).option("multiLine", True).json(paths)
 
 
+def category_ids(categories: DataFrame) -> DataFrame:
+    """The id of every category slug; of categories with one slug the first id holds."""
+    return categories.where("slug is not null").groupBy("slug").agg(F.min("id").alias("id"))
+
+
+def write_pages(df: DataFrame, path: str, number, record, by=(), size=100):
+    """JSON arrays of at most ``size`` records (the JSON text ``record``) in the order of ``number`` (unique whole numbers), as a
+    collector lands its pages: one file for each run of ``size`` numbers of every ``by`` group."""
+    paged = df.select(*by, F.floor(F.col(number) / size).cast("int").alias("page"), F.struct(F.col(number).alias("n"), record.alias("json")).alias("r"))
+    pages = paged.groupBy(*by, "page").agg(F.sort_array(F.collect_list("r")).alias("all"))
+    text = F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x["json"]), ",\n"), F.lit("]")).alias("value")
+    # files of one group lie in its folder; which page is in which file does not matter to a reader
+    pages.select(*by, "page", text).repartition(*by, "page").write.partitionBy(*by, "page").text(path)
+
+
 def parse_posts(df: DataFrame, column: str) -> DataFrame:
     """Posts held as JSON text in a column; ``POST`` fields at top level."""
     return df.withColumn("_p", F.from_json(column, POST)).select(*[c for c in df.columns if c != column], "_p.*")
@@ -46,9 +62,8 @@ def post_text(c):
 
 
 def to_articles(posts: DataFrame, categories: DataFrame, source, scraping_date: str) -> DataFrame:
-    """Posts to records. ``categories`` is the site's id-name dictionary (a few hundred rows,
-    each id once); a post without known category is filed under the default section."""
-    names = categories.select(F.col("id").alias("_cid"), F.col("name").alias("_name"))
+    """Posts to records. ``categories`` is the site's id-name dictionary (a few hundred rows); a post without known category is filed under the default section."""
+    names = categories.groupBy(F.col("id").alias("_cid")).agg(F.min("name").alias("_name"))
     first = posts.withColumn("_first", F.try_element_at("categories", F.lit(1)))
     joined = first.join(names, F.col("_first") == F.col("_cid"), "left")
     given = F.nullif(F.col("date"), F.lit(""))

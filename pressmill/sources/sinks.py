@@ -7,11 +7,19 @@ from pyspark.sql import functions as F
 from pressmill.schema import ARTICLE_COLUMNS, DISCARD_COLUMNS, NULL_TEXT
 
 
-def write_delimited(df: DataFrame, path: str, columns=ARTICLE_COLUMNS, sep="|", by=(), mode="errorifexists"):
+def write_delimited(df: DataFrame, path: str, columns=ARTICLE_COLUMNS, sep="|", by=(), mode="errorifexists", header=True, **options):
     """Fixed columns, further ones dropped, nulls as ``NULL``; ``by`` columns become folders."""
     df.select(*columns, *[c for c in by if c not in columns]).write.mode(mode).partitionBy(*by).options(
-        sep=sep, header=True, quote='"', escape='"', nullValue=NULL_TEXT, emptyValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+        sep=sep, header=header, quote='"', escape='"', nullValue=NULL_TEXT, emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, **options).csv(path)
+
+
+def write_daily(df: DataFrame, root: str, dt: str, columns=ARTICLE_COLUMNS):
+    """One folder per day and source (``dt=yyyymmdd/of_source=...``); a source written again replaces its own of the day."""
+    rows = df.select(*columns, F.lit(dt).alias("dt"), F.col("source").alias("of_source"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt", "of_source").options(
+        sep="|", header=True, quote='"', escape='"', nullValue=NULL_TEXT, emptyValue="",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(root.rstrip("/"))
 
 
 def write_discards(judged: DataFrame, path: str, dt: str):

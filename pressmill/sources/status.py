@@ -60,12 +60,14 @@ def examine(content):
 
 def file_status(spark, paths, required=MINIMUM_COLUMNS) -> DataFrame:
     """Files below ``paths``: path, file, bytes, sep, columns, problem. Columns and separator are null where the header could
-    not be read; a file without problem holds all ``required`` columns."""
+    not be read; a file without problem holds all ``required`` columns. Files without a byte do not come up, as no reader
+    of Spark's sees them."""
     @F.pandas_udf("problem string, line string")
     def look(contents: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([examine(c) for c in contents], columns=["problem", "line"])
 
-    found = spark.read.format("binaryFile").load(paths).select("path", "length", look("content").alias("seen"))
+    found = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("path"), "length", look("content").alias("seen"))
     line = F.col("seen.line")
     sep = F.when(line.contains("|"), F.lit("|")).when(line.isNotNull(), F.lit(","))
     names = F.when(line.contains("|"), F.split(line, r"\|")).when(line.isNotNull(), F.split(line, ","))

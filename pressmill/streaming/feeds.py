@@ -27,7 +27,7 @@ def ingest(stream: DataFrame, root: str, checkpoint: str, gate=None, order=("fil
     schema = T.StructType([stream.schema["url"]])
 
     def apply(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
+        spark = _session(batch)
         keys = HeldKeys(spark, f"{checkpoint}/held", schema, "url", distinct)
         rows = gate(batch) if gate else batch
         # look-ups ignore blanks around an address, so keys are kept and dealt out without them
@@ -39,6 +39,13 @@ def ingest(stream: DataFrame, root: str, checkpoint: str, gate=None, order=("fil
     return _start(stream.writeStream.foreachBatch(apply), checkpoint, available_now)
 
 
+def _session(batch):
+    """The session of a micro-batch, with adaptive execution: a stream's own plan goes without, but what is done with a
+    batch are ordinary jobs of any size."""
+    batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+    return batch.sparkSession
+
+
 def _start(writer, checkpoint, available_now):
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -54,7 +61,7 @@ def dedupe(stream: DataFrame, root: str, checkpoint: str, key="url", time="scrap
     schema = T.StructType([stream.schema[key], stream.schema[time]])
 
     def apply(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
+        spark = _session(batch)
         keys = HeldKeys(spark, f"{checkpoint}/held", schema, key, newest(key, time))
         firsts = keep_first(batch, [key], list(order)).alias("n")
         since = batch.agg(F.min(time) - F.expr(f"interval {delay}")).first()[0]
@@ -100,7 +107,7 @@ def anomaly_alerts(stream: DataFrame, history: str, alerts: str, checkpoint: str
         return rows.join(last, rows["source"].eqNullSafe(F.col("_s")) & (rows["_batch"] == F.col("_last")), "left_semi")
 
     def apply(batch: DataFrame, batch_id: int):
-        spark = batch.sparkSession
+        spark = _session(batch)
         tails = HeldKeys(spark, f"{checkpoint}/tails", state, "source", latest)
         batch.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
         new = spark.read.schema(stream.schema).parquet(f"{history}/batch={batch_id}")
