@@ -5,17 +5,46 @@ the vocabulary's order as a prior (weight falling with the rank that is their sc
 re-estimated by expectation-maximisation; the forward recursion runs in log space over many words at once.
 """
 
+import math
+
 import numpy as np
 
 from pressmill.llm.vocabulary import MARK
 
 PRIOR = 1000.0  # pieces that the vocabulary's scores count for beside the corpus
 LONGEST = 16
+ALONE = 2048
 _B, _M = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _SLOTS = 18
 UNKNOWN = 1e-6  # weight of a character outside the vocabulary, spread over its bytes
 
 
+STEPS = np.arange(1, LONGEST + 1)[:, None]
+
+
+def _logsum(x):
+    """Log of the sum of exponentials over the first axis."""
+    top = x.max(axis=0)
+    base = np.where(np.isfinite(top), top, 0.0)
+    with np.errstate(divide="ignore"):
+        return base + np.log(np.exp(x - base).sum(axis=0))
+
+
+def _chain(weight):
+    """The forward recursion over one long word, edge by edge: log sums at its size + 1 nodes."""
+    length, begin = np.nonzero(weight > -np.inf)
+    order = np.lexsort((length, begin))
+    out = [-math.inf] * (weight.shape[1] + 1)
+    out[0] = 0.0
+    for a, b, w in zip(begin[order].tolist(), (begin + length + 1)[order].tolist(), weight[length, begin][order].tolist()):
+        here, there = out[a] + w, out[b]
+        if here > there:
+            here, there = there, here
+        if there > -math.inf:
+            out[b] = there + math.log1p(math.exp(here - there))
+    return out
+
+
 class Lattice:
     def __init__(self, vocabulary, counts=None):
         pairs = [(p, s) for p, s in zip(vocabulary.pieces, vocabulary.scores) if p.strip(MARK) or p == MARK]
@@ -90,12 +119,15 @@ class Lattice:
     def _forward(self, start, size, weight):
         alpha = np.full(weight.shape[1], -np.inf)
         alpha[start] = 0.0
+        long = int(np.searchsorted(-size, -ALONE, "left"))  # words of more characters go one by one
+        for s, n in zip(start[:long].tolist(), size[:long].tolist()):
+            alpha[s:s + n + 1] = _chain(weight[:, s:s + n])
+        start, size = start[long:], size[long:]
         for e in range(1, int(size[0]) + 1 if len(size) else 0):
             node = start[: int(np.searchsorted(-size, -e, "right"))] + e
-            total = np.full(len(node), -np.inf)
-            for n in range(1, min(e, LONGEST) + 1):
-                total = np.logaddexp(total, alpha[node - n] + weight[n - 1, node - n])
-            alpha[node] = total
+            step = STEPS[: min(e, LONGEST)]
+            back = node - step
+            alpha[node] = _logsum(alpha[back] + weight[step - 1, back])
         return alpha
 
     def _sorted(self, words):
@@ -122,12 +154,17 @@ class Lattice:
         beta = np.full(weight.shape[1], -np.inf)
         last = start + size
         beta[last] = 0.0
-        for back in range(1, int(size[0]) + 1 if len(size) else 0):
-            node = last[: int(np.searchsorted(-size, -back, "right"))] - back
-            total = np.full(len(node), -np.inf)
-            for n in range(1, min(back, LONGEST) + 1):
-                total = np.logaddexp(total, weight[n - 1, node] + beta[node + n])
-            beta[node] = total
+        long = int(np.searchsorted(-size, -ALONE, "left"))
+        for s, n in zip(start[:long].tolist(), size[:long].tolist()):
+            turned = np.full((LONGEST, n), -np.inf)  # the same edges, read from the end
+            for k in range(min(n, LONGEST)):
+                turned[k, :n - k] = weight[k, s:s + n - k][::-1]
+            beta[s:s + n + 1] = _chain(turned)[::-1]
+        tails, sizes = last[long:], size[long:]
+        for back in range(1, int(sizes[0]) + 1 if len(sizes) else 0):
+            node = tails[: int(np.searchsorted(-sizes, -back, "right"))] - back
+            step = STEPS[: min(back, LONGEST)]
+            beta[node] = _logsum(weight[step - 1, node] + beta[node + step])
         whole = np.repeat(alpha[last], size + 1)  # by node, as the words follow each other
         count = np.repeat(np.asarray(times, float)[order], size + 1)
         out = np.zeros(len(self.pieces) + 1)

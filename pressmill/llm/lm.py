@@ -82,13 +82,17 @@ class Model:
             return np.logaddexp(own, np.log(self.left) + rest) / LN10
 
     def score(self, words, seen, every):
-        """log10 probabilities of words, a column for each class."""
+        """log10 probabilities of words, a column for each class, and one by the lattices alone (classes alike)."""
         low = np.stack([lattice.logprob(words) for lattice in self.lattices], axis=1) + math.log1p(-END)
-        return self._mixed(seen, every, low)
+        return np.c_[self._mixed(seen, every, low), self.alone(low)]
+
+    @staticmethod
+    def alone(low):
+        return (np.logaddexp.reduce(low, axis=1) - math.log(low.shape[1])) / LN10
 
     def end(self):
         row = self._mixed(self.class_ends[None, :], np.array([float(self.ends)]), np.full((1, len(self.n)), math.log(END)))
-        return float(self.base(self.ends)), row[0]
+        return float(self.base(self.ends)), np.r_[row[0], math.log(END) / LN10]
 
 
 def _expected(shared, k):
@@ -179,7 +183,8 @@ def _common(words, head):
 
 
 def scores(docs, held_out, doc_id="doc_id", text="text", column="lang", vocabulary=None, rounds=ROUNDS, head=HEAD):
-    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
+    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), and
+    lattice_score, the marginal of the subword lattices alone, without any count of a whole word.
 
     Null and empty texts consist of the end alone. Without training texts nothing is known and the
     lattice, with the vocabulary's own weights, scores everything. ``column`` may be None or missing: one class.
@@ -188,11 +193,11 @@ def scores(docs, held_out, doc_id="doc_id", text="text", column="lang", vocabula
     limit, classes = _common(words, head), len(model.n)
     top = [] if limit is None else words.where(F.col("c") >= limit).select("word", "base", "score").collect()
     number = {r["word"].encode(): i for i, r in enumerate(top)}
-    table = np.array([[r["base"], *r["score"]] for r in top]).reshape(len(top), classes + 1)
+    table = np.array([[r["base"], *r["score"]] for r in top]).reshape(len(top), classes + 2)
     shared = docs.sparkSession.sparkContext.broadcast((number, table))
     end_base, end_score = model.end()
     end, known_end = np.r_[end_base, end_score], int(model.ends > 0)
-    marks = ["s%d" % i for i in range(classes)]
+    marks = ["s%d" % i for i in range(classes + 1)]  # the last one by the lattices alone
 
     def run(batches):
         number, table = shared.value
@@ -235,11 +240,11 @@ def scores(docs, held_out, doc_id="doc_id", text="text", column="lang", vocabula
         F.first(F.when(own, F.col("doc_id")), True).alias("doc_id"), F.sum(F.when(own, F.col("n"))).alias("n_tokens"),
         F.sum(F.when(own, F.col("known")).otherwise(F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0)))).alias("n_known"),
         F.sum(add(0)).alias("base_score"), *[F.sum(add(i + 1)).alias(m) for i, m in enumerate(marks)])
-    each = F.array(*[F.col(m) + F.lit(float(p)) for m, p in zip(marks, model.prior)])
+    each = F.array(*[F.col(m) + F.lit(float(p)) for m, p in zip(marks[:-1], model.prior)])
     sums = sums.withColumn("each", each).withColumn("best", F.array_max("each"))
     total = F.col("best") + F.log10(F.aggregate("each", F.lit(0.0), lambda a, x: a + F.pow(F.lit(10.0), x - F.col("best"))))
     return sums.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known",
-                       F.lit(model.total).cast("long").alias("train_tokens"), "base_score", total.alias("score"))
+                       F.lit(model.total).cast("long").alias("train_tokens"), "base_score", total.alias("score"), F.col(marks[-1]).alias("lattice_score"))
 
 
 def held_out(doc_id):

@@ -13,7 +13,7 @@ from pressmill.llm.common import free, keep, word_count
 
 WEIGHTS, CAP = (5, 2, 1), 3
 BITS, LEVELS = 16, 2  # 32 bits of the hash, 65,536 sums of a source at most
-ROUNDS = 3
+NEAR = 0.0005  # a source whose words are that near to its target is not filled further
 
 
 def _sized(docs, doc_id, text, source):
@@ -41,10 +41,10 @@ def targets(sizes, weights=WEIGHTS, cap=CAP):
     return one.select("source", "source_size", target.alias("target"))
 
 
-def _bounds(rows, state, last):
-    """``state`` (source, need, bound, ...) with the bound moved on so far that the documents of ``rows``
-    between the old and the new bound have just at most ``need`` words, or, in the ``last`` round, come
-    nearest to it; need is what remains."""
+def _bounds(rows, state):
+    """``state`` (source, need, bound, ...) with the bound moved on so far that the documents of ``rows`` between the old and
+    the new bound have just at most ``need`` words. need is what remains, n the words at the new bound (null where all
+    documents are taken)."""
     state = state.withColumn("prefix", F.lit(None).cast("long"))
     for level in range(1, LEVELS + 1):
         shift = BITS * (LEVELS - level)
@@ -61,36 +61,42 @@ def _bounds(rows, state, last):
         state = state.join(ends, F.col("source").eqNullSafe(F.col("s"))).drop("s")
         spent = F.when(F.col("e").isNotNull(), F.col("e.until") - F.col("e.n")).otherwise(F.coalesce("all", F.lit(0)))
         state = keep(state.withColumn("need", F.col("need") - spent).withColumn("prefix", F.col("e.b")).withColumn("n", F.col("e.n")).drop("e", "all"))
-    one_more = F.lit(last) & (2 * F.col("need") >= F.col("n"))
-    state = state.withColumn("need", F.when(one_more, F.col("need") - F.col("n")).otherwise(F.col("need")))
-    end = F.coalesce(F.col("prefix") + F.when(one_more, F.lit(1)).otherwise(F.lit(0)), F.lit(1 << (BITS * LEVELS)))
-    return state.withColumn("bound", end).drop("prefix", "n")
+    end = F.coalesce(F.col("prefix"), F.lit(1 << (BITS * LEVELS)))
+    return state.withColumn("bound", end).drop("prefix")
 
 
 def thresholds(sized, weights=WEIGHTS, cap=CAP):
     """(source, source_size, target, full, takes): a document is taken ``full`` times, and once more
     if some entry (start, bound, most) of ``takes`` has start <= hash < bound and size <= most.
 
-    The document in which a budget ends may be longer than what is left of it. It is then passed over,
-    and a further round fills the rest with documents behind it that are small enough.
+    The document in which a budget ends may be longer than what is left of it. It is passed over, and further rounds fill
+    the rest with documents behind it that are small enough, as long as some source is not near its target and something
+    fits. In the end each source is compared with the mixes that take one of those documents instead of what was filled
+    in behind it, and the nearest to the target holds.
     """
     goal = targets(sized, weights, cap).withColumn(
         "full", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int"))
     goal = goal.withColumn("need", F.col("target") - F.col("full") * F.col("source_size"))
-    state = keep(goal.withColumn("bound", F.lit(0).cast("long")).withColumn(
-        "takes", F.expr("cast(array() as array<struct<start:bigint,bound:bigint,most:double>>)")))
-    for i in range(ROUNDS):
-        state = state.withColumn("start", F.col("bound")).withColumn("most", F.col("need"))
-        rows = sized
-        if i:
-            at = state.select(F.col("source").alias("s"), F.col("bound").alias("b"), F.col("most").alias("m"))
-            fits = F.col("source").eqNullSafe(F.col("s")) & (F.col("h") >= F.col("b")) & (F.col("size") <= F.col("m"))
-            rows = keep(sized.join(at, fits).drop("s", "b", "m"))
-        else:
-            state = state.withColumn("most", F.lit(float("inf")))
-        state = _bounds(rows, state, i == ROUNDS - 1)
-        state = state.withColumn("takes", F.concat("takes", F.array(F.struct("start", "bound", "most")))).drop("start", "most")
-    return keep(state.drop("need", "bound"))
+    none = F.expr("cast(array() as array<struct<start:bigint,bound:bigint,most:double>>)")
+    state = goal.withColumns({"bound": F.lit(0).cast("long"), "takes": none, "over": F.lit(float("inf")), "instead": none})
+    state, rows, most = keep(state), sized, F.lit(float("inf"))
+    while True:
+        state = _bounds(rows, state.withColumn("start", F.col("bound")).withColumn("most", most))
+        beyond = F.col("n") - F.col("need")
+        entry = lambda bound: F.concat("takes", F.array(F.struct("start", bound.alias("bound"), "most")))
+        nearer = F.coalesce(beyond < F.col("over"), F.lit(False))
+        state = keep(state.withColumns({
+            "instead": F.when(nearer, entry(F.col("bound") + 1)).otherwise(F.col("instead")),
+            "over": F.when(nearer, beyond).otherwise(F.col("over")), "takes": entry(F.col("bound"))}).drop("start", "most", "n"))
+        far = F.col("need") > NEAR * F.col("target")
+        at = state.where(far).select(
+            F.col("source").alias("s"), F.col("bound").alias("b"), F.col("need").alias("m"))
+        fits = F.col("source").eqNullSafe(F.col("s")) & (F.col("h") >= F.col("b")) & (F.col("size") > 0) & (F.col("size") <= F.col("m"))
+        rows, most = keep(sized.join(at, fits).drop("s", "b", "m")), F.when(far, F.col("need")).otherwise(F.lit(-1.0))
+        if rows.isEmpty():
+            break
+    takes = F.when(F.col("over") < F.col("need"), F.col("instead")).otherwise(F.col("takes"))
+    return keep(state.withColumn("takes", takes).drop("need", "bound", "over", "instead"))
 
 
 def _joined(rows, limits):

@@ -153,16 +153,40 @@ def test_scores(spark, vocabulary, head):
     known = {r["word"].encode(): np.array(r["score"]) for r in table.collect()}
     end = model.end()[1]
     for r in got[:20]:
-        each = model.prior + end + sum((known[w] for w in words[r["doc_id"]][:-1]), np.zeros(len(end)))
+        whole = end + sum((known[w] for w in words[r["doc_id"]][:-1]), np.zeros(len(end)))
+        each = model.prior + whole[:-1]
         assert math.isclose(r["score"], np.log10((10.0 ** (each - each.max())).sum()) + each.max(), rel_tol=1e-7)
+        assert math.isclose(r["lattice_score"], whole[-1], rel_tol=1e-7)
+    # by the lattices alone a word is the mean of the classes' marginals, whatever its counts
+    some = list(known)[:5]
+    low = np.stack([x.logprob([w.decode() for w in some]) for x in model.lattices], axis=1) + math.log(1 - lm.END)
+    for w, x in zip(some, low):
+        assert math.isclose(known[w][-1], math.log10(np.exp(x).mean()), rel_tol=1e-9)
     assert lm.scores(docs.limit(0), lm.held_out, vocabulary=vocabulary).count() == 0
 
 
+def test_long_words(vocabulary, monkeypatch):
+    """Words of one piece of text without any blank: edge by edge, as many words at once, and in time linear in length."""
+    import time
+
+    from pressmill.llm import lattice as module
+
+    draw, lattice = np.random.default_rng(1), Lattice(vocabulary)
+    words = ["".join(draw.choice(list("abcde é漢+/7"), n)) for n in (3000, 2500, 2049, 2048, 40, 1)]
+    alone, uses = lattice.logprob(words), lattice.expected(words, np.arange(1, 7))
+    monkeypatch.setattr(module, "ALONE", 1 << 30)
+    assert np.allclose(alone, lattice.logprob(words), rtol=1e-10) and np.allclose(uses, lattice.expected(words, np.arange(1, 7)), rtol=1e-6, atol=1e-6)
+    monkeypatch.undo()
+    start = time.process_time()
+    assert np.isfinite(lattice.logprob(["".join(draw.choice(list("abcdefghijklmnop0123456789+/"), 1_000_000))])[0])
+    assert time.process_time() - start < 60
+
+
 def test_shares_of_known_words_stay_below_one(spark, vocabulary):
     docs = spark.createDataFrame([(i, prose(i, 50), "ab"[i % 2]) for i in range(60)], "doc_id long, text string, lang string")
     table, model = lm.train(docs, lm.held_out, vocabulary=vocabulary)
     mass = sum(10.0 ** np.array(r["score"]) for r in table.collect()) + 10.0 ** model.end()[1]
-    assert (mass < 1 + 1e-9).all() and (mass[:2] > 0.3).all()
+    assert (mass < 1 + 1e-9).all() and (mass[:2] > 0.3).all()  # the last one: by the lattices alone
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test tables not present")

@@ -159,6 +159,26 @@ def test_mixing(spark, docs, none):
     assert len(sums) == 8 and all(abs(r["t"] - r["target"]) <= 50 for r in sums)
 
 
+def test_mixing_comes_nearest(spark):
+    """The document in which a budget ends is taken where that is nearer than what can be filled in behind it."""
+    def taken(sizes, weights, cap=3):
+        rows = [(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        out = {}
+        for r in mixing.mixture(docs, weights, cap).collect():
+            s = sizes[r["doc_id"]][0]
+            out[s] = (r["target"], out.get(s, (0, 0))[1] + r["taken"])
+        return out
+
+    whole = taken([("a", 1000), ("b", 500), ("b", 500)], (15, 1))  # a: 1,875 of 1,000 in one document
+    assert whole["a"] == (1875.0, 2000) and abs(whole["b"][1] - 125) <= 125
+    draw = np.random.default_rng(4)
+    for seed in range(6):
+        sizes = [("ab"[i % 2], int(n)) for i, n in enumerate(draw.choice([1, 2, 30, 400, 3000], size=30, p=[.1, .2, .3, .3, .1]))]
+        for target, t in taken(sizes, (3, 2)).values():
+            assert abs(t - target) <= max(n for _, n in sizes) / 2  # the boundary document or nothing is that near
+
+
 ITEM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
