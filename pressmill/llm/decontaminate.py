@@ -11,7 +11,7 @@ from pressmill.llm.common import free, keep, lower_ascii
 
 WINDOW = 13
 WORDS = r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"
-BROADCAST_WINDOWS = 1_000_000  # beyond so many distinct benchmark windows the joins are left to the optimizer
+BROADCAST_BYTES = 64 << 20  # windows and their items up to this size are broadcast; beyond it only grams meet first
 
 
 def words(col):
@@ -29,15 +29,15 @@ def benchmark_windows(benchmark, window=WINDOW):
 
 
 def _plan(benchmark, window):
-    """(windows, grams, lengths, hint): the hash sets, the window lengths in use, and the broadcast
-    hint, which is given only where the counted windows stay below the bound."""
+    """(windows, grams, lengths, small): the hash sets, the window lengths in use, and whether the windows' measured size
+    is below the bound of a broadcast (grams are at most seven longs a window)."""
     found = benchmark_windows(benchmark, window)
-    counts = {r["n"]: r["count"] for r in found.groupBy("n").count().collect()}  # at most ``window`` lengths
+    size = F.sum(F.expr("octet_length(array_join(w, ' ')) + octet_length(array_join(items, ' ')) + 32 * (size(w) + size(items))"))
+    sizes = {r["n"]: r["size"] for r in found.groupBy("n").agg(size.alias("size")).collect()}  # at most ``window`` lengths
     grams = found.select(F.explode(F.expr(
         "transform(sequence(0, (n + 1) div 2 - 1), o -> xxhash64(slice(w, cast(o + 1 as int), cast((n + 1) div 2 as int)), n))"
     )).alias("g")).distinct()
-    small = sum(counts.values()) <= BROADCAST_WINDOWS
-    return found, grams, sorted(counts), F.broadcast if small else (lambda df: df)
+    return found, grams, sorted(sizes), sum(sizes.values()) <= BROADCAST_BYTES
 
 
 def _probes(lengths):
@@ -60,12 +60,14 @@ def contamination(docs, benchmark, window=WINDOW, doc_id="doc_id", text="text"):
     """One row per row of ``docs``: doc_id, text_hash, n_words, n_hit, n_items, items (sorted), hit_words
     (positions), contaminated (at least a twentieth of the words hit).
 
-    One pass over the texts: every document sends one row for itself through the same joins, so
-    nothing is read or joined twice, and only hits meet per document. Null, empty and wordless texts
+    With a benchmark that can be broadcast, one pass over the texts: every document sends one row for itself through the same
+    joins, so nothing is read or joined twice, and only hits meet per document. With a larger one the words are written
+    once, (row, length, place, gram) alone is shuffled to the grams, and what hits comes back to its document. Null, empty and wordless texts
     have no words and no hits. Items without words are ignored; items with a null id hit but
     are not listed. Repeated rows come out once each. An empty benchmark gives no hits.
     """
-    windows, grams, lengths, hint = _plan(benchmark, window)
+    windows, grams, lengths, small = _plan(benchmark, window)
+    hint = F.broadcast if small else (lambda df: df)
     spark = docs.sparkSession
     own = "cast(0 as bigint)"
     grams = grams.unionAll(spark.range(1).select(F.expr(own).alias("g")))
@@ -74,8 +76,17 @@ def contamination(docs, benchmark, window=WINDOW, doc_id="doc_id", text="text"):
     read = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("t0")).select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("t0").alias("text_hash"), words(F.col("t0")).alias("t"))
     read = read.withColumn("n_words", F.size("t"))
-    hits = read.select("row", "doc_id", "text_hash", "t", "n_words", F.explode(_probes(lengths)).alias("x"))
-    hits = hits.select("row", "doc_id", "text_hash", "t", "n_words", "x.n", "x.p", "x.g").join(hint(grams), "g", "left_semi")
+    if small:
+        hits = read.select("row", "doc_id", "text_hash", "t", "n_words", F.explode(_probes(lengths)).alias("x"))
+        hits = hits.select("row", "doc_id", "text_hash", "t", "n_words", "x.n", "x.p", "x.g").join(hint(grams), "g", "left_semi")
+    else:
+        read = keep(read)  # the row numbers hold from here on
+        probes = read.select("row", F.explode(_probes(lengths)).alias("x")).where("x.n > 0").select("row", "x.n", "x.p", "x.g")
+        found = probes.join(grams, "g", "left_semi").groupBy("row").agg(F.collect_list(F.struct("n", "p")).alias("xs"))
+        itself = "array(named_struct('n', 0, 'p', 0))"
+        hits = read.join(found, "row", "left").select(
+            "row", "doc_id", "text_hash", "t", "n_words", F.explode(F.expr(f"if(xs is null, {itself}, concat({itself}, xs))")).alias("x"))
+        hits = hits.select("row", "doc_id", "text_hash", "t", "n_words", "x.n", "x.p")
     hits = hits.where("n = 0 or least(p, n_words - n) >= greatest(p - n div 2, 0)")
     around = hits.select("row", "doc_id", "text_hash", "n_words", "n", F.explode(F.expr(AROUND)).alias("y"))
     around = around.select("row", "doc_id", "text_hash", "n_words", "n", "y.s", "y.h", "y.w")

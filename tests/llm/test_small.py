@@ -182,7 +182,9 @@ def test_mixing_comes_nearest(spark):
 ITEM = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
-def test_decontamination(spark, docs, none):
+@pytest.mark.parametrize("room", [0, decontaminate.BROADCAST_BYTES])
+def test_decontamination(spark, docs, none, monkeypatch, room):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", room)  # 0: nothing is broadcast by hint
     head = lambda seed, n, k: " ".join(prose(seed, n).split()[:k])
     items = [(1, head(6, 120, 40)), (2, "Two, WORDS!"), (3, None), (4, "!!"), (5, head(1, 60, 20)), (6, head(6, 120, 40)), (7, "漢字")]
     bench = spark.createDataFrame(items, "item_id long, text string")
@@ -213,10 +215,26 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contamination(docs, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_large_benchmarks_shuffle_no_texts(spark, monkeypatch):
+    """Without a broadcast the probes that meet the grams are four numbers a row, whatever the length of the text."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
+    docs = spark.createDataFrame([(i, prose(i, 2000)) for i in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, prose(i, 40)) for i in range(100, 140)], "item_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = decontaminate.contamination(docs, bench)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = plan.index("Join LeftSemi")
+    probes = plan[at:].splitlines()[1]
+    assert "row#" in probes and " t#" not in probes and "doc_id#" not in probes
+
+
 def test_big_benchmarks_join_without_broadcast(docs, spark, monkeypatch):
     bench = spark.createDataFrame([(1, prose(6, 120))], "item_id long, text string")
     want = sorted(map(str, decontaminate.contamination(docs, bench).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 0)
     assert sorted(map(str, decontaminate.contamination(docs, bench).collect())) == want
 
 
