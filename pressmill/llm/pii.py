@@ -9,7 +9,7 @@ nothing collides; late attempts leave the form's length, so there is always room
 Digits become digits and letters letters of the same case and script (numbers written in digits of another
 script are the same entity); a card number stays valid or invalid
 (Luhn), an address keeps its octets in range, a phone its country code, an e-mail its last label, a
-name the gender its title tells. Names are matched word by word, so "Mrs Ada Byron" and "Mrs Byron"
+name its script and the gender its title tells. Names are matched word by word, so "Mrs Ada Byron" and "Mrs Byron"
 stay one family; where a text names someone with a title, later or earlier mentions of the full or the family
 name in that text are replaced too. A given name that stands alone is not.
 """
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 
 from pressmill.llm.common import keep
 
-_MALE = "Mr Mister Herr Sr Señor Monsieur Dn Don".split()
-_FEMALE = "Mrs Ms Miss Frau Sra Señora Srta Mme Madame Mlle Doña".split()
+# Titles, by the gender that they tell.
+_MALE = "Mr Mister Herr Sr Señor Monsieur Dn Don Sir Lord".split()
+_FEMALE = "Mrs Ms Miss Frau Sra Señora Srta Mme Madame Mlle Doña Lady Dra Profesora".split()
+_EITHER = "Dr Doctor Prof Professor Profesor Docteur Professeur Doktor".split()
 _NAME = r"[^\W\d_]+(?:['’-](?!s\b)[^\W\d_]+)*"  # of "Byron's" it is Byron
 _ND = [c for c in map(chr, range(0x20000)) if c.isdecimal()]
 
@@ -43,13 +45,15 @@ PATTERNS = {  # in order of precedence where matches overlap
     "ip": rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\d]|\.\d)",
     "card": r"(?<![\d+-])\d(?:[ -]?\d){12,18}(?!\d|-\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)",
-    "name": rf"(?<!\w)(?:{'|'.join(_MALE + _FEMALE)})\.? (?=[^\W\d_a-z])({_NAME}(?: (?=[^\W\d_a-z]){_NAME}){{0,2}})",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d)"
+             # national numbers: a trunk zero and nine digits at least in groups with one separator
+             rf"|(?<![\w+.]){_any('0')}(?=(?:[ .]?\d){{8,10}}(?![ .]?\d))(?:\d{{1,4}}(?: \d{{2,4}}){{2,4}}|\d{{1,4}}(?:\.\d{{2,4}}){{2,4}})(?![ .]?\d)",
+    "name": rf"(?<!\w)(?:{'|'.join(_MALE + _FEMALE + _EITHER)})\.? (?=[^\W\d_a-z])({_NAME}(?: (?=[^\W\d_a-z]){_NAME}){{0,2}})",
 }
 _FINDERS = {k: re.compile(p) for k, p in PATTERNS.items()}
 _DIGIT = re.compile(r"\d")
 WIDER = 16  # a surrogate grows with every so many attempts, so that room is found in the end
-_TITLES = [t + end for t in _MALE + _FEMALE for end in (" ", ". ")]
+_TITLES = [t + end for t in _MALE + _FEMALE + _EITHER for end in (" ", ". ")]
 
 
 def _kinds(text):
@@ -67,28 +71,33 @@ def luhn(digits):
 
 def find(text):
     """(start, end, kind, entity) of every entity, disjoint and in order; entity is its normal form."""
-    taken, out = [], []
+    taken, out = [], []  # taken stays sorted, and matches of a kind come in order: both are walked once
     for kind in _kinds(text):
+        fresh, at = [], 0
         for m in _FINDERS[kind].finditer(text):
             a, b = m.span(m.lastindex or 0)
-            if any(a < y and x < b for x, y in taken):
+            while at < len(taken) and taken[at][1] <= a:
+                at += 1
+            if at < len(taken) and taken[at][0] < b:
                 continue
             value = m.group(m.lastindex or 0)
             if kind == "name":
-                female = m.group(0).split(" ")[0].rstrip(".") in _FEMALE
-                parts = [(a + w.start(), a + w.end(), "name_f" if female else "name_m", w.group(0)) for w in re.finditer(_NAME, value)]
+                title = m.group(0).split(" ")[0].rstrip(".")
+                gender = "name_f" if title in _FEMALE else "name_m" if title in _MALE else "name_u"
+                parts = [(a + w.start(), a + w.end(), gender, w.group(0)) for w in re.finditer(_NAME, value)]
                 parts[-1] = (*parts[-1][:2], "family", parts[-1][3])
                 out += parts
             else:
                 out.append((a, b, kind, normal(kind, value)))
-            taken.append((a, b))
+            fresh.append((a, b))
+        taken = sorted(taken + fresh)
     return sorted(out + _mentions(text, out, taken))
 
 
 def _mentions(text, found, taken):
     """Further whole-word mentions of the full and family names among ``found``, without a title."""
     names, given = {}, ()
-    for _, _, kind, word in sorted(x for x in found if x[2] in ("name_f", "name_m", "family")):
+    for _, _, kind, word in sorted(x for x in found if x[2] in (*_GIVEN, "family")):
         given += ((kind, word),)
         if kind == "family":
             names.setdefault(tuple(w for _, w in given), given)
@@ -150,6 +159,19 @@ class _Stream:
 
 
 _VOWELS, _CONSONANTS = "aeiou", "bcdfglmnprstv"
+_GIVEN = ("name_f", "name_m", "name_u")
+# Letters of invented names by script, and how a woman's, a man's, anyone's and a family name ends.
+_SCRIPTS = {
+    "LATIN": (_CONSONANTS, _VOWELS, {"name_f": "a", "name_m": "on", "name_u": "e", "family": "or"}),
+    "CYRILLIC": ("бвгдзклмнпрст", "аеиоу", {"name_f": "а", "name_m": "ан", "name_u": "и", "family": "ов"}),
+    "GREEK": ("βγδκλμνπρστ", "αειου", {"name_f": "α", "name_m": "ος", "name_u": "ι", "family": "ης"}),
+}
+
+
+def _script(word):
+    """The script of a word's letters; None if they are of several."""
+    found = {unicodedata.name(c, "?").split(" ")[0] for c in word if c.isalpha()}
+    return found.pop() if len(found) == 1 else None
 
 
 def _letter(ch, draw):
@@ -178,7 +200,7 @@ def _alike(value, draw, keep_first=0):
 def surrogate(key, kind, entity, attempt=0):
     """The replacement of an entity, in its normal form. From attempt WIDER on it is longer than the form."""
     more = attempt // WIDER
-    draw = _Stream(key, kind if kind not in ("name_f", "name_m") else "name", entity, attempt)
+    draw = _Stream(key, kind if kind not in _GIVEN else "name", entity, attempt)
     if kind == "email":
         local, _, domain = entity.partition("@")
         labels = domain.split(".")
@@ -201,10 +223,10 @@ def surrogate(key, kind, entity, attempt=0):
         return _alike(entity + "0" * more, draw, 2 if entity[0] == "+" else 0)
     if kind == "iban":
         return _alike(entity + "0" * more, draw, 2)
-    if kind in ("name_f", "name_m", "family") and entity.isascii():
-        parts = [_CONSONANTS[draw.below(len(_CONSONANTS))] + _VOWELS[draw.below(5)] for _ in range(max(2, len(entity) // 2) + attempt // 8)]
-        tail = {"name_f": "a", "name_m": "n", "family": "r"}[kind]
-        name = "".join(parts)[:-1] + ("a" if kind == "name_f" else "o" + tail)
+    if kind in (*_GIVEN, "family") and (script := _script(entity)) in _SCRIPTS:
+        consonants, vowels, ends = _SCRIPTS[script]
+        parts = [consonants[draw.below(len(consonants))] + vowels[draw.below(len(vowels))] for _ in range(max(2, len(entity) // 2) + attempt // 8)]
+        name = "".join(parts)[:-1] + ends[kind]
         return name.upper() if entity.isupper() and len(entity) > 1 else name.capitalize()
     return _alike(entity + "0" * more, draw) if kind == "ssn" else _alike(entity, draw) + _syllables(more, draw)
 
