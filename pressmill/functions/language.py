@@ -6,6 +6,7 @@ text inside its task against all profiles, so texts are never exploded or shuffl
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,22 +14,45 @@ from pressmill.operators.dedupe import top_n
 
 DEFAULT = "es"
 RANKS = 300
+FLUSH = 4_000_000  # counted trigrams that a task holds before it adds them up
 LANGUAGES = 1000  # more profiles than this are not sent to the tasks
 
 
 def learn(labelled: DataFrame, text="text", label="lang", ranks=RANKS) -> DataFrame:
     """Profile rows (lang, gram, rank): the commonest trigrams of every language.
 
-    Counts are combined inside each task before the shuffle; the ranking keeps ``ranks``
-    rows per language per task, so a language holding most of the text does not pile up."""
-    chars = labelled.where(F.col(label).isNotNull()).select(
-        F.col(label).alias("lang"), F.split(F.lower(F.col(text)), "").alias("a"))
-    # the character list against itself shifted by one and by two
-    shifted = chars.withColumns({"b": F.slice("a", F.lit(2), F.size("a")), "c": F.slice("a", F.lit(3), F.size("a"))})
-    grams = shifted.select("lang", F.inline(F.arrays_zip("a", "b", "c")).alias("a", "b", "c")) \
-        .where("c is not null").select("lang", F.concat("a", "b", "c").alias("gram"))
-    counts = grams.groupBy("lang", "gram").agg(F.count("*").alias("n"))
-    return top_n(counts, ["lang"], [F.desc("n"), "gram"], ranks, rank="rank").select("lang", "gram", "rank", "n")
+    Trigrams are counted as numbers inside each task, so that what is shuffled is one row per task, language and
+    trigram; the ranking keeps ``ranks`` rows per language per task, so a language holding most of the text does
+    not pile up."""
+    def count(batches):
+        held, size = {}, 0
+        for batch in batches:
+            for lang, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                grams, n = np.unique(_codes(value), return_counts=True)
+                held.setdefault(lang, []).append((grams, n))
+                size += len(grams)
+            if size > FLUSH:
+                yield from _counted(held)
+                held, size = {}, 0
+        yield from _counted(held)
+
+    known = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull())
+    rows = known.select(F.col(label).cast("string").alias("lang"), F.lower(F.col(text)).alias("text"))
+    counts = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    # numbers are ordered like the trigrams themselves
+    ranked = top_n(counts, ["lang"], [F.desc("n"), "code"], ranks, rank="rank")
+    point = lambda shift: F.lpad(F.hex(F.shiftright("code", shift).bitwiseAND(F.lit((1 << 21) - 1))), 8, "0")
+    gram = F.decode(F.unhex(F.concat(point(42), point(21), point(0))), "UTF-32")  # big-endian without a mark
+    return ranked.select("lang", gram.alias("gram"), "rank", "n")
+
+
+def _counted(held):
+    """Batches of (lang, code, n) from lists of counted trigrams per language."""
+    for lang, parts in held.items():
+        codes, at = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([x for _, x in parts]).astype(float), len(codes)).astype(np.int64)
+        if len(codes):
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes), pa.array(n)], ["lang", "code", "n"])
 
 
 def _codes(text):
