@@ -71,14 +71,26 @@ def scan_today(spark, sf_dir):
     return FL.of_day(FL.listing(spark, folder), "20240602").select("file").distinct().orderBy("file")
 
 
-# one alias per source: the file carries another name than its source
+# Files of three days and some backups: the newest written one that is no backup and not older than the run counts.
 @check("scan_alias_latest", "select distinct concat('outlet_', source) as source, concat(source, '_20240601.csv') as file from documents")
 def scan_alias_latest(spark, sf_dir):
-    df = articles(spark, sf_dir)
-    folder = _staged(spark, df)
+    df = articles(spark, sf_dir).select("source", "url", "file")
+    folder, columns = shared_folder(spark), ["source", "url"]
+    older = df.withColumn("file", F.replace("file", F.lit("20240601"), F.lit("20240531")))
+    W.write_delimited(older, folder, columns, by=["file"])
+    since = spark.sql("select current_timestamp() + interval 10 seconds as t").first()[0]  # ten seconds are forgiven
+    W.write_delimited(df, folder, columns, by=["file"], mode="append")
+    W.write_delimited(df.withColumn("file", F.replace("file", F.lit("_2024"), F.lit("_backup_2024"))), folder, columns, by=["file"], mode="append")
     patterns = df.select(F.concat(F.lit("outlet_"), "source").alias("source"),
                          F.concat("source", F.lit("_*.csv")).alias("pattern")).distinct()
-    return FL.latest_by_alias(FL.listing(spark, folder), patterns).select("source", "file")
+    return FL.latest_by_alias(FL.listing(spark, folder), patterns, F.lit(since)).select("source", "file")
+
+
+@check("scan_expand", "select distinct file from articles", ["articles"])
+def scan_expand(spark, sf_dir):
+    """A folder stands for its files."""
+    folder = _staged(spark, articles(spark, sf_dir).select("source", "url", "file"), columns=["source", "url"])
+    return FL.expanded(spark, folder).select("file").distinct()
 
 
 @check("scan_sniff", f"select {SOFT}, case when source < 'src15' then null else concat('A', cast(seq as string)) end as author, file from articles",

@@ -155,6 +155,13 @@ def health_classify(spark, sf_dir):
     return H.classify(view(spark, sf_dir, "probes"))
 
 
+@check("health_registered", f"with {HEALTH} select * replace (cast(duration_s as double) as duration_s) from verdicts", ["probes"])
+def health_registered(spark, sf_dir):
+    """Probe results that carry no address meet the catalogue's health addresses."""
+    probes = view(spark, sf_dir, "probes")
+    return H.classify(H.with_urls(probes.drop("url"), probes.select("source", "url")))
+
+
 @check("health_rollup", f"""with {HEALTH} select count(*) as checked, count(*) filter (ok) as ok, count(*) filter (not ok) as failed,
   count(*) filter (slow) as slow from verdicts""", ["probes"])
 def health_rollup(spark, sf_dir):

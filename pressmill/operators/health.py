@@ -15,6 +15,13 @@ REASONS = {
 }
 
 
+def with_urls(probes, catalog):
+    """Probe results (source, ...) with the health address that the catalogue (source, url) has for their source; null
+    where none is registered. Of several addresses of a source the first by name holds."""
+    known = catalog.where("url is not null").groupBy(F.col("source").alias("_source")).agg(F.min("url").alias("url"))
+    return probes.join(known, F.col("source") == F.col("_source"), "left").drop("_source")
+
+
 def classify(probes: DataFrame) -> DataFrame:
     """Verdict per probe. ``exception`` is ConnectionError, Timeout, another text, or null."""
     no_url = F.col("url").isNull() | (F.col("url") == "")

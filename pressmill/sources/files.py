@@ -57,6 +57,11 @@ def listing(spark, folder, pattern="*.csv") -> DataFrame:
                         F.col("modificationTime").alias("modified"))
 
 
+def expanded(spark, path, pattern="*.csv") -> DataFrame:
+    """What a path stands for: the file itself, or the article files of a folder in order of their names."""
+    return listing(spark, path, pattern).orderBy("path")
+
+
 def outputs(files: DataFrame, backups=True) -> DataFrame:
     """Article files only: no discard logs, and no backups where ``backups`` is off."""
     kept = files.where(~F.col("file").contains(DISCARDED))
@@ -82,10 +87,14 @@ def _like(pattern):
 def latest_by_alias(files: DataFrame, patterns: DataFrame, since=None) -> DataFrame:
     """Newest matching file per source, at most slightly older than ``since``.
 
-    Patterns are a few rows per source; only file names, never contents, meet them."""
+    A pattern's text before its first ``*`` is how a name must begin. Names and patterns meet on the length and text of
+    that beginning, for the few lengths in use, so no file is held against every pattern."""
     found = outputs(files, backups=False)
     if since is not None:
         found = found.where(F.col("modified") >= since - F.make_dt_interval(secs=F.lit(FRESHNESS_TOLERANCE_S)))
-    hits = found.join(F.broadcast(patterns), F.regexp_like("file", _like(F.col("pattern"))))
+    begun = patterns.withColumn("_start", F.substring_index("pattern", "*", 1)).withColumn("_n", F.length("_start"))
+    lengths = F.array(*[F.lit(r[0]) for r in begun.select("_n").distinct().collect()]).cast("array<int>")  # a few dozen
+    starts = found.withColumn("_n", F.explode(lengths)).withColumn("_start", F.expr("substring(file, 1, _n)"))
+    hits = starts.join(begun, ["_n", "_start"]).where(F.regexp_like("file", _like(F.col("pattern"))))
     return hits.groupBy("source").agg(
         F.max_by(F.struct("path", "file"), F.struct("modified", "path")).alias("f")).select("source", "f.*")
