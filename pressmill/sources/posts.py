@@ -1,6 +1,6 @@
 """CMS posts and JSON article files."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressmill.functions.dates import iso_wall_clock
@@ -38,12 +38,15 @@ def category_ids(categories: DataFrame) -> DataFrame:
 
 def write_pages(df: DataFrame, path: str, number, record, by=(), size=100):
     """JSON arrays of at most ``size`` records (the JSON text ``record``) in the order of ``number`` (unique whole numbers), as a
-    collector lands its pages: one file for each run of ``size`` numbers of every ``by`` group."""
-    paged = df.select(*by, F.floor(F.col(number) / size).cast("int").alias("page"), F.struct(F.col(number).alias("n"), record.alias("json")).alias("r"))
-    pages = paged.groupBy(*by, "page").agg(F.sort_array(F.collect_list("r")).alias("all"))
+    collector lands its pages: one file a page, and a folder for every ``by`` group. Records are paged within ranges of (group,
+    number), so pages are full but for the last ones of a range, however thinly a group's numbers lie."""
+    paged = df.select(*by, F.struct(F.col(number).alias("n"), record.alias("json")).alias("r")).repartitionByRange(*by, "r.n")
+    paged = paged.withColumn("_range", F.spark_partition_id())
+    place = F.row_number().over(Window.partitionBy(*by, "_range").orderBy("r.n"))
+    pages = paged.withColumn("_page", F.floor((place - 1) / size)).groupBy(*by, "_range", "_page").agg(F.sort_array(F.collect_list("r")).alias("all"))
     text = F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x["json"]), ",\n"), F.lit("]")).alias("value")
     # files of one group lie in its folder; which page is in which file does not matter to a reader
-    pages.select(*by, "page", text).repartition(*by, "page").write.partitionBy(*by, "page").text(path)
+    pages.select(*by, text).write.partitionBy(*by).option("maxRecordsPerFile", 1).text(path)
 
 
 def parse_posts(df: DataFrame, column: str) -> DataFrame:
