@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from pressmill.plans import jobs as J
 from pressmill.sources import delimited as D
 from pressmill.sources import status as ST
 
@@ -48,3 +49,16 @@ def test_no_file_is_held_whole(spark, files, tmp_path_factory):
     finally:
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_jobs_hold_no_file_whole(spark, tmp_path_factory):
+    folder, root = tmp_path_factory.mktemp("landed"), str(tmp_path_factory.mktemp("root"))
+    body = "source|url|full_text\n" + "".join(f"a|https://x/{i}|text {i}\n" for i in range(500))
+    (folder / "plain.csv").write_text(body)
+    (folder / "packed.csv.gz").write_bytes(gzip.compress(body.replace("x/", "y/").encode()))
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 1000)
+    try:
+        assert D.read_sniffed(spark, str(folder)).count() == 1000
+        assert J.build_run(spark, str(folder), root, "20240601").first()[:6] == (2, 0, 1000, 0, 1000, 1)
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
