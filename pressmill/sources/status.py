@@ -2,12 +2,13 @@
 
 A reader fails as a whole on a broken archive or a wrong encoding. Here every file is read once as lines of bytes, which
 are checked where they are read: a file is valid UTF-8 if every line is, as no character holds the byte of a line end. Big
-files are split over tasks, and no task holds more of a file than a line. What reads files afterwards joins or filters by this
-table.
+files are split over tasks, and no task holds more of a file than a line, or a batch of lines of an archive whose name does not say
+that it is one. What reads files afterwards joins or filters by this table.
 """
 
 import codecs
 import zlib
+from itertools import chain, groupby
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,30 +26,37 @@ PACKED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
 GZIP = b"\x1f\x8b"
 
 
-def _unpacked(content):
-    """The bytes of a file in steps; gzip members one after the other. Raises zlib.error where an archive is damaged."""
-    if content[:2] != GZIP:
-        for at in range(0, len(content), STEP):
-            yield content[at:at + STEP]
+def _unpacked(pieces):
+    """The bytes of a file that comes in pieces; gzip members one after the other, in steps. Raises zlib.error where an archive is
+    damaged."""
+    first = next(pieces, b"")
+    if first[:2] != GZIP:
+        yield first
+        yield from pieces
         return
-    rest = content
-    while rest:
-        member = zlib.decompressobj(31)
-        data = rest
-        while data and not member.eof:
-            yield member.decompress(data, STEP)
-            data = member.unconsumed_tail
+    member, step, size = zlib.decompressobj(31), [], 0
+    for data in chain([first], pieces):
+        while data:
+            if member.eof:
+                yield b"".join(step)
+                member, step, size = zlib.decompressobj(31), [], 0
+            step.append(member.decompress(data, STEP - size))
+            size += len(step[-1])
+            data = member.unused_data if member.eof else member.unconsumed_tail
+            if size == STEP:
+                yield b"".join(step)
+                step, size = [], 0
+    yield b"".join(step)
+    if not member.eof:
         yield member.flush()
-        if not member.eof:
-            raise zlib.error("ends early")
-        rest = member.unused_data
+    if not member.eof:
+        raise zlib.error("ends early")
 
 
-def examine(content):
-    """(problem or None, first line) of a file's bytes."""
+def _examine(pieces):
     decoder, head, ended = codecs.getincrementaldecoder("utf-8-sig")(), [], False
     try:
-        for step in _unpacked(content or b""):
+        for step in _unpacked(pieces):
             text = decoder.decode(step)
             if not ended:
                 line, end, _ = text.partition("\n")
@@ -64,6 +72,12 @@ def examine(content):
     return (None, line) if line.strip() else (EMPTY, None)
 
 
+def examine(content):
+    """(problem or None, first line) of a file's bytes."""
+    content = content or b""
+    return _examine(content[at:at + STEP] for at in range(0, len(content), STEP))
+
+
 def _lines(spark, paths, where=None, **options):
     """path, problem, line of the files that hold a line; ``line`` is the first one. Raises where an archive is damaged."""
     read = spark.read.options(lineSep="\n", **options).text(paths).select(
@@ -123,14 +137,31 @@ def _seen(spark, paths, listed):
     return out
 
 
-def _by_bytes(spark, paths):
-    """``examine`` on whole files: archives whose names do not say so."""
-    @F.pandas_udf("problem string, line string")
-    def look(contents: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([examine(c) for c in contents], columns=["problem", "line"])
+def _pieces(lines, size):
+    """The ``size`` bytes of a file from its lines."""
+    seen = -1
+    for line in lines:
+        if seen >= 0:
+            yield b"\n"
+        yield line
+        seen += len(line) + 1
+    if seen < size:
+        yield b"\n"
 
-    found = spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-    return found.select(F.col("_metadata.file_path").alias("path"), look("content").alias("s")).select("path", "s.*")
+
+def _by_bytes(spark, paths):
+    """``examine`` on archives whose names do not say so. An archive is unpacked in one go, so the lines of its bytes come to
+    one task, in order; no task holds more of it than a batch of lines."""
+    def look(batches):
+        rows = (row for b in batches for row in zip(b["path"], b["size"], b["line"]))
+        for (path, size), some in groupby(rows, lambda row: row[:2]):
+            yield pd.DataFrame([(path, *_examine(_pieces((row[2] for row in some), size)))], columns=["path", "problem", "line"])
+
+    read = spark.read.option("lineSep", "\n").text([literal_path(p) for p in paths]).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"), F.col("value").cast("binary").alias("line"),
+        F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_place"))
+    ordered = read.repartition("path").sortWithinPartitions("path", "_start", "_place")
+    return ordered.select("path", "size", "line").mapInPandas(look, "path string, problem string, line string")
 
 
 def file_status(spark, paths, required=MINIMUM_COLUMNS) -> DataFrame:

@@ -62,3 +62,34 @@ def test_jobs_hold_no_file_whole(spark, tmp_path_factory):
         assert J.build_run(spark, str(folder), root, "20240601").first()[:6] == (2, 0, 1000, 0, 1000, 1)
     finally:
         spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+
+
+def test_archives_without_a_name_for_it_come_in_pieces(spark, files, tmp_path_factory):
+    folder, contents = tmp_path_factory.mktemp("unnamed"), files[1]
+    packed = contents["packed.csv.gz"]
+    tried = {"one.csv": packed, "cut.csv": packed[:-2], "twice.csv": packed + packed, "damaged.csv": contents["middle.csv.gz"], "latin.csv": contents["latin.csv.gz"],
+             "ends.csv": packed + b"\n", "nothing.csv": contents["nothing.csv.gz"]}
+    for name, content in tried.items():
+        (folder / name).write_bytes(content)
+    assert min(len(packed), len(contents["middle.csv.gz"])) > 5000  # several splits
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", 1000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 5000)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = {r["file"]: (r["problem"], r["columns"]) for r in ST.file_status(spark, str(folder), []).collect()}
+    finally:
+        for name in ("sources.binaryFile.maxLength", "files.maxPartitionBytes", "execution.arrow.maxRecordsPerBatch"):
+            spark.conf.unset(f"spark.sql.{name}")
+    for name, content in tried.items():
+        problem, line = ST.examine(content)
+        assert got[name] == (problem, line and line.split("|")), name
+    assert {n for n, (problem, _) in got.items() if problem is None} == {"one.csv", "twice.csv"}
+
+
+def test_archive_of_members_beyond_a_step(monkeypatch):
+    """Unpacked in steps, several such members one after the other came to no end."""
+    monkeypatch.setattr(ST, "STEP", 5000)
+    draw = random.Random(1)
+    packed = gzip.compress(("a|b\n" + "".join(f"{draw.randrange(10**9)},\n" for _ in range(2000))).encode())
+    assert ST.examine(packed * 3) == (None, "a|b")
+    assert ST.examine(packed * 3 + packed[:-1]) == (ST.BROKEN, None)
